@@ -1,7 +1,7 @@
 """Relational operators of the observation transform."""
 
 from meteora.operators.aggregate import first_flags, to_daily, to_wide, to_yearly
-from meteora.operators.clean import clean, drop_flagged, normalize_flags
+from meteora.operators.cleaning import clean, drop_flagged, normalize_flags
 from meteora.operators.join import checked_broadcast, fits_broadcast, inner_join
 from meteora.operators.limit import sample_rows, top_k
 from meteora.operators.pivot import explode_elements, pivot_native

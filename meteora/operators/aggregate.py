@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteora.functions.scalar import trunc_year
-from meteora.operators.clean import clean
+from meteora.operators.cleaning import clean
 from meteora.operators.pivot import explode_elements
 from meteora.options import TransformOptions
 from meteora.schemas import MEASURES

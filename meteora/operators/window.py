@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from meteora.functions.scalar import extract_year, trunc_year
 from meteora.operators.aggregate import ORDER, order_key, pack_flags, unpack_flags
-from meteora.operators.clean import clean
+from meteora.operators.cleaning import clean
 from meteora.operators.pivot import explode_elements
 from meteora.options import TransformOptions
 from meteora.schemas import MEASURES
@@ -28,10 +28,11 @@ def partition_avg(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
 
     Keys are matched null-safely, as a window partition groups nulls.
     """
-    avgs = df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in cols])
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(avgs[k]) for k in keys])
-    rest = [df[c] for c in df.columns if c not in cols]
-    return df.join(avgs, cond, "inner").select(*rest, *[avgs[c] for c in cols])
+    pk = {k: f"_pk_{i}" for i, k in enumerate(keys)}
+    avgs = df.groupBy(*[F.col(k).alias(pk[k]) for k in keys]).agg(*[F.avg(c).alias(f"_avg_{c}") for c in cols])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(pk[k])) for k in keys])
+    rest = [c for c in df.columns if c not in cols]
+    return df.join(avgs, cond, "inner").select(*rest, *[F.col(f"_avg_{c}").alias(c) for c in cols])
 
 
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:

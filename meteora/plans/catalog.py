@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meteora import functions as fn
-from meteora.operators import aggregate, clean as cleaning, limit, pivot, setops, window
+from meteora.operators import aggregate, cleaning, limit, pivot, setops, window
 from meteora.operators.join import checked_broadcast
 from meteora.options import CANONICAL, JOB, LOCAL
 from meteora.plans import analytics, dimensions, facts

@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": "8g",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+        "spark.ui.showConsoleProgress": "false",
     })
     conf.update(extra or {})
     for k, v in conf.items():

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meteora.functions.scalar import parse_date
-from meteora.operators.clean import normalize_flags
+from meteora.operators.cleaning import normalize_flags
 from meteora.schemas import OBS_CSV_SCHEMA, OBS_SCHEMA
 
 CSV_SUFFIXES = (".csv", ".csv.gz")
