@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,28 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     Counts at most max_rows + 1 rows, so the check stays cheap for a side
     that turns out to be big.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return bounded_counts([df], max_rows)[0] <= max_rows
+
+
+# Counts already taken in this process, by (semantic plan hash, cap): the
+# same dimension read the same way is counted once per session.
+_COUNTED: dict[tuple[int, int], int] = {}
+
+
+def bounded_counts(frames: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[int]:
+    """Row counts of several frames, each capped at max_rows + 1, in one job.
+
+    Only the (at most len(frames)) counts come back to the driver.
+    """
+    keys = [(f.semanticHash(), max_rows) for f in frames]
+    todo = [i for i, k in enumerate(keys) if k not in _COUNTED]
+    if todo:
+        parts = [frames[i].limit(max_rows + 1).select(F.lit(i).alias("_side")) for i in todo]
+        merged = reduce(DataFrame.unionByName, parts)
+        found = {r["_side"]: r["count"] for r in merged.groupBy("_side").count().collect()}
+        for i in todo:
+            _COUNTED[keys[i]] = found.get(i, 0)
+    return [_COUNTED[k] for k in keys]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

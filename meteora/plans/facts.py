@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from meteora.operators.aggregate import to_daily, to_yearly
-from meteora.operators.join import MAX_BROADCAST_ROWS, checked_broadcast
+from meteora.operators.join import MAX_BROADCAST_ROWS
 from meteora.options import CANONICAL, JOB, TransformOptions
-from meteora.plans.dimensions import station_country
+from meteora.plans.dimensions import checked_station_country
 from meteora.schemas import FACT_COLUMNS, JOB_FACT_COLUMNS
 
 
@@ -20,8 +21,8 @@ def enrich(wide: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
     The aggregate is computed before the join, so only one row per
     station/period meets the dimension.
     """
-    dim = checked_broadcast(station_country(stations_raw, countries_raw), max_broadcast_rows)
-    return wide.join(dim, "id", "inner").select(*columns)
+    dim, small = checked_station_country(stations_raw, countries_raw, max_broadcast_rows)
+    return wide.join(F.broadcast(dim) if small else dim, "id", "inner").select(*columns)
 
 
 def fact_daily(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
