@@ -19,7 +19,7 @@ from meteora.operators import aggregate, cleaning, limit, pivot, setops, window
 from meteora.operators.join import checked_broadcast
 from meteora.options import CANONICAL, JOB, LOCAL
 from meteora.plans import analytics, dimensions, facts
-from meteora.plans.testmap import TestTables
+from meteora.plans.testmap import DriverTables
 from meteora.schemas import COUNTRY_LAYOUT, MEASURES, OBS_SCHEMA, STATION_LAYOUT
 from meteora.session import scratch_path, unique_name
 from meteora.sinks import files as file_sinks
@@ -39,8 +39,8 @@ def rounded(df: DataFrame, cols=MEASURES) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in cols if c in df.columns})
 
 
-def _t(spark: SparkSession, sf_dir: str) -> TestTables:
-    return TestTables(spark, sf_dir)
+def _t(spark: SparkSession, sf_dir: str) -> DriverTables:
+    return DriverTables(spark, sf_dir)
 
 
 # -- fixed-width text written from a table (input for the text readers) -----

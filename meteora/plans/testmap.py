@@ -48,7 +48,7 @@ def _sql_pad_id(expr: str) -> str:
     return f"lpad(CAST({expr} AS VARCHAR), {ID_WIDTH}, '0')"
 
 
-class TestTables:
+class DriverTables:
     """Lazily read test tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
