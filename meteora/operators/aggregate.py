@@ -94,3 +94,40 @@ def first_flags(obs: DataFrame, opts: TransformOptions, yearly: bool = False) ->
     grouped = rows.groupBy(F.col("id"), period.alias("date")).agg(F.min_by("_flags", ORDER).alias("_flags"))
     m_flag, s_flag = unpack_flags("_flags")
     return grouped.select("id", "date", m_flag, s_flag)
+
+
+# -- one scan for both periods ---------------------------------------------------
+# Daily partial aggregates (per measure: sum and count; the first row's order
+# key and flags) are enough to finish both the daily and the yearly averages
+# exactly: the yearly mean is sum(sums) / sum(counts) over the year's days,
+# which weighs every raw row the same.
+
+def daily_parts(obs: DataFrame, opts: TransformOptions) -> DataFrame:
+    rows = exploded_rows(obs, opts)
+    aggs = []
+    for m in MEASURES:
+        aggs += [F.sum(m).alias(f"_s_{m}"), F.count(m).alias(f"_n_{m}")]
+    return rows.groupBy("id", "date").agg(
+        *aggs, F.min(ORDER).alias(ORDER), F.min_by("_flags", ORDER).alias("_flags")
+    )
+
+
+def roll_up_parts(parts: DataFrame, period: Column) -> DataFrame:
+    """Partials of a longer period (e.g. the year) from daily partials."""
+    aggs = []
+    for m in MEASURES:
+        aggs += [F.sum(f"_s_{m}").alias(f"_s_{m}"), F.sum(f"_n_{m}").alias(f"_n_{m}")]
+    return parts.groupBy(F.col("id"), period.alias("date")).agg(
+        *aggs, F.min(ORDER).alias(ORDER), F.min_by("_flags", ORDER).alias("_flags")
+    )
+
+
+def finish_parts(parts: DataFrame, opts: TransformOptions) -> DataFrame:
+    """Averages (null where a measure has no value) and flags from partials."""
+    means = []
+    for m in MEASURES:
+        s, n = F.col(f"_s_{m}"), F.col(f"_n_{m}")
+        mean = s.cast("double") / n if opts.measure_type == "double" else s / n
+        means.append(F.when(n > 0, mean).alias(m))
+    m_flag, s_flag = unpack_flags("_flags")
+    return parts.select("id", "date", *means, m_flag, s_flag)

@@ -374,6 +374,22 @@ def fact_yearly_job(spark, sf_dir):
     return _fact_yearly_li(spark, sf_dir, JOB)
 
 
+def _both_facts_li(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return facts.both_facts(t.lineitem_obs(), t.supplier_stations(), t.countries(), _opts(),
+                            scratch_path(spark, "daily_parts"))
+
+
+def job_fact_daily(spark, sf_dir):
+    """Daily fact of the one-scan job path (partials written once)."""
+    return rounded(_both_facts_li(spark, sf_dir)[0])
+
+
+def job_fact_yearly(spark, sf_dir):
+    """Yearly fact rolled up from the written daily partials."""
+    return rounded(_both_facts_li(spark, sf_dir)[1])
+
+
 # -- analytic questions ----------------------------------------------------------
 def q_max_by_country_year(spark, sf_dir):
     return analytics.max_by_country_year(_fact_daily_li(spark, sf_dir))
@@ -398,5 +414,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for name, obj in list(globals().items())
     if callable(obj) and not name.startswith("_") and name.split("_")[0] in
     {"src", "sink", "view", "proj", "filter", "clip", "pivot", "join", "agg", "win", "limit", "union", "fn",
-     "fact", "q"}
+     "fact", "q", "job"}
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meteora.operators.aggregate import to_daily, to_yearly
+from meteora.functions.scalar import trunc_year
+from meteora.operators.aggregate import daily_parts, finish_parts, roll_up_parts, to_daily, to_yearly
 from meteora.operators.join import MAX_BROADCAST_ROWS
 from meteora.options import CANONICAL, JOB, TransformOptions
 from meteora.plans.dimensions import checked_station_country
@@ -35,3 +36,21 @@ def fact_yearly(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFram
                 opts: TransformOptions = CANONICAL) -> DataFrame:
     columns = JOB_FACT_COLUMNS if opts == JOB else FACT_COLUMNS
     return enrich(to_yearly(obs, opts), stations_raw, countries_raw, columns)
+
+
+def both_facts(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame, opts: TransformOptions,
+               parts_path: str) -> tuple[DataFrame, DataFrame]:
+    """Daily and yearly facts from one scan of the raw observations.
+
+    The daily partial aggregates are written once to ``parts_path`` (a folder
+    every executor can read, e.g. below spark.checkpoint.dir).  That cuts the
+    lineage: a lost executor re-reads the written partials instead of
+    re-running the raw aggregation, and the yearly fact reads the partials
+    (a fraction of the raw rows) instead of scanning the raw data again.
+    """
+    daily_parts(obs, opts).write.mode("overwrite").parquet(parts_path)
+    parts = obs.sparkSession.read.parquet(parts_path)
+    columns = JOB_FACT_COLUMNS if opts == JOB else FACT_COLUMNS
+    daily = enrich(finish_parts(parts, opts), stations_raw, countries_raw, columns)
+    yearly = enrich(finish_parts(roll_up_parts(parts, trunc_year("date")), opts), stations_raw, countries_raw, columns)
+    return daily, yearly

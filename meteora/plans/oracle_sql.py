@@ -202,6 +202,8 @@ def oracles() -> dict[str, str]:
     q["fact_daily_job"] = sql_fact(EV, ST_C, JOB)
     q["fact_yearly_local"] = sql_fact(LI, ST_S, LOCAL, yearly=True)
     q["fact_yearly_job"] = sql_fact(LI, ST_S, JOB, yearly=True)
+    q["job_fact_daily"] = FACT_DAILY_LI
+    q["job_fact_yearly"] = FACT_YEARLY_LI
     # analytic questions ----------------------------------------------------
     q["q_max_by_country_year"] = (
         f"SELECT country_code, country_name, {_year_int()} AS year, max(tmax) AS max_tmax "

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ def _paths(paths: str | Iterable[str]) -> list[str]:
 
 def check_csv_paths(paths: list[str]) -> None:
     """Only CSV inputs are accepted; anything else is an error, not a skip."""
-    bad = [p for p in paths if not p.rstrip("/").endswith(CSV_SUFFIXES) and "." in p.rsplit("/", 1)[-1]]
+    bad = [p for p in paths if not p.rstrip("/*").endswith(CSV_SUFFIXES) and "." in p.rsplit("/", 1)[-1]]
     if bad:
         raise ValueError(f"only CSV sources are accepted (.csv or .csv.gz): {bad}")
 
@@ -38,13 +39,16 @@ def read_observations_csv(spark: SparkSession, paths: str | Iterable[str]) -> Da
     """
     paths = _paths(paths)
     check_csv_paths(paths)
-    raw = (
-        spark.read.schema(OBS_CSV_SCHEMA)
-        .option("header", False)
-        .option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", "*.csv*")
-        .csv(paths)
-    )
+    try:
+        raw = (
+            spark.read.schema(OBS_CSV_SCHEMA)
+            .option("header", False)
+            .option("mode", "PERMISSIVE")
+            .option("pathGlobFilter", "*.csv*")
+            .csv(paths)
+        )
+    except AnalysisException as exc:  # PATH_NOT_FOUND: a year file is missing
+        raise ValueError(f"observation files not found: {exc}") from exc
     typed = raw.withColumn("date", parse_date("date"))
     return normalize_flags(typed).select(*[f.name for f in OBS_SCHEMA.fields])
 
