@@ -1 +1,5 @@
 """Incremental ingestion of newly arrived yearly files (Structured Streaming)."""
+
+from meteora.streaming.ingest import ingest_available, observation_stream
+
+__all__ = ["ingest_available", "observation_stream"]
