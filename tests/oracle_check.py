@@ -53,6 +53,20 @@ def rows_of(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+    "double": "DOUBLE", "float": "FLOAT", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN",
+}
+
+
+def spark_type(t) -> str:
+    s = t.simpleString()
+    if s.startswith("decimal"):
+        return s.upper().replace(" ", "")
+    return SPARK_TO_DUCK.get(s, s.upper())
+
+
 def check(spark, key: str, fn, sql: str | None, sf_dir: str, con) -> tuple[bool, str]:
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -66,6 +80,11 @@ def check(spark, key: str, fn, sql: str | None, sf_dir: str, con) -> tuple[bool,
     orows = res.fetchall()
     if sorted(scols) != sorted(ocols):
         return False, f"columns differ: spark={sorted(scols)} oracle={sorted(ocols)}"
+    stypes = {f.name: spark_type(f.dataType) for f in df.schema.fields}
+    otypes = dict(zip(ocols, [str(d[1]).upper().replace(" ", "") for d in res.description]))
+    bad_types = {c: (stypes[c], otypes[c]) for c in scols if stypes[c].replace(" ", "") != otypes[c]}
+    if bad_types:
+        return False, f"types differ (spark, oracle): {bad_types}"
     if len(srows) != len(orows):
         return False, f"row count spark={len(srows)} oracle={len(orows)}"
     a, b = rows_of(scols, srows), rows_of(ocols, orows)
