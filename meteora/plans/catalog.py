@@ -181,6 +181,27 @@ def sink_fact_yearly(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def sink_fact_yearly_clustered(spark, sf_dir):
+    """The batch job's yearly layout: one table range-clustered by date and country."""
+    path = scratch_path(spark, "fact_yearly_clustered")
+    table_sinks.write_clustered(_fact_yearly_li(spark, sf_dir), path, ["date", "country_code"])
+    return spark.read.parquet(path)
+
+
+def sink_typed_table(spark, sf_dir):
+    """Observations into a table with the fixed observation schema."""
+    obs = _t(spark, sf_dir).events_obs()
+    return table_sinks.create_typed_table(obs, unique_name("obs_typed"), OBS_SCHEMA, scratch_path(spark, "typed"))
+
+
+def sink_create_append(spark, sf_dir):
+    """Create-if-absent then append: two loads of different years."""
+    obs = _t(spark, sf_dir).lineitem_obs().select(*OBS_COLS)
+    name, path = unique_name("obs_appended"), scratch_path(spark, "appended")
+    table_sinks.append_table(obs.where(F.year("date") < 1998), name, path)
+    return table_sinks.append_table(obs.where(F.year("date") >= 1998), name, path)
+
+
 def sink_overwrite_append(spark, sf_dir):
     path = scratch_path(spark, "fact_yearly_append")
     fact = table_sinks.with_year(_fact_yearly_li(spark, sf_dir))

@@ -135,6 +135,9 @@ def oracles() -> dict[str, str]:
     q["sink_fact_daily"] = f"SELECT *, {_year_int()} AS year FROM ({FACT_DAILY_LI}) AS f"
     q["sink_fact_yearly"] = f"SELECT *, {_year_int()} AS year FROM ({FACT_YEARLY_LI}) AS f"
     q["sink_overwrite_append"] = f"SELECT *, {_year_int()} AS year FROM ({FACT_YEARLY_LI}) AS f"
+    q["sink_fact_yearly_clustered"] = FACT_YEARLY_LI
+    q["sink_typed_table"] = _obs(EV)
+    q["sink_create_append"] = _obs(LI)
     q["sink_refresh_year"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"
     # views and projections -------------------------------------------------
     q["view_stations"] = f"SELECT *, substr(id, 1, 2) AS country_code FROM ({sql_customer_stations(True)}) AS s"

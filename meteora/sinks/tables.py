@@ -77,3 +77,26 @@ def create_or_replace_table(df: DataFrame, name: str, path: str | None = None, p
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
+
+
+def conform(df: DataFrame, schema) -> DataFrame:
+    """Columns of ``schema``, in its order, cast to its types (a typed table)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def create_typed_table(df: DataFrame, name: str, schema, path: str | None = None) -> DataFrame:
+    """DROP + CREATE a table with a fixed schema, filled from ``df``."""
+    return create_or_replace_table(conform(df, schema), name, path)
+
+
+def append_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Append to a catalog table, creating it on the first call.
+
+    Re-running an append loads the rows again; use ``refresh_partitions``
+    for a load that must replace what it wrote before.
+    """
+    writer = df.write.mode("append").format(fmt)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
