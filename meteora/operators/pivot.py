@@ -33,7 +33,10 @@ def pivot_native(obs: DataFrame, opts: TransformOptions, keys: tuple[str, ...] =
     """Same averages through ``pivot`` with the element list given up front.
 
     Giving the values avoids the extra job Spark would run to find them, and
-    groups holding only other elements still give a row of nulls.
+    groups holding only other elements still give a row of nulls.  Spark plans
+    a pivot as two aggregates (by key and element, then by key), so two
+    shuffles; ``to_daily`` writes the same pivot as conditional aggregates in
+    one.  This form is kept for users of the pivot API and as a cross-check.
     """
     wide = (
         obs.withColumn("_measure", element_measure(opts))

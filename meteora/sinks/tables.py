@@ -19,8 +19,14 @@ def _layout(df: DataFrame, partition_by: list[str], cluster_by: list[str], num_f
     keys = [*partition_by, *cluster_by]
     if not keys:
         return df
-    ranged = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys)
+    # A hash of the whole row as last range key: rows sharing one hot key value
+    # are spread over several tasks (range bounds can then fall inside that
+    # value), deterministically, so a retried task writes the same rows.
+    tie = F.xxhash64(*df.columns).alias("_tie")
+    with_tie = df.withColumn("_tie", tie)
+    ranged = with_tie.repartitionByRange(num_files, *keys, "_tie") if num_files else \
+        with_tie.repartitionByRange(*keys, "_tie")
+    return ranged.sortWithinPartitions(*keys).drop("_tie")
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str] = (),
