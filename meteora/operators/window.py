@@ -35,9 +35,18 @@ def partition_avg(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     return df.join(avgs, cond, "inner").select(*rest, *[F.col(f"_avg_{c}").alias(c) for c in cols])
 
 
-def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per key: the one with the smallest ``order`` (rn = 1)."""
+def keep_first(df: DataFrame, keys: list[str], order: str, per_column: bool = False) -> DataFrame:
+    """One row per key: the one with the smallest ``order`` (rn = 1).
+
+    By default the row is taken whole (``min_by`` of a struct), which Spark
+    runs as a sort-based aggregate.  ``per_column`` takes ``min_by`` of each
+    column instead: with fixed-width columns that stays a hash aggregate, and
+    it yields one consistent row when ``order`` is unique within a key (rows
+    tied on ``order`` may then mix columns).
+    """
     others = [c for c in df.columns if c not in keys and c != order]
+    if per_column:
+        return df.groupBy(*keys).agg(*[F.min_by(c, order).alias(c) for c in others])
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*others), order).alias("_row"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
 
@@ -72,7 +81,8 @@ def window_dedup(obs: DataFrame, opts: TransformOptions, yearly: bool = False) -
     rows = _rows(obs, opts, yearly).withColumn("_flags", pack_flags())
     keys = ["id", "_year"] if yearly else ["id", "date"]
     averaged = partition_avg(rows.drop("m_flag", "s_flag"), keys, list(MEASURES))
-    first = keep_first(averaged, keys, ORDER)
+    # the order key is unique per row (or a content hash: equal rows are equal)
+    first = keep_first(averaged, keys, ORDER, per_column=True)
     if yearly:
         first = first.withColumn("date", trunc_year("date"))
     m_flag, s_flag = unpack_flags("_flags")

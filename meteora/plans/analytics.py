@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 from meteora.operators.limit import top_k
 
 
+def in_country(name: str) -> Column:
+    """Place predicate: every station of a country (by country name)."""
+    return F.col("country_name") == F.lit(name)
+
+
+def station_named(pattern: str) -> Column:
+    """Place predicate: stations whose name matches a SQL LIKE pattern,
+    case-insensitively (e.g. '%MADRID%')."""
+    return F.upper(F.col("station_name")).like(pattern.upper())
+
+
 def max_by_country_year(fact: DataFrame, country: str | None = None, year: int | None = None,
                         measure: str = "tmax") -> DataFrame:
     """Maximum of ``measure`` per country and year (optionally one of each)."""

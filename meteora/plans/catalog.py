@@ -434,12 +434,12 @@ def q_max_by_country_year(spark, sf_dir):
 
 def q_compare_yearly(spark, sf_dir):
     fact = _fact_daily_li(spark, sf_dir)
-    places = {"place_a": F.col("country_name") == "NATION_3", "place_b": F.col("country_name") == "NATION_7"}
+    places = {"place_a": analytics.in_country("NATION_3"), "place_b": analytics.in_country("NATION_7")}
     return rounded(analytics.compare_yearly(fact, places, "tmin"), ["place_a", "place_b"])
 
 
 def q_top_hottest(spark, sf_dir):
-    return analytics.top_hottest(_fact_daily_li(spark, sf_dir), F.col("country_name") == "NATION_5", 10)
+    return analytics.top_hottest(_fact_daily_li(spark, sf_dir), analytics.in_country("NATION_5"), 10)
 
 
 def q_record_counts(spark, sf_dir):
