@@ -48,6 +48,12 @@ def _sql_pad_id(expr: str) -> str:
     return f"lpad(CAST({expr} AS VARCHAR), {ID_WIDTH}, '0')"
 
 
+# Test tables read in this process, by (session, path).  Reading a Parquet
+# file runs a small job for its footer (schema); the tables are read-only, so
+# one read per session is enough.  Only the lazy DataFrame is kept.
+_READ: dict[tuple[str, int, str], DataFrame] = {}
+
+
 class DriverTables:
     """Lazily read test tables of one scale-factor folder."""
 
@@ -55,7 +61,11 @@ class DriverTables:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, id(self.spark), path)
+        if key not in _READ:
+            _READ[key] = self.spark.read.parquet(path)
+        return _READ[key]
 
     # observations ---------------------------------------------------------
     def events_obs(self) -> DataFrame:
