@@ -23,6 +23,8 @@ class TransformOptions:
     order_by:          columns that order rows inside a group when one row
                        has to be picked (the flags).  None = a hash of the
                        row's content, which is deterministic but arbitrary.
+    column_order:      "sql" (station name before coordinates) or "job"
+                       (coordinates first), the two fact layouts.
     """
 
     drop_flagged: bool = True
@@ -31,6 +33,7 @@ class TransformOptions:
     integer_division: bool = False
     measure_type: str = "double"
     order_by: tuple[str, ...] | None = None
+    column_order: str = "sql"
     extra: dict = field(default_factory=dict, compare=False)
 
     def with_order(self, *cols: str) -> "TransformOptions":
@@ -43,4 +46,4 @@ CANONICAL = TransformOptions()
 # and no temperature clip.
 LOCAL = TransformOptions(clip_raw=None, integer_division=True, measure_type="decimal(38,9)")
 # The batch Spark job: flagged rows kept, PRCP left unscaled, clip kept.
-JOB = TransformOptions(drop_flagged=False, prcp_divisor=1)
+JOB = TransformOptions(drop_flagged=False, prcp_divisor=1, column_order="job")

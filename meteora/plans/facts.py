@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from meteora.functions.scalar import trunc_year
 from meteora.operators.aggregate import daily_parts, finish_parts, roll_up_parts, to_daily, to_yearly
 from meteora.operators.join import MAX_BROADCAST_ROWS
-from meteora.options import CANONICAL, JOB, TransformOptions
+from meteora.options import CANONICAL, TransformOptions
 from meteora.plans.dimensions import checked_station_country
 from meteora.schemas import FACT_COLUMNS, JOB_FACT_COLUMNS
 
 
+def fact_columns(opts: TransformOptions) -> tuple[str, ...]:
+    return JOB_FACT_COLUMNS if opts.column_order == "job" else FACT_COLUMNS
+
+
 def enrich(wide: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
            columns: tuple[str, ...] = FACT_COLUMNS, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join wide rows with their station and country; rows without either go.
@@ -28,13 +32,13 @@ def enrich(wide: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
 
 def fact_daily(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
                opts: TransformOptions = CANONICAL) -> DataFrame:
-    columns = JOB_FACT_COLUMNS if opts == JOB else FACT_COLUMNS
+    columns = fact_columns(opts)
     return enrich(to_daily(obs, opts), stations_raw, countries_raw, columns)
 
 
 def fact_yearly(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
                 opts: TransformOptions = CANONICAL) -> DataFrame:
-    columns = JOB_FACT_COLUMNS if opts == JOB else FACT_COLUMNS
+    columns = fact_columns(opts)
     return enrich(to_yearly(obs, opts), stations_raw, countries_raw, columns)
 
 
@@ -50,7 +54,7 @@ def both_facts(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame
     """
     daily_parts(obs, opts).write.mode("overwrite").parquet(parts_path)
     parts = obs.sparkSession.read.parquet(parts_path)
-    columns = JOB_FACT_COLUMNS if opts == JOB else FACT_COLUMNS
+    columns = fact_columns(opts)
     daily = enrich(finish_parts(parts, opts), stations_raw, countries_raw, columns)
     yearly = enrich(finish_parts(roll_up_parts(parts, trunc_year("date")), opts), stations_raw, countries_raw, columns)
     return daily, yearly

@@ -72,7 +72,7 @@ def sql_enrich(wide: str, stations: str, columns=FACT_COLUMNS) -> str:
 
 
 def sql_fact(src: str, stations: str, opts: TransformOptions = CANONICAL, yearly: bool = False) -> str:
-    columns = JOB_FACT_COLUMNS if opts == JOB else FACT_COLUMNS
+    columns = JOB_FACT_COLUMNS if opts.column_order == "job" else FACT_COLUMNS
     return sql_enrich(sql_wide(src, opts, yearly), stations, columns)
 
 

@@ -16,6 +16,10 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
+    # The two-level aggregate map puts a small fast map in front of the main
+    # one; station/day keys are mostly distinct within a task, so the first
+    # level mostly misses.  Measured 20-25% faster without it (daily and yearly).
+    "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
 }
 
 

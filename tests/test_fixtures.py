@@ -113,3 +113,14 @@ def test_flags_come_from_first_row(spark):
               "obs_time short, seq long")
     r = to_daily(obs, CANONICAL.with_order("seq")).first()
     assert (r["m_flag"], r["s_flag"]) == ("", "S")
+
+
+def test_job_variant_column_order(spark, obs):
+    stations = spark.createDataFrame(
+        [("AA000000001", 1.0, 2.0, 3.0, None, "ALPHA", None, None, None)],
+        "id string, latitude double, longitude double, elevation double, state string, name string, "
+        "gsn_flag string, hcn_crn_flag string, wmo_id string")
+    countries = spark.createDataFrame([("AA", "Country A")], "code string, name string")
+    fact = fact_daily(obs, stations, countries, JOB.with_order("obs_time"))
+    assert fact.columns[9:13] == ["latitude", "longitude", "elevation", "station_name"]
+    assert fact_daily(obs, stations, countries, CANONICAL).columns[9] == "station_name"
