@@ -23,7 +23,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
 
 # Counts already taken in this process, by (semantic plan hash, cap): the
 # same dimension read the same way is counted once per session.
-_COUNTED: dict[tuple[int, int], int] = {}
+_COUNTED: dict[tuple[str, int, int], int] = {}
 
 
 def bounded_counts(frames: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[int]:
@@ -31,7 +31,7 @@ def bounded_counts(frames: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS)
 
     Only the (at most len(frames)) counts come back to the driver.
     """
-    keys = [(f.semanticHash(), max_rows) for f in frames]
+    keys = [(f.sparkSession.sparkContext.applicationId, f.semanticHash(), max_rows) for f in frames]
     todo = [i for i, k in enumerate(keys) if k not in _COUNTED]
     if todo:
         parts = [frames[i].limit(max_rows + 1).select(F.lit(i).alias("_side")) for i in todo]
