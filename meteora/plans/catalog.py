@@ -324,18 +324,23 @@ def limit_sample(spark, sf_dir):
     return limit.sample_rows(_fact_daily_li(spark, sf_dir), 500, ["id", "date"])
 
 
-def _years(obs: DataFrame, start: int, end: int):
-    return [obs.where(F.year("date") == y) for y in range(start, end + 1)]
+def _year_tables(spark, sf_dir, start: int, end: int) -> list[DataFrame]:
+    """One relation per year, as the per-year tables: the observations are
+    written once partitioned by year and each year reads only its folder."""
+    path = scratch_path(spark, "obs_year_tables")
+    obs = _t(spark, sf_dir).lineitem_obs().withColumn("year", F.year("date"))
+    table_sinks.write_partitioned(obs, path, ["year"], ["id", "date"])
+    return [table_sources.read_years(spark, path, y, y).drop("year") for y in range(start, end + 1)]
 
 
 def union_years(spark, sf_dir):
-    obs = _t(spark, sf_dir).lineitem_obs()
-    return rounded(setops.union_all(aggregate.to_daily(o, EV_OPTS) for o in _years(obs, 1995, 2001)))
+    frames = _year_tables(spark, sf_dir, 1995, 2001)
+    return rounded(setops.union_all(aggregate.to_daily(o, EV_OPTS) for o in frames))
 
 
 def union_years_avg(spark, sf_dir):
-    obs = _t(spark, sf_dir).lineitem_obs()
-    return rounded(setops.union_all(aggregate.to_yearly(o, EV_OPTS) for o in _years(obs, 1995, 2001)))
+    frames = _year_tables(spark, sf_dir, 1995, 2001)
+    return rounded(setops.union_all(aggregate.to_yearly(o, EV_OPTS) for o in frames))
 
 
 # -- scalar functions ------------------------------------------------------------
