@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteora.functions.scalar import trunc_year
+from meteora.functions.scalar import trunc_year, trunc_year_ts
 from meteora.operators.cleaning import clean
 from meteora.operators.pivot import explode_elements
 from meteora.options import TransformOptions
@@ -84,7 +84,12 @@ def to_yearly(obs: DataFrame, opts: TransformOptions) -> DataFrame:
     Not an average of daily averages: every raw observation weighs the same.
     ``date`` is the first day of the year.
     """
-    return to_wide(obs, opts, trunc_year("date"))
+    return to_wide(obs, opts, year_start(opts))
+
+
+def year_start(opts: TransformOptions, date: str = "date") -> Column:
+    """First day (or first instant) of the year, per ``opts.year_start``."""
+    return trunc_year_ts(date) if opts.year_start == "timestamp" else trunc_year(date)
 
 
 def first_flags(obs: DataFrame, opts: TransformOptions, yearly: bool = False) -> DataFrame:

@@ -25,6 +25,8 @@ class TransformOptions:
                        row's content, which is deterministic but arbitrary.
     column_order:      "sql" (station name before coordinates) or "job"
                        (coordinates first), the two fact layouts.
+    year_start:        type of the yearly ``date``: "date" (first day of the
+                       year) or "timestamp" (its first instant, no time zone).
     """
 
     drop_flagged: bool = True
@@ -34,6 +36,7 @@ class TransformOptions:
     measure_type: str = "double"
     order_by: tuple[str, ...] | None = None
     column_order: str = "sql"
+    year_start: str = "date"
     extra: dict = field(default_factory=dict, compare=False)
 
     def with_order(self, *cols: str) -> "TransformOptions":
@@ -44,6 +47,6 @@ class TransformOptions:
 CANONICAL = TransformOptions()
 # The SQL models on the local database: INTEGER value, so value/10 truncates,
 # and no temperature clip.
-LOCAL = TransformOptions(clip_raw=None, integer_division=True, measure_type="decimal(38,9)")
+LOCAL = TransformOptions(clip_raw=None, integer_division=True, measure_type="decimal(38,9)", year_start="timestamp")
 # The batch Spark job: flagged rows kept, PRCP left unscaled, clip kept.
 JOB = TransformOptions(drop_flagged=False, prcp_divisor=1, column_order="job")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meteora.functions.scalar import trunc_year
-from meteora.operators.aggregate import daily_parts, finish_parts, roll_up_parts, to_daily, to_yearly
+from meteora.operators.aggregate import daily_parts, finish_parts, roll_up_parts, to_daily, to_yearly, year_start
 from meteora.operators.join import MAX_BROADCAST_ROWS
 from meteora.options import CANONICAL, TransformOptions
 from meteora.plans.dimensions import checked_station_country
@@ -56,5 +55,5 @@ def both_facts(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame
     parts = obs.sparkSession.read.parquet(parts_path)
     columns = fact_columns(opts)
     daily = enrich(finish_parts(parts, opts), stations_raw, countries_raw, columns)
-    yearly = enrich(finish_parts(roll_up_parts(parts, trunc_year("date")), opts), stations_raw, countries_raw, columns)
+    yearly = enrich(finish_parts(roll_up_parts(parts, year_start(opts)), opts), stations_raw, countries_raw, columns)
     return daily, yearly

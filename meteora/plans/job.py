@@ -18,7 +18,6 @@ import sys
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from meteora.operators.limit import sample_rows
 from meteora.options import CANONICAL, JOB, LOCAL
@@ -93,5 +92,3 @@ def main(argv: list[str] | None = None) -> None:
 
 if __name__ == "__main__":
     main()
-
-__all__ = ["parse_args", "run", "main", "F"]

@@ -50,7 +50,8 @@ def sql_exploded(src: str, opts: TransformOptions, keep: str = "") -> str:
 
 
 def sql_wide(src: str, opts: TransformOptions, yearly: bool = False, rounded: bool = True) -> str:
-    period = "CAST(date_trunc('year', date) AS DATE)" if yearly else "date"
+    year_type = "TIMESTAMP" if opts.year_start == "timestamp" else "DATE"
+    period = f"CAST(date_trunc('year', date) AS {year_type})" if yearly else "date"
     avgs = ", ".join((r6(f"avg({m})", m) if rounded else f"avg({m}) AS {m}") for m in MEASURES)
     return (
         f"SELECT id, {period} AS date, {avgs},\n"

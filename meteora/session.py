@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -97,4 +96,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["local_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "unique_name", "os"]
+__all__ = ["local_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "unique_name"]

@@ -10,7 +10,6 @@ from typing import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from meteora.functions.scalar import parse_date
 from meteora.operators.cleaning import normalize_flags
@@ -70,4 +69,4 @@ def read_csv_with_schema(spark: SparkSession, paths: str | Iterable[str], schema
     return spark.read.schema(schema).option("header", header).csv(paths)
 
 
-__all__ = ["read_observations_csv", "read_csv_inferred", "read_csv_with_schema", "check_csv_paths", "F"]
+__all__ = ["read_observations_csv", "read_csv_inferred", "read_csv_with_schema", "check_csv_paths"]

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from typing import Iterable
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,5 +63,4 @@ def between_dates(df: DataFrame, start: date | str, end: date | str, date_col: s
     return out
 
 
-__all__ = ["read_parquet", "read_table", "named_table", "external_table", "read_years", "between_dates", "year_paths",
-           "Iterable"]
+__all__ = ["read_parquet", "read_table", "named_table", "external_table", "read_years", "between_dates", "year_paths"]
