@@ -116,6 +116,14 @@ def src_year_range(spark, sf_dir):
     return table_sources.read_years(spark, path, 1996, 1998)
 
 
+def ingest_csv_to_parquet(spark, sf_dir):
+    """Yearly CSV files -> typed observations -> Parquet folders per year."""
+    src, out = scratch_path(spark, "raw_csv"), scratch_path(spark, "converted")
+    file_sinks.write_observations_csv(_t(spark, sf_dir).lineitem_obs(), src)
+    file_sinks.convert_observations(csv_sources.read_observations_csv(spark, src), out)
+    return spark.read.parquet(out)
+
+
 def stream_ingest(spark, sf_dir):
     """New yearly CSV files -> Parquet, incrementally (two arrivals)."""
     from meteora.streaming import ingest_available
@@ -456,5 +464,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for name, obj in list(globals().items())
     if callable(obj) and not name.startswith("_") and name.split("_")[0] in
     {"src", "sink", "view", "proj", "filter", "clip", "pivot", "join", "agg", "win", "limit", "union", "fn",
-     "fact", "q", "job", "stream"}
+     "fact", "q", "job", "stream", "ingest"}
 }

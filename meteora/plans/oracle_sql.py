@@ -127,6 +127,7 @@ def oracles() -> dict[str, str]:
     q["src_external_table"] = _obs(EV)
     q["src_format_options"] = _obs(LI)
     q["src_year_range"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o WHERE year(date) BETWEEN 1996 AND 1998"
+    q["ingest_csv_to_parquet"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"
     q["stream_ingest"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"
     # sinks -----------------------------------------------------------------
     q["sink_parquet"] = sql_wide(EV, CANONICAL)

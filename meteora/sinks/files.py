@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meteora.schemas import OBS_CSV_COLUMNS
+from meteora.schemas import OBS_CSV_COLUMNS, OBS_PARQUET_COLUMNS
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -26,3 +26,20 @@ def write_observations_csv(obs: DataFrame, path: str, compression: str | None =
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)
+
+
+def parquet_layout(obs: DataFrame) -> DataFrame:
+    """Observation columns in the converted Parquet order (date last) plus a
+    ``year`` partition column."""
+    return obs.select(*OBS_PARQUET_COLUMNS).withColumn("year", F.year("date"))
+
+
+def convert_observations(obs: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Ingest conversion: typed observations -> Parquet, one folder per year.
+
+    Rows are range-partitioned by (year, id, date), so each task writes one
+    or two year folders with files sorted by station and day.
+    """
+    from meteora.sinks.tables import write_partitioned
+
+    write_partitioned(parquet_layout(obs), path, ["year"], ["id", "date"], mode=mode)

@@ -15,12 +15,12 @@ daily) is not seen again by a file stream; that refresh is the batch
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meteora.functions.scalar import parse_date
 from meteora.operators.cleaning import normalize_flags
-from meteora.schemas import OBS_CSV_SCHEMA, OBS_SCHEMA
+from meteora.schemas import OBS_CSV_SCHEMA
+from meteora.sinks.files import parquet_layout
 from meteora.session import scratch_path
 
 
@@ -30,8 +30,7 @@ def observation_stream(spark: SparkSession, source_dir: str, max_files_per_trigg
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(source_dir)
-    typed = normalize_flags(raw.withColumn("date", parse_date("date")))
-    return typed.select(*[f.name for f in OBS_SCHEMA.fields]).withColumn("year", F.year("date"))
+    return parquet_layout(normalize_flags(raw.withColumn("date", parse_date("date"))))
 
 
 def ingest_available(spark: SparkSession, source_dir: str, target: str, checkpoint: str | None = None,
