@@ -4,6 +4,11 @@
 * yearly comparison of two places (mean daily minimum temperature)
 * hottest days at a place
 * record counts per year
+
+Place predicates are written on the station dimension's columns, so a
+question about one place can also be given to the fact builders
+(``facts.fact_daily(..., stations_where=place)``), which then aggregate only
+that place's observations.
 """
 
 from __future__ import annotations
@@ -25,6 +30,17 @@ def station_named(pattern: str) -> Column:
     return F.upper(F.col("station_name")).like(pattern.upper())
 
 
+def any_place(places: dict[str, Column]) -> Column:
+    """Predicate of a station belonging to at least one of ``places``."""
+    preds = list(places.values())
+    if not preds:
+        raise ValueError("no place given")
+    out = preds[0]
+    for p in preds[1:]:
+        out = out | p
+    return out
+
+
 def max_by_country_year(fact: DataFrame, country: str | None = None, year: int | None = None,
                         measure: str = "tmax") -> DataFrame:
     """Maximum of ``measure`` per country and year (optionally one of each)."""

@@ -167,9 +167,10 @@ def sink_ctas_partitioned(spark, sf_dir):
     )
 
 
-def _fact_daily_li(spark, sf_dir, opts=CANONICAL):
+def _fact_daily_li(spark, sf_dir, opts=CANONICAL, stations_where=None):
     t = _t(spark, sf_dir)
-    return rounded(facts.fact_daily(t.lineitem_obs(), t.supplier_stations(), t.countries(), _opts(opts)))
+    return rounded(facts.fact_daily(t.lineitem_obs(), t.supplier_stations(), t.countries(), _opts(opts),
+                                    stations_where=stations_where))
 
 
 def _fact_yearly_li(spark, sf_dir, opts=CANONICAL):
@@ -446,13 +447,15 @@ def q_max_by_country_year(spark, sf_dir):
 
 
 def q_compare_yearly(spark, sf_dir):
-    fact = _fact_daily_li(spark, sf_dir)
     places = {"place_a": analytics.in_country("NATION_3"), "place_b": analytics.in_country("NATION_7")}
+    # only the two places' observations are aggregated
+    fact = _fact_daily_li(spark, sf_dir, stations_where=analytics.any_place(places))
     return rounded(analytics.compare_yearly(fact, places, "tmin"), ["place_a", "place_b"])
 
 
 def q_top_hottest(spark, sf_dir):
-    return analytics.top_hottest(_fact_daily_li(spark, sf_dir), analytics.in_country("NATION_5"), 10)
+    place = analytics.in_country("NATION_5")
+    return analytics.top_hottest(_fact_daily_li(spark, sf_dir, stations_where=place), place, 10)
 
 
 def q_record_counts(spark, sf_dir):

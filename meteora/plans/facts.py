@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteora.operators.aggregate import daily_parts, finish_parts, roll_up_parts, to_daily, to_yearly, year_start
@@ -16,29 +16,68 @@ def fact_columns(opts: TransformOptions) -> tuple[str, ...]:
     return JOB_FACT_COLUMNS if opts.column_order == "job" else FACT_COLUMNS
 
 
+def _dimension(stations_raw: DataFrame, countries_raw: DataFrame, where: Column | None,
+               max_broadcast_rows: int) -> tuple[DataFrame, bool]:
+    """The flattened station dimension (restricted by ``where``) and whether
+    it passed the broadcast size check."""
+    dim, small = checked_station_country(stations_raw, countries_raw, max_broadcast_rows)
+    return (dim if where is None else dim.where(where)), small
+
+
+def _join_dim(wide: DataFrame, dim: DataFrame, small: bool, columns: tuple[str, ...]) -> DataFrame:
+    return wide.join(F.broadcast(dim) if small else dim, "id", "inner").select(*columns)
+
+
+def restrict_to_stations(obs: DataFrame, dim: DataFrame, small: bool) -> DataFrame:
+    """Observations of the stations in ``dim`` only, before any aggregate.
+
+    A fact restricted to some stations (one country, a station name) equals
+    the aggregate of those stations' observations joined with them, because
+    the aggregate groups by station.  So the observations are cut first, by a
+    broadcast left-semi join on ``id``, and the aggregate and its shuffle only
+    see the rows that can reach the result.  The broadcast side is the
+    restricted dimension, whose full form passed the size check; when it did
+    not, the observations are left whole (a semi join would then need a
+    shuffle of the raw rows) and the inner join after the aggregate restricts.
+    """
+    return obs.join(F.broadcast(dim.select("id")), "id", "left_semi") if small else obs
+
+
 def enrich(wide: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
-           columns: tuple[str, ...] = FACT_COLUMNS, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           columns: tuple[str, ...] = FACT_COLUMNS, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+           stations_where: Column | None = None) -> DataFrame:
     """Join wide rows with their station and country; rows without either go.
 
     The flattened station dimension is broadcast after a row-count check;
     above the bound the join is left to a shuffle (or AQE's runtime choice).
     The aggregate is computed before the join, so only one row per
-    station/period meets the dimension.
+    station/period meets the dimension.  ``stations_where`` (a predicate on
+    the dimension's columns) keeps only the matching stations.
     """
-    dim, small = checked_station_country(stations_raw, countries_raw, max_broadcast_rows)
-    return wide.join(F.broadcast(dim) if small else dim, "id", "inner").select(*columns)
+    dim, small = _dimension(stations_raw, countries_raw, stations_where, max_broadcast_rows)
+    return _join_dim(wide, dim, small, columns)
+
+
+def _fact(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame, opts: TransformOptions,
+          stations_where: Column | None, transform) -> DataFrame:
+    dim, small = _dimension(stations_raw, countries_raw, stations_where, MAX_BROADCAST_ROWS)
+    if stations_where is not None:
+        obs = restrict_to_stations(obs, dim, small)
+    return _join_dim(transform(obs, opts), dim, small, fact_columns(opts))
 
 
 def fact_daily(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
-               opts: TransformOptions = CANONICAL) -> DataFrame:
-    columns = fact_columns(opts)
-    return enrich(to_daily(obs, opts), stations_raw, countries_raw, columns)
+               opts: TransformOptions = CANONICAL, stations_where: Column | None = None) -> DataFrame:
+    """Daily fact; ``stations_where`` restricts it to the stations matching a
+    predicate on station or country columns (e.g. ``country_name = 'FRANCE'``),
+    and the restriction is applied before the aggregate."""
+    return _fact(obs, stations_raw, countries_raw, opts, stations_where, to_daily)
 
 
 def fact_yearly(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
-                opts: TransformOptions = CANONICAL) -> DataFrame:
-    columns = fact_columns(opts)
-    return enrich(to_yearly(obs, opts), stations_raw, countries_raw, columns)
+                opts: TransformOptions = CANONICAL, stations_where: Column | None = None) -> DataFrame:
+    """Yearly fact; ``stations_where`` as in ``fact_daily``."""
+    return _fact(obs, stations_raw, countries_raw, opts, stations_where, to_yearly)
 
 
 def both_facts(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame, opts: TransformOptions,

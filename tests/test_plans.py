@@ -96,3 +96,55 @@ def test_hot_station_day_is_combined_map_side(spark):
     assert daily.count() == 1001
     w = window_avg(hot.repartition(8), OPTS).agg(F.count("*").alias("n"), F.max("tmax").alias("m")).first()
     assert w["n"] == 30000 and abs(w["m"] - 4.95) < 1e-9
+
+
+def test_place_restriction_cuts_observations_before_the_aggregate(spark):
+    from meteora.plans import analytics
+    from meteora.plans.facts import fact_yearly
+
+    t = DriverTables(spark, SF_SMALL)
+    place = analytics.in_country("NATION_3") | analytics.station_named("%#000000001")
+    args = (t.lineitem_obs(), t.supplier_stations(), t.countries(), OPTS)
+    cols = ["id", "date", "tmax", "tmin", "prcp", "snow", "snwd", "m_flag", "s_flag", "station_name", "country_name"]
+    for build in (fact_daily, fact_yearly):
+        restricted = build(*args, stations_where=place)
+        assert _sorted(restricted, cols) == _sorted(build(*args).where(place), cols)
+        assert restricted.count() > 0
+        plan = plan_text(restricted)
+        # broadcast semi join on the raw rows, below the partial aggregate
+        assert "LeftSemi" in plan
+        assert plan.index("BroadcastHashJoin LeftSemi") > plan.index("HashAggregate")  # deeper in the tree
+
+
+def test_hot_station_day_is_split_in_the_window_join(spark):
+    """A third of all rows on one station/day: AQE splits that key's join
+    partition in the window form (rows must differ, as real rows do, for
+    the shuffle block to be large after compression)."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 150000
+        rows = spark.range(0, n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT00000001"))
+            .otherwise(F.concat(F.lit("ST"), F.lpad((F.col("id") % 5000).cast("string"), 9, "0"))).alias("id"),
+            F.to_date(F.lit("2020-01-01")).alias("date"), F.lit("TMAX").alias("element"),
+            (F.col("id") % 100).alias("value"),
+            F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 24).alias("m_flag"), F.lit("").alias("q_flag"),
+            F.lit("S").alias("s_flag"), F.lit(None).cast("short").alias("obs_time"), F.col("id").alias("seq"),
+        ).repartition(8)
+        # m_flag stays in the aggregate, so column pruning keeps whole rows in the join
+        out = window_avg(rows, OPTS).groupBy("id").agg(F.count("*").alias("n"), F.max("tmax").alias("m"),
+                                                       F.max("m_flag").alias("f"))
+        hot = {r["id"]: (r["n"], r["m"]) for r in out.collect()}["HOT00000001"]
+        assert hot[0] == n // 3 and abs(hot[1] - 4.95) < 1e-9
+        assert "SortMergeJoin(skew=true)" in plan_text(out)  # the executed, final adaptive plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
