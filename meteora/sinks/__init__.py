@@ -9,11 +9,12 @@ from meteora.sinks.tables import (
     write_fact_daily,
     write_fact_yearly,
     write_partitioned,
+    write_sorted,
     write_years,
 )
 
 __all__ = [
     "write_csv_quoted", "write_observations_csv", "write_parquet", "jdbc_options", "write_jdbc",
     "create_or_replace_table", "refresh_partitions", "write_clustered", "write_fact_daily", "write_fact_yearly",
-    "write_partitioned", "write_years",
+    "write_partitioned", "write_sorted", "write_years",
 ]

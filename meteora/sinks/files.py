@@ -37,9 +37,11 @@ def parquet_layout(obs: DataFrame) -> DataFrame:
 def convert_observations(obs: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Ingest conversion: typed observations -> Parquet, one folder per year.
 
-    Rows are range-partitioned by (year, id, date), so each task writes one
-    or two year folders with files sorted by station and day.
+    One read of the raw files and no shuffle: a task reads part of one
+    year's file, sorts its rows by (year, id, date) and writes them into that
+    year's folder, so files are sorted by station and day (row groups skip
+    on id).  See ``write_sorted`` for why no range repartition is used here.
     """
-    from meteora.sinks.tables import write_partitioned
+    from meteora.sinks.tables import write_sorted
 
-    write_partitioned(parquet_layout(obs), path, ["year"], ["id", "date"], mode=mode)
+    write_sorted(parquet_layout(obs), path, ["year"], ["id", "date"], mode=mode)

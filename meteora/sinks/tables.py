@@ -40,6 +40,26 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], cluster
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] = (),
+                 mode: str = "overwrite", dynamic: bool = False) -> None:
+    """Partitioned Parquet write without a shuffle: every task sorts its own
+    rows by (partition keys, ``sort_by``) and writes them.
+
+    For input whose tasks already hold one partition value each (yearly
+    source files: a task reads part of one year's file), this gives sorted
+    files in few folders per task from a single read.  A range repartition
+    would first run a sampling job over the whole input, i.e. read and parse
+    the raw files twice (and a gzip file is one task, so the slowest task
+    twice).  Input spread over all partition values (e.g. an aggregate's
+    output) belongs in ``write_partitioned``, which bounds the files per task.
+    """
+    keys = [*partition_by, *sort_by]
+    writer = (df.sortWithinPartitions(*keys) if keys else df).write.mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def write_clustered(df: DataFrame, path: str, cluster_by: list[str], mode: str = "overwrite",
                     num_files: int | None = None) -> None:
     """Unpartitioned Parquet, range-clustered by ``cluster_by``."""

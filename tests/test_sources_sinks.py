@@ -113,3 +113,34 @@ def test_jdbc_options():
         jdbc.jdbc_options("postgresql://db", "t")
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x:y", "t", batchsize=0)
+
+
+def test_ingest_conversion_sorted_files_one_folder_per_year(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from meteora.plans.catalog import OBS_COLS
+    from meteora.plans.testmap import DriverTables
+    from meteora.session import local_path
+    from meteora.sinks.files import convert_observations, write_observations_csv
+
+    from conftest import SF_SMALL
+
+    obs = DriverTables(spark, SF_SMALL).lineitem_obs()
+    src, out = scratch("ingest_src"), scratch("ingest_out")
+    # one CSV folder per year, as the yearly source files
+    for y in (1995, 1996, 1997):
+        write_observations_csv(obs.where(F.year("date") == y), f"{src}/{y}")
+    convert_observations(read_observations_csv(spark, f"{src}/*"), out)
+    back = spark.read.parquet(out)
+    want = obs.where(F.year("date").between(1995, 1997)).select(*OBS_COLS)
+    assert sorted(back.select(*OBS_COLS).collect()) == sorted(want.collect())
+    folders = sorted(p.rsplit("/", 1)[-1] for p in glob.glob(local_path(out) + "/year=*"))
+    assert folders == ["year=1995", "year=1996", "year=1997"]
+    # date is the last column (converted layout); every file is sorted by id, date
+    for f in glob.glob(local_path(out) + "/year=*/*.parquet"):
+        t = pq.ParquetFile(f).read()  # the file alone (no column from the folder name)
+        assert t.column_names[-1] == "date"
+        keys = list(zip(t.column("id").to_pylist(), t.column("date").to_pylist()))
+        assert keys == sorted(keys)
