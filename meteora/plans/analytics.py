@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteora.operators.limit import top_k
+from meteora.sinks.tables import with_year
 
 
 def in_country(name: str) -> Column:
@@ -43,8 +44,13 @@ def any_place(places: dict[str, Column]) -> Column:
 
 def max_by_country_year(fact: DataFrame, country: str | None = None, year: int | None = None,
                         measure: str = "tmax") -> DataFrame:
-    """Maximum of ``measure`` per country and year (optionally one of each)."""
-    rows = fact.withColumn("year", F.year("date"))
+    """Maximum of ``measure`` per country and year (optionally one of each).
+
+    On a stored fact the ``year`` partition column is used as it is, so a
+    year filter reads only that year's folder and the country filter reaches
+    the Parquet scan (files are sorted by country, row groups are skipped).
+    """
+    rows = with_year(fact)
     if country is not None:
         rows = rows.where(F.col("country_name") == country)
     if year is not None:
@@ -65,7 +71,7 @@ def compare_yearly(fact: DataFrame, places: dict[str, Column], measure: str = "t
     label = F.lit(None).cast("string")
     for name, pred in reversed(list(places.items())):
         label = F.when(pred, F.lit(name)).otherwise(label)
-    rows = fact.select(F.year("date").alias("year"), label.alias("_place"), F.col(measure)).where(
+    rows = with_year(fact).select("year", label.alias("_place"), F.col(measure)).where(
         F.col("_place").isNotNull()
     )
     return rows.groupBy("year").pivot("_place", list(places)).agg(F.avg(measure))
@@ -81,4 +87,4 @@ def top_hottest(fact: DataFrame, place: Column | None = None, k: int = 10, measu
 
 def record_counts(fact: DataFrame) -> DataFrame:
     """Number of fact rows per year."""
-    return fact.groupBy(F.year("date").alias("year")).agg(F.count(F.lit(1)).alias("n_records"))
+    return with_year(fact).groupBy("year").agg(F.count(F.lit(1)).alias("n_records"))

@@ -458,6 +458,15 @@ def q_top_hottest(spark, sf_dir):
     return analytics.top_hottest(_fact_daily_li(spark, sf_dir, stations_where=place), place, 10)
 
 
+def q_max_stored_fact(spark, sf_dir):
+    """The question asked of the stored daily fact (partitioned by year,
+    sorted by country and station): one year folder is read, the country
+    filter is pushed into the scan."""
+    path = scratch_path(spark, "fact_daily_served")
+    table_sinks.write_fact_daily(_fact_daily_li(spark, sf_dir), path)
+    return analytics.max_by_country_year(table_sources.read_parquet(spark, path), "NATION_3", 1996)
+
+
 def q_record_counts(spark, sf_dir):
     return analytics.record_counts(_fact_daily_li(spark, sf_dir))
 

@@ -225,5 +225,10 @@ def oracles() -> dict[str, str]:
         f"SELECT {fact_cols} FROM ({FACT_DAILY_LI}) AS f WHERE country_name = 'NATION_5' AND tmax IS NOT NULL "
         "ORDER BY tmax DESC, date, id LIMIT 10"
     )
+    q["q_max_stored_fact"] = (
+        f"SELECT country_code, country_name, {_year_int()} AS year, max(tmax) AS max_tmax "
+        f"FROM ({FACT_DAILY_LI}) AS f WHERE country_name = 'NATION_3' AND year(date) = 1996 "
+        "GROUP BY country_code, country_name, year(date)"
+    )
     q["q_record_counts"] = f"SELECT {_year_int()} AS year, count(*) AS n_records FROM ({FACT_DAILY_LI}) AS f GROUP BY year(date)"
     return q

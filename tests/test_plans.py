@@ -148,3 +148,18 @@ def test_hot_station_day_is_split_in_the_window_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_question_on_stored_fact_prunes_year_and_pushes_country(spark, scratch):
+    from meteora.plans import analytics
+    from meteora.sinks.tables import write_fact_daily
+
+    t = DriverTables(spark, SF_SMALL)
+    path = scratch("served_fact")
+    write_fact_daily(fact_daily(t.lineitem_obs(), t.supplier_stations(), t.countries(), OPTS), path)
+    stored = spark.read.parquet(path)
+    q = analytics.max_by_country_year(stored, "NATION_3", 1996)
+    plan = plan_text(q)
+    assert re.search(r"PartitionFilters: \[.*\(year#\d+ = 1996\)", plan)
+    assert "EqualTo(country_name,NATION_3)" in plan
+    assert q.count() == 1
