@@ -12,6 +12,12 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcasts need a proven size.  The static planner's choice rests on an
+    # estimate from compressed file sizes, so it is off; AQE still turns a
+    # shuffle join into a broadcast when the finished stage measured at most
+    # this much.  Explicit broadcasts (dimensions) pass a row-count check.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",

@@ -125,6 +125,8 @@ def test_hot_station_day_is_split_in_the_window_join(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        # at scale the per-key averages are far too big to broadcast
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
