@@ -14,19 +14,26 @@ daily run over the current year); otherwise the fact tables are replaced.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+if __package__ in (None, ""):
+    # Run as a script (spark-submit meteora/plans/job.py ...): the package
+    # root must be importable on the driver.  Executors never import it, since
+    # every expression is a built-in (JVM-side) function.
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from meteora.operators.limit import sample_rows
-from meteora.options import CANONICAL, JOB, LOCAL
-from meteora.plans.facts import both_facts
-from meteora.session import ensure_checkpoint_dir, scratch_path
-from meteora.sinks.tables import refresh_partitions, with_year, write_fact_daily, write_fact_yearly
-from meteora.sources.csv import read_observations_csv
-from meteora.sources.fixed_width import read_countries, read_stations
-from meteora.sources.tables import read_years
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+
+from meteora.operators.limit import sample_rows  # noqa: E402
+from meteora.options import CANONICAL, JOB, LOCAL  # noqa: E402
+from meteora.plans.facts import both_facts  # noqa: E402
+from meteora.session import base_session, ensure_checkpoint_dir, scratch_path  # noqa: E402
+from meteora.sinks.tables import refresh_partitions, with_year, write_fact_daily, write_fact_yearly  # noqa: E402
+from meteora.sources.csv import read_observations_csv  # noqa: E402
+from meteora.sources.fixed_width import read_countries, read_stations  # noqa: E402
+from meteora.sources.tables import read_years  # noqa: E402
 
 VARIANTS = {"canonical": CANONICAL, "local": LOCAL, "job": JOB}
 
@@ -86,8 +93,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     a = parse_args(sys.argv[1:] if argv is None else argv)
-    spark = SparkSession.builder.appName("meteora-facts").getOrCreate()
-    run(spark, a)
+    run(base_session("meteora-facts"), a)
 
 
 if __name__ == "__main__":

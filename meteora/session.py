@@ -54,6 +54,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def unset_base_conf(submitted) -> dict[str, str]:
+    """The ``BASE_CONF`` settings that the submitted configuration (a
+    ``SparkConf``) does not set: ``--conf`` wins."""
+    return {k: v for k, v in BASE_CONF.items() if not submitted.contains(k)}
+
+
+def base_session(app: str) -> SparkSession:
+    """The session of a submitted job (``spark-submit``): the base settings the
+    submitter did not set are given to the builder before the session exists,
+    so the static ones (the UI, PySpark's call-site capture) apply too."""
+    from pyspark import SparkConf
+
+    builder = SparkSession.builder.appName(app)
+    for k, v in unset_base_conf(SparkConf()).items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
+
+
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a large input (e.g. 100 TB on a thousand executors).
 
@@ -108,4 +126,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["local_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "unique_name"]
+__all__ = ["local_session", "base_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "unique_name"]

@@ -34,8 +34,9 @@ def _obs_with_country_ids(t):
     return t.lineitem_obs().join(sup, "id").drop("id").withColumnRenamed("new_id", "id")
 
 
-def test_job_parquet_and_text_dims(spark, scratch):
-    t = DriverTables(spark, SF_SMALL)
+def _job_inputs(spark, scratch, t):
+    """Observations as a year-partitioned Parquet table, stations and countries
+    as fixed-width text; returns the paths and the observations."""
     obs_path, st_path, co_path = scratch("job_obs"), scratch("job_st"), scratch("job_co")
     obs_c = _obs_with_country_ids(t)
     obs = obs_c.select(*OBS_COLS, "seq").withColumn("year", F.year("date"))
@@ -43,12 +44,10 @@ def test_job_parquet_and_text_dims(spark, scratch):
     stations = t.supplier_stations(embed_country=True)
     _fixed_width_lines(stations, STATION_LAYOUT).write.text(st_path)
     _fixed_width_lines(t.countries(), COUNTRY_LAYOUT).write.text(co_path)
-    daily_out, yearly_out = scratch("job_daily"), scratch("job_yearly")
-    args = parse_args([
-        "1995", "2001", "--observations", obs_path, "--stations", st_path, "--countries", co_path,
-        "--daily-out", daily_out, "--yearly-out", yearly_out, "--order-by", "seq",
-    ])
-    run(spark, args)
+    return obs_path, st_path, co_path, obs_c
+
+
+def _check_job_output(spark, t, obs_c, st_path, co_path, daily_out, yearly_out):
     # the text dimensions carry no country column: it comes from the id, so
     # compare against the same dimension read back from text
     from meteora.sources.fixed_width import read_countries, read_stations
@@ -63,6 +62,43 @@ def test_job_parquet_and_text_dims(spark, scratch):
     assert sorted(r["year"] for r in got_yearly.select("year").distinct().collect()) == list(range(1995, 2002))
 
 
+def test_job_parquet_and_text_dims(spark, scratch):
+    t = DriverTables(spark, SF_SMALL)
+    obs_path, st_path, co_path, obs_c = _job_inputs(spark, scratch, t)
+    daily_out, yearly_out = scratch("job_daily"), scratch("job_yearly")
+    args = parse_args([
+        "1995", "2001", "--observations", obs_path, "--stations", st_path, "--countries", co_path,
+        "--daily-out", daily_out, "--yearly-out", yearly_out, "--order-by", "seq",
+    ])
+    run(spark, args)
+    _check_job_output(spark, t, obs_c, st_path, co_path, daily_out, yearly_out)
+
+
+def test_job_runs_as_a_script(spark, scratch):
+    """``spark-submit meteora/plans/job.py ...``: a separate driver process
+    that only has the script path."""
+    import os
+    import subprocess
+    import sys
+
+    from meteora.session import local_path
+
+    t = DriverTables(spark, SF_SMALL)
+    obs_path, st_path, co_path, obs_c = _job_inputs(spark, scratch, t)
+    daily_out, yearly_out = scratch("script_daily"), scratch("script_yearly")
+    script = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "meteora", "plans", "job.py")
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS=(
+        f"--master local[2] --conf spark.ui.enabled=false --conf spark.checkpoint.dir={scratch('script_ckpt')} "
+        "pyspark-shell"))
+    done = subprocess.run(
+        [sys.executable, script, "1995", "2001", "--observations", obs_path, "--stations", st_path,
+         "--countries", co_path, "--daily-out", daily_out, "--yearly-out", yearly_out, "--order-by", "seq"],
+        cwd=local_path(scratch("script_cwd")).rsplit("/", 1)[0], env=env, capture_output=True, text=True, timeout=900,
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
+    _check_job_output(spark, t, obs_c, st_path, co_path, daily_out, yearly_out)
+
+
 def test_job_csv_refresh_of_one_year(spark, scratch, tmp_path):
     t = DriverTables(spark, SF_SMALL)
     obs = t.lineitem_obs()

@@ -67,3 +67,21 @@ def test_local_session_without_one_gets_a_folder():
     s = _Session("local[2]")
     d = ensure_checkpoint_dir(s)
     assert d and s.conf.get("spark.checkpoint.dir") == d and s.sparkContext.getCheckpointDir() == d
+
+
+class _SubmittedConf:
+    def __init__(self, keys):
+        self.keys = set(keys)
+
+    def contains(self, key):
+        return key in self.keys
+
+
+def test_base_conf_fills_what_the_submitter_left_unset():
+    from meteora.session import BASE_CONF, unset_base_conf
+
+    submitted = {"spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.ui.enabled"}
+    unset = unset_base_conf(_SubmittedConf(submitted))
+    assert set(unset) == set(BASE_CONF) - submitted  # --conf wins
+    assert unset["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    assert unset["spark.python.sql.dataFrameDebugging.enabled"] == "false"
