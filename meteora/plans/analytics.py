@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meteora.operators.join import checked_broadcast
 from meteora.operators.limit import top_k
 from meteora.sinks.tables import with_year
 
@@ -42,6 +43,27 @@ def any_place(places: dict[str, Column]) -> Column:
     return out
 
 
+def at_place(fact: DataFrame, stations: DataFrame, place: Column, max_keys: int = 1000) -> DataFrame:
+    """Rows of a stored fact at a place, found through the station dimension.
+
+    ``place`` is a predicate on the dimension's columns (``stations`` is the
+    flattened station dimension: id, station_name, country_code, ...).  The
+    place is resolved in the small dimension first; when it has at most
+    ``max_keys`` stations, their ids and country codes come to the driver and
+    filter the fact with ``IN`` lists, which reach the Parquet scan: files
+    sorted by country and station skip all other row groups.  A place with
+    more stations is joined in (a size-checked broadcast semi join) instead,
+    so the result is the same either way.
+    """
+    matching = stations.where(place).select("country_code", "id")
+    keys = matching.limit(max_keys + 1).collect()  # at most max_keys + 1 short rows
+    if len(keys) > max_keys:
+        return fact.join(checked_broadcast(matching.select("id")), "id", "left_semi")
+    codes = sorted({r["country_code"] for r in keys})
+    ids = sorted({r["id"] for r in keys})
+    return fact.where(F.col("country_code").isin(codes) & F.col("id").isin(ids))
+
+
 def max_by_country_year(fact: DataFrame, country: str | None = None, year: int | None = None,
                         measure: str = "tmax") -> DataFrame:
     """Maximum of ``measure`` per country and year (optionally one of each).

@@ -467,6 +467,19 @@ def q_max_stored_fact(spark, sf_dir):
     return analytics.max_by_country_year(table_sources.read_parquet(spark, path), "NATION_3", 1996)
 
 
+def q_top_hottest_stored(spark, sf_dir):
+    """Hottest days at a place named by station name, asked of the stored
+    daily fact: the place is resolved in the station dimension, and the fact
+    scan reads only the row groups of those stations."""
+    t = _t(spark, sf_dir)
+    path = scratch_path(spark, "fact_daily_served")
+    table_sinks.write_fact_daily(_fact_daily_li(spark, sf_dir), path)
+    place = analytics.station_named("Supplier#00000001_")
+    stations = dimensions.station_country(t.supplier_stations(), t.countries())
+    rows = analytics.at_place(table_sources.read_parquet(spark, path), stations, place)
+    return analytics.top_hottest(rows, None, 10).drop("year")
+
+
 def q_record_counts(spark, sf_dir):
     return analytics.record_counts(_fact_daily_li(spark, sf_dir))
 

@@ -230,5 +230,10 @@ def oracles() -> dict[str, str]:
         f"FROM ({FACT_DAILY_LI}) AS f WHERE country_name = 'NATION_3' AND year(date) = 1996 "
         "GROUP BY country_code, country_name, year(date)"
     )
+    q["q_top_hottest_stored"] = (
+        f"SELECT {fact_cols} FROM ({FACT_DAILY_LI}) AS f "
+        "WHERE upper(station_name) LIKE upper('Supplier#00000001_') AND tmax IS NOT NULL "
+        "ORDER BY tmax DESC, date, id LIMIT 10"
+    )
     q["q_record_counts"] = f"SELECT {_year_int()} AS year, count(*) AS n_records FROM ({FACT_DAILY_LI}) AS f GROUP BY year(date)"
     return q

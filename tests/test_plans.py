@@ -165,3 +165,25 @@ def test_question_on_stored_fact_prunes_year_and_pushes_country(spark, scratch):
     assert re.search(r"PartitionFilters: \[.*\(year#\d+ = 1996\)", plan)
     assert "EqualTo(country_name,NATION_3)" in plan
     assert q.count() == 1
+
+
+def test_place_by_name_on_stored_fact_pushes_station_keys(spark, scratch):
+    from meteora.plans import analytics
+    from meteora.plans.dimensions import station_country
+    from meteora.sinks.tables import write_fact_daily
+
+    t = DriverTables(spark, SF_SMALL)
+    path = scratch("served_fact_by_name")
+    write_fact_daily(fact_daily(t.lineitem_obs(), t.supplier_stations(), t.countries(), OPTS), path)
+    stored = spark.read.parquet(path)
+    stations = station_country(t.supplier_stations(), t.countries())
+    place = analytics.station_named("%#00000000_")
+    listed = analytics.at_place(stored, stations, place)
+    plan = plan_text(listed)
+    assert "In(country_code," in plan and "In(id," in plan  # both reach the Parquet scan
+    joined = analytics.at_place(stored, stations, place, max_keys=2)  # too many stations: semi join
+    assert "LeftSemi" in plan_text(joined)
+    want = stored.where(place)
+    cols = ["id", "date", "tmax", "m_flag", "station_name"]
+    assert _sorted(listed, cols) == _sorted(joined, cols) == _sorted(want, cols)
+    assert listed.count() > 0
