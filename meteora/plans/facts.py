@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteora.operators.aggregate import daily_parts, finish_parts, roll_up_parts, to_daily, to_yearly, year_start
-from meteora.operators.join import MAX_BROADCAST_ROWS
+from meteora.operators.join import MAX_BROADCAST_ROWS, fits_broadcast
 from meteora.options import CANONICAL, TransformOptions
 from meteora.plans.dimensions import checked_station_country
 from meteora.schemas import FACT_COLUMNS, JOB_FACT_COLUMNS
@@ -19,9 +19,13 @@ def fact_columns(opts: TransformOptions) -> tuple[str, ...]:
 def _dimension(stations_raw: DataFrame, countries_raw: DataFrame, where: Column | None,
                max_broadcast_rows: int) -> tuple[DataFrame, bool]:
     """The flattened station dimension (restricted by ``where``) and whether
-    it passed the broadcast size check."""
+    it passed the broadcast size check.  A restricted dimension is counted
+    again when the whole one is too big: one place may still be small."""
     dim, small = checked_station_country(stations_raw, countries_raw, max_broadcast_rows)
-    return (dim if where is None else dim.where(where)), small
+    if where is None:
+        return dim, small
+    dim = dim.where(where)
+    return dim, small or fits_broadcast(dim, max_broadcast_rows)
 
 
 def _join_dim(wide: DataFrame, dim: DataFrame, small: bool, columns: tuple[str, ...]) -> DataFrame:
@@ -36,9 +40,9 @@ def restrict_to_stations(obs: DataFrame, dim: DataFrame, small: bool) -> DataFra
     the aggregate groups by station.  So the observations are cut first, by a
     broadcast left-semi join on ``id``, and the aggregate and its shuffle only
     see the rows that can reach the result.  The broadcast side is the
-    restricted dimension, whose full form passed the size check; when it did
-    not, the observations are left whole (a semi join would then need a
-    shuffle of the raw rows) and the inner join after the aggregate restricts.
+    restricted dimension, after it passed the size check; when it did not,
+    the observations are left whole (a semi join would then need a shuffle of
+    the raw rows) and the inner join after the aggregate restricts.
     """
     return obs.join(F.broadcast(dim.select("id")), "id", "left_semi") if small else obs
 
@@ -59,8 +63,8 @@ def enrich(wide: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
 
 
 def _fact(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame, opts: TransformOptions,
-          stations_where: Column | None, transform) -> DataFrame:
-    dim, small = _dimension(stations_raw, countries_raw, stations_where, MAX_BROADCAST_ROWS)
+          stations_where: Column | None, transform, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    dim, small = _dimension(stations_raw, countries_raw, stations_where, max_broadcast_rows)
     if stations_where is not None:
         obs = restrict_to_stations(obs, dim, small)
     return _join_dim(transform(obs, opts), dim, small, fact_columns(opts))

@@ -187,3 +187,23 @@ def test_place_by_name_on_stored_fact_pushes_station_keys(spark, scratch):
     cols = ["id", "date", "tmax", "m_flag", "station_name"]
     assert _sorted(listed, cols) == _sorted(joined, cols) == _sorted(want, cols)
     assert listed.count() > 0
+
+
+def test_small_place_of_a_big_dimension_is_still_cut_early(spark):
+    from meteora.plans import analytics
+    from meteora.plans.facts import _fact
+    from meteora.operators.aggregate import to_daily
+
+    t = DriverTables(spark, SF_SMALL)
+    args = (t.lineitem_obs(), t.supplier_stations(), t.countries(), OPTS)
+    one = analytics.station_named("%#000000003")  # one station; the dimension has ten
+    # bound 1: the whole dimension fails the check, the one-station place passes it
+    restricted = _fact(*args, one, to_daily, max_broadcast_rows=1)
+    assert "BroadcastHashJoin LeftSemi" in plan_text(restricted)
+    cols = ["id", "date", "tmax", "tmin", "m_flag", "station_name"]
+    assert _sorted(restricted, cols) == _sorted(fact_daily(*args).where(one), cols)
+    # a place too big for the bound is not cut early, and the result is the same
+    many = analytics.station_named("%SUPPLIER%")
+    whole = _fact(*args, many, to_daily, max_broadcast_rows=1)
+    assert "LeftSemi" not in plan_text(whole)
+    assert _sorted(whole, cols) == _sorted(fact_daily(*args).where(many), cols)
