@@ -13,6 +13,9 @@ that place's observations.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +37,9 @@ def station_named(pattern: str) -> Column:
 
 def any_place(places: dict[str, Column]) -> Column:
     """Predicate of a station belonging to at least one of ``places``."""
-    preds = list(places.values())
-    if not preds:
+    if not places:
         raise ValueError("no place given")
-    out = preds[0]
-    for p in preds[1:]:
-        out = out | p
-    return out
+    return reduce(operator.or_, places.values())
 
 
 def at_place(fact: DataFrame, stations: DataFrame, place: Column, max_keys: int = 1000) -> DataFrame:
@@ -59,8 +58,9 @@ def at_place(fact: DataFrame, stations: DataFrame, place: Column, max_keys: int
     keys = matching.limit(max_keys + 1).collect()  # at most max_keys + 1 short rows
     if len(keys) > max_keys:
         return fact.join(checked_broadcast(matching.select("id")), "id", "left_semi")
-    codes = sorted({r["country_code"] for r in keys})
-    ids = sorted({r["id"] for r in keys})
+    # a null key never matches (as in the join), so it is left out of the lists
+    codes = sorted({r["country_code"] for r in keys if r["country_code"] is not None})
+    ids = sorted({r["id"] for r in keys if r["id"] is not None})
     return fact.where(F.col("country_code").isin(codes) & F.col("id").isin(ids))
 
 
