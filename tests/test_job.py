@@ -122,3 +122,26 @@ def test_job_csv_refresh_of_one_year(spark, scratch, tmp_path):
     run(spark, parse_args(["2001", "2001", *common, "--refresh"]))
     assert spark.read.parquet(daily_out).count() == before
     assert spark.read.parquet(yearly_out).groupBy("year").count().count() == 2
+
+
+def test_ingest_backfill_then_refresh_of_the_current_year(spark, scratch, tmp_path):
+    from meteora.plans import ingest
+
+    t = DriverTables(spark, SF_SMALL)
+    obs = t.lineitem_obs()
+    csv_dir = tmp_path / "yearly_csv"
+    csv_dir.mkdir()
+    for y in (1999, 2000, 2001):
+        part = scratch(f"ingest_csv_{y}")
+        write_observations_csv(obs.where(F.year("date") == y).coalesce(1), part)
+        rows = spark.read.text(part).collect()
+        (csv_dir / f"{y}.csv").write_text("".join(r["value"] + "\n" for r in rows))
+    out = scratch("ingested_table")
+    ingest.run(spark, ingest.parse_args(["1999", "2001", "--csv", str(csv_dir), "--out", out]))
+    want = sorted(obs.where(F.year("date").between(1999, 2001)).select(*OBS_COLS).collect())
+    assert sorted(spark.read.parquet(out).select(*OBS_COLS).collect()) == want
+    # the current year is re-published and re-ingested, twice: no duplicates,
+    # the other years untouched
+    for _ in range(2):
+        ingest.run(spark, ingest.parse_args(["2001", "2001", "--csv", str(csv_dir), "--out", out, "--refresh"]))
+    assert sorted(spark.read.parquet(out).select(*OBS_COLS).collect()) == want
