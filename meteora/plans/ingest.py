@@ -1,12 +1,18 @@
-"""Ingest job: yearly observation CSV files -> one Parquet table by year.
+"""Ingest jobs: raw files -> Parquet tables the batch job reads.
 
-    spark-submit meteora/plans/ingest.py START_YEAR END_YEAR \\
+    spark-submit meteora/plans/ingest.py observations START_YEAR END_YEAR \\
         --csv <folder of <year>.csv or <year>.csv.gz>  --out <table path>  [--refresh]
+    spark-submit meteora/plans/ingest.py dimensions \\
+        --stations ghcnd-stations.txt --countries ghcnd-countries.txt --out <folder>
 
-Without ``--refresh`` the table is replaced by the years read (a backfill).
-With it, only those years' folders are replaced (dynamic partition
-overwrite), which is the daily re-ingest of the current year: running it
-again replaces the year again and never duplicates rows.
+Observations: without ``--refresh`` the table is replaced by the years read
+(a backfill).  With it, only those years' folders are replaced (dynamic
+partition overwrite), which is the daily re-ingest of the current year:
+running it again replaces the year again and never duplicates rows.
+
+Dimensions: the fixed-width station and country lists become typed Parquet
+tables ``<out>/stations`` and ``<out>/countries`` (the job's
+``--dims-format parquet``).
 """
 
 from __future__ import annotations
@@ -22,24 +28,36 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from meteora.session import base_session  # noqa: E402
-from meteora.sinks.files import convert_observations  # noqa: E402
+from meteora.sinks.files import convert_observations, write_parquet  # noqa: E402
 from meteora.sources.csv import read_observations_csv  # noqa: E402
+from meteora.sources.fixed_width import read_countries, read_stations  # noqa: E402
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="meteora-ingest", description=__doc__.split("\n\n")[0])
-    p.add_argument("start_year", type=int)
-    p.add_argument("end_year", type=int)
-    p.add_argument("--csv", required=True, help="folder holding <year>.csv or <year>.csv.gz")
-    p.add_argument("--out", required=True, help="Parquet table partitioned by year")
-    p.add_argument("--refresh", action="store_true", help="replace only the years read")
+    sub = p.add_subparsers(dest="what", required=True)
+    o = sub.add_parser("observations", help="yearly CSV files -> table partitioned by year")
+    o.add_argument("start_year", type=int)
+    o.add_argument("end_year", type=int)
+    o.add_argument("--csv", required=True, help="folder holding <year>.csv or <year>.csv.gz")
+    o.add_argument("--out", required=True, help="Parquet table partitioned by year")
+    o.add_argument("--refresh", action="store_true", help="replace only the years read")
+    d = sub.add_parser("dimensions", help="fixed-width station and country lists -> Parquet tables")
+    d.add_argument("--stations", required=True)
+    d.add_argument("--countries", required=True)
+    d.add_argument("--out", required=True, help="folder for the stations and countries tables")
     a = p.parse_args(argv)
-    if a.end_year < a.start_year:
+    if a.what == "observations" and a.end_year < a.start_year:
         p.error("end_year is before start_year")
     return a
 
 
 def run(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.what == "dimensions":
+        out = a.out.rstrip("/")
+        write_parquet(read_stations(spark, a.stations), f"{out}/stations")
+        write_parquet(read_countries(spark, a.countries), f"{out}/countries")
+        return
     base = a.csv.rstrip("/")
     obs = read_observations_csv(spark, [f"{base}/{y}.csv*" for y in range(a.start_year, a.end_year + 1)])
     convert_observations(obs, a.out, mode="overwrite", dynamic=a.refresh)

@@ -137,11 +137,30 @@ def test_ingest_backfill_then_refresh_of_the_current_year(spark, scratch, tmp_pa
         rows = spark.read.text(part).collect()
         (csv_dir / f"{y}.csv").write_text("".join(r["value"] + "\n" for r in rows))
     out = scratch("ingested_table")
-    ingest.run(spark, ingest.parse_args(["1999", "2001", "--csv", str(csv_dir), "--out", out]))
+    ingest.run(spark, ingest.parse_args(["observations", "1999", "2001", "--csv", str(csv_dir), "--out", out]))
     want = sorted(obs.where(F.year("date").between(1999, 2001)).select(*OBS_COLS).collect())
     assert sorted(spark.read.parquet(out).select(*OBS_COLS).collect()) == want
     # the current year is re-published and re-ingested, twice: no duplicates,
     # the other years untouched
     for _ in range(2):
-        ingest.run(spark, ingest.parse_args(["2001", "2001", "--csv", str(csv_dir), "--out", out, "--refresh"]))
+        ingest.run(spark, ingest.parse_args(["observations", "2001", "2001", "--csv", str(csv_dir), "--out", out,
+                                             "--refresh"]))
     assert sorted(spark.read.parquet(out).select(*OBS_COLS).collect()) == want
+
+
+def test_ingested_dimensions_feed_the_job(spark, scratch):
+    """Text dimensions -> Parquet tables -> the job with --dims-format parquet
+    gives the same facts as the job reading the text."""
+    from meteora.plans import ingest
+
+    t = DriverTables(spark, SF_SMALL)
+    obs_path, st_path, co_path, obs_c = _job_inputs(spark, scratch, t)
+    dims = scratch("dims_tables")
+    ingest.run(spark, ingest.parse_args(["dimensions", "--stations", st_path, "--countries", co_path, "--out", dims]))
+    assert spark.read.parquet(f"{dims}/stations").count() == t.table("supplier").count()
+    daily_out, yearly_out = scratch("pq_daily"), scratch("pq_yearly")
+    run(spark, parse_args([
+        "1995", "2001", "--observations", obs_path, "--stations", f"{dims}/stations", "--countries", f"{dims}/countries",
+        "--dims-format", "parquet", "--daily-out", daily_out, "--yearly-out", yearly_out, "--order-by", "seq",
+    ]))
+    _check_job_output(spark, t, obs_c, st_path, co_path, daily_out, yearly_out)
