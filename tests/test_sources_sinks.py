@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gzip
+import io
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,7 +81,10 @@ def test_between_dates_prunes_year_folders(spark, scratch):
     path = scratch("years_prune")
     write_partitioned(_obs_years(spark), path, ["year"], ["id"])
     df = between_dates(spark.read.parquet(path), "2020-01-01", "2020-12-31")
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
     assert "PartitionFilters: [isnotnull(year" in plan and "2020" in plan
     assert df.count() == 6
 
