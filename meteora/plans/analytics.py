@@ -51,8 +51,10 @@ def at_place(fact: DataFrame, stations: DataFrame, place: Column, max_keys: int
     ``max_keys`` stations, their ids and country codes come to the driver and
     filter the fact with ``IN`` lists, which reach the Parquet scan: files
     sorted by country and station skip all other row groups.  A place with
-    more stations is joined in (a size-checked broadcast semi join) instead,
-    so the result is the same either way.
+    more stations is joined in (a size-checked broadcast semi join) instead.
+    Both give the same rows as long as the fact's ``country_code`` is the
+    station's, as it is in the fact tables built here (it comes from the same
+    dimension).
     """
     matching = stations.where(place).select("country_code", "id")
     keys = matching.limit(max_keys + 1).collect()  # at most max_keys + 1 short rows
