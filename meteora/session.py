@@ -76,7 +76,8 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> d
     """Settings sized for a large input (e.g. 100 TB on a thousand executors).
 
     Shuffle partitions are sized so each holds about ``target_partition_bytes``
-    before AQE coalesces the small ones; scans are split at 256 MB.
+    before AQE coalesces the small ones (up to that size); scans are split at
+    256 MB.
     """
     parts = max(200, int(input_bytes // target_partition_bytes))
     conf = dict(BASE_CONF)
@@ -84,6 +85,10 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> d
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        # coalesce small shuffle partitions up to the advisory size, not only to
+        # 1 MB: a small stage (the yearly roll-up, a fact write) then runs few
+        # tasks of useful size and writes few, large files
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
         "spark.sql.files.maxRecordsPerFile": "50000000",
     })
