@@ -13,6 +13,7 @@ def test_cluster_conf_sizes_for_100_tb():
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert conf["spark.sql.adaptive.enabled"] == "true" and conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert conf["spark.sql.parquet.compression.codec"] == "zstd"
     # no broadcast on estimates; runtime broadcast on measured stages only
     assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert conf["spark.sql.adaptive.autoBroadcastJoinThreshold"] == "32m"
