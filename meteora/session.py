@@ -134,4 +134,28 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+_UNITS = {"K": 1 << 10, "M": 1 << 20, "G": 1 << 30, "T": 1 << 40, "P": 1 << 50}
+
+
+def parse_size(text: str) -> int:
+    """'100T', '750G', '123456' -> bytes."""
+    t = text.strip().upper().rstrip("B")
+    if t and t[-1] in _UNITS:
+        return int(float(t[:-1]) * _UNITS[t[-1]])
+    return int(t)
+
+
+def submit_flags(input_bytes: int) -> str:
+    """``cluster_conf`` as ``--conf`` flags for spark-submit.  The folder in
+    ``spark.checkpoint.dir`` must still be given (a shared one)."""
+    return " ".join(f"--conf {k}={v}" for k, v in cluster_conf(input_bytes).items())
+
+
 __all__ = ["local_session", "base_session", "cluster_conf", "ensure_checkpoint_dir", "scratch_path", "unique_name"]
+
+
+if __name__ == "__main__":
+    # python -m meteora.session 100T  ->  --conf flags sized for that input
+    import sys
+
+    print(submit_flags(parse_size(sys.argv[1])))

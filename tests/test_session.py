@@ -87,3 +87,12 @@ def test_base_conf_fills_what_the_submitter_left_unset():
     assert set(unset) == set(BASE_CONF) - submitted  # --conf wins
     assert unset["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert unset["spark.python.sql.dataFrameDebugging.enabled"] == "false"
+
+
+def test_submit_flags_for_an_input_size():
+    from meteora.session import parse_size, submit_flags
+
+    assert parse_size("100T") == 100 << 40 and parse_size("750g") == 750 << 30 and parse_size("12345") == 12345
+    flags = submit_flags(parse_size("100T"))
+    assert f"--conf spark.sql.shuffle.partitions={(100 << 40) // (256 << 20)}" in flags
+    assert "--conf spark.sql.autoBroadcastJoinThreshold=-1" in flags
