@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from meteora.operators.limit import sample_rows  # noqa: E402
 from meteora.options import CANONICAL, JOB, LOCAL  # noqa: E402
 from meteora.plans.facts import both_facts  # noqa: E402
-from meteora.session import base_session, ensure_checkpoint_dir, scratch_path  # noqa: E402
+from meteora.session import base_session, ensure_checkpoint_dir  # noqa: E402
 from meteora.sinks.tables import refresh_partitions, with_year, write_fact_daily, write_fact_yearly  # noqa: E402
 from meteora.sources.csv import read_observations_csv  # noqa: E402
 from meteora.sources.fixed_width import read_countries, read_stations  # noqa: E402
@@ -72,6 +72,18 @@ def read_dims(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame, Da
     return read_stations(spark, a.stations), read_countries(spark, a.countries)
 
 
+def parts_path(spark: SparkSession, a: argparse.Namespace) -> str:
+    """Folder of the run's daily partials, below the shared checkpoint folder.
+
+    One fixed folder per variant and year range, replaced by every run: the
+    daily refresh of the current year reuses its folder instead of leaving one
+    behind per day.  Two runs over the same years and variant must therefore
+    not run at the same time (a scheduler runs them one after the other).
+    """
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/meteora/daily_parts-{a.variant}-{a.start_year}-{a.end_year}"
+
+
 def run(spark: SparkSession, a: argparse.Namespace) -> None:
     ensure_checkpoint_dir(spark)
     opts = VARIANTS[a.variant]
@@ -79,7 +91,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         opts = replace(opts, order_by=tuple(a.order_by))
     obs = read_observations(spark, a)
     stations, countries = read_dims(spark, a)
-    daily, yearly = both_facts(obs, stations, countries, opts, scratch_path(spark, "daily_parts"))
+    daily, yearly = both_facts(obs, stations, countries, opts, parts_path(spark, a))
     if a.sample_rows is not None:
         daily = sample_rows(daily, a.sample_rows, ["id", "date"])
         yearly = sample_rows(yearly, a.sample_rows, ["id", "date"])

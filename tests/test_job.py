@@ -164,3 +164,14 @@ def test_ingested_dimensions_feed_the_job(spark, scratch):
         "--dims-format", "parquet", "--daily-out", daily_out, "--yearly-out", yearly_out, "--order-by", "seq",
     ]))
     _check_job_output(spark, t, obs_c, st_path, co_path, daily_out, yearly_out)
+
+
+def test_partials_folder_is_reused_by_the_same_run(spark):
+    from meteora.plans.job import parts_path
+
+    common = ["--observations", "o", "--stations", "s", "--countries", "c", "--daily-out", "d", "--yearly-out", "y"]
+    a = parts_path(spark, parse_args(["2024", "2024", *common, "--refresh"]))
+    assert a == parts_path(spark, parse_args(["2024", "2024", *common]))
+    assert a != parts_path(spark, parse_args(["2023", "2024", *common]))
+    assert a != parts_path(spark, parse_args(["2024", "2024", *common, "--variant", "job"]))
+    assert a.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/")
