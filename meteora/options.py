@@ -39,6 +39,21 @@ class TransformOptions:
     year_start: str = "date"
     extra: dict = field(default_factory=dict, compare=False)
 
+    def __post_init__(self):
+        if self.column_order not in ("sql", "job"):
+            raise ValueError(f"column_order must be 'sql' or 'job', not {self.column_order!r}")
+        if self.year_start not in ("date", "timestamp"):
+            raise ValueError(f"year_start must be 'date' or 'timestamp', not {self.year_start!r}")
+        if self.prcp_divisor < 1:
+            raise ValueError("prcp_divisor must be at least 1")
+        if self.clip_raw is not None and self.clip_raw < 0:
+            raise ValueError("clip_raw must be None or a bound >= 0")
+        mt = self.measure_type.replace(" ", "").lower()
+        if mt != "double" and not mt.startswith("decimal"):
+            raise ValueError(f"measure_type must be 'double' or a decimal type, not {self.measure_type!r}")
+        if self.order_by is not None and not self.order_by:
+            raise ValueError("order_by must name at least one column (or be None)")
+
     def with_order(self, *cols: str) -> "TransformOptions":
         return replace(self, order_by=tuple(cols))
 

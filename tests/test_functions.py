@@ -79,3 +79,14 @@ def test_job_arguments():
     with pytest.raises(SystemExit):
         parse_args(["2008", "2007", "--observations", "o", "--stations", "s", "--countries", "c",
                     "--daily-out", "d", "--yearly-out", "y"])
+
+
+@pytest.mark.parametrize("bad", [
+    {"column_order": "jobs"}, {"year_start": "month"}, {"prcp_divisor": 0}, {"clip_raw": -1},
+    {"measure_type": "float"}, {"order_by": ()},
+])
+def test_options_reject_unknown_values(bad):
+    from meteora.options import TransformOptions
+
+    with pytest.raises(ValueError):
+        TransformOptions(**bad)
