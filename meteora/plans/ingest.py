@@ -13,6 +13,13 @@ running it again replaces the year again and never duplicates rows.
 Dimensions: the fixed-width station and country lists become typed Parquet
 tables ``<out>/stations`` and ``<out>/countries`` (the job's
 ``--dims-format parquet``).
+
+    spark-submit meteora/plans/ingest.py stream --source <landing folder> \\
+        --out <table path> --checkpoint <folder kept between runs>
+
+Stream: every CSV file that landed since the last run is appended to the
+table, exactly once (Structured Streaming file source, ``availableNow``).
+The checkpoint remembers which files were taken, so it must persist.
 """
 
 from __future__ import annotations
@@ -31,6 +38,7 @@ from meteora.session import base_session  # noqa: E402
 from meteora.sinks.files import convert_observations, write_parquet  # noqa: E402
 from meteora.sources.csv import read_observations_csv  # noqa: E402
 from meteora.sources.fixed_width import read_countries, read_stations  # noqa: E402
+from meteora.streaming.ingest import ingest_available  # noqa: E402
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
@@ -46,6 +54,11 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     d.add_argument("--stations", required=True)
     d.add_argument("--countries", required=True)
     d.add_argument("--out", required=True, help="folder for the stations and countries tables")
+    st = sub.add_parser("stream", help="append newly landed CSV files, exactly once")
+    st.add_argument("--source", required=True, help="landing folder (or glob) of the CSV files")
+    st.add_argument("--out", required=True, help="Parquet table partitioned by year")
+    st.add_argument("--checkpoint", required=True, help="folder that remembers the files taken; keep it")
+    st.add_argument("--max-files-per-trigger", type=int, default=None)
     a = p.parse_args(argv)
     if a.what == "observations" and a.end_year < a.start_year:
         p.error("end_year is before start_year")
@@ -53,6 +66,9 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.what == "stream":
+        ingest_available(spark, a.source, a.out, a.checkpoint, a.max_files_per_trigger)
+        return
     if a.what == "dimensions":
         out = a.out.rstrip("/")
         write_parquet(read_stations(spark, a.stations), f"{out}/stations")

@@ -175,3 +175,17 @@ def test_partials_folder_is_reused_by_the_same_run(spark):
     assert a != parts_path(spark, parse_args(["2023", "2024", *common]))
     assert a != parts_path(spark, parse_args(["2024", "2024", *common, "--variant", "job"]))
     assert a.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/")
+
+
+def test_stream_ingest_takes_each_file_once(spark, scratch):
+    from meteora.plans import ingest
+
+    obs = DriverTables(spark, SF_SMALL).lineitem_obs()
+    landing, out, ckpt = scratch("landing"), scratch("streamed"), scratch("stream_ckpt")
+    args = ingest.parse_args(["stream", "--source", f"{landing}/*", "--out", out, "--checkpoint", ckpt])
+    write_observations_csv(obs.where(F.year("date") <= 1997), f"{landing}/a")
+    ingest.run(spark, args)
+    write_observations_csv(obs.where(F.year("date") > 1997), f"{landing}/b")
+    ingest.run(spark, args)
+    ingest.run(spark, args)  # nothing new: nothing appended
+    assert sorted(spark.read.parquet(out).select(*OBS_COLS).collect()) == sorted(obs.select(*OBS_COLS).collect())
