@@ -233,13 +233,13 @@ def sink_refresh_year(spark, sf_dir):
 
 # -- views and projections ---------------------------------------------------
 def view_stations(spark, sf_dir):
-    name = unique_name("stg_stations")
+    name = unique_name("staged_stations")
     dimensions.stations_view(_t(spark, sf_dir).customer_stations(embed_country=True)).createOrReplaceTempView(name)
     return spark.table(name)
 
 
 def view_countries(spark, sf_dir):
-    name = unique_name("stg_countries")
+    name = unique_name("staged_countries")
     dimensions.countries_view(_t(spark, sf_dir).countries()).createOrReplaceTempView(name)
     return spark.table(name)
 
