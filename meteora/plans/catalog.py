@@ -480,6 +480,19 @@ def q_top_hottest_stored(spark, sf_dir):
     return analytics.top_hottest(rows, None, 10).drop("year")
 
 
+def q_compare_yearly_stored(spark, sf_dir):
+    """Yearly comparison of two places named by station, asked of the stored
+    daily fact: only the two places' stations are read."""
+    t = _t(spark, sf_dir)
+    path = scratch_path(spark, "fact_daily_served")
+    table_sinks.write_fact_daily(_fact_daily_li(spark, sf_dir), path)
+    places = {"place_a": analytics.station_named("Supplier#00000001_"),
+              "place_b": analytics.station_named("Supplier#00000002_")}
+    stations = dimensions.station_country(t.supplier_stations(), t.countries())
+    rows = analytics.at_place(table_sources.read_parquet(spark, path), stations, analytics.any_place(places))
+    return rounded(analytics.compare_yearly(rows, places, "tmin"), ["place_a", "place_b"])
+
+
 def q_record_counts(spark, sf_dir):
     return analytics.record_counts(_fact_daily_li(spark, sf_dir))
 

@@ -221,6 +221,14 @@ def oracles() -> dict[str, str]:
         "round(avg(CASE WHEN country_name = 'NATION_7' THEN tmin END), 6) AS place_b "
         f"FROM ({FACT_DAILY_LI}) AS f WHERE country_name IN ('NATION_3', 'NATION_7') GROUP BY year(date)"
     )
+    q["q_compare_yearly_stored"] = (
+        f"SELECT {_year_int()} AS year, "
+        "round(avg(CASE WHEN upper(station_name) LIKE 'SUPPLIER#00000001_' THEN tmin END), 6) AS place_a, "
+        "round(avg(CASE WHEN upper(station_name) LIKE 'SUPPLIER#00000002_' THEN tmin END), 6) AS place_b "
+        f"FROM ({FACT_DAILY_LI}) AS f "
+        "WHERE upper(station_name) LIKE 'SUPPLIER#00000001_' OR upper(station_name) LIKE 'SUPPLIER#00000002_' "
+        "GROUP BY year(date)"
+    )
     q["q_top_hottest"] = (
         f"SELECT {fact_cols} FROM ({FACT_DAILY_LI}) AS f WHERE country_name = 'NATION_5' AND tmax IS NOT NULL "
         "ORDER BY tmax DESC, date, id LIMIT 10"
