@@ -18,7 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 QUERIES = [
     "fact_daily", "fact_yearly", "job_fact_yearly", "q_top_hottest", "q_compare_yearly", "q_max_stored_fact",
-    "q_top_hottest_stored", "win_avg_yearly", "win_dedup_daily", "pivot_native", "limit_sample",
+    "q_top_hottest_stored", "q_compare_yearly_stored", "win_avg_yearly", "win_dedup_daily", "pivot_native",
+    "limit_sample",
 ]
 SCAN_FIELDS = ("PushedFilters", "PartitionFilters", "ReadSchema")
 
