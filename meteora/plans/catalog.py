@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meteora import functions as fn
-from meteora.operators import aggregate, cleaning, limit, pivot, setops, window
+from meteora.operators import aggregate, cleaning, pivot, setops, window
 from meteora.operators.join import checked_broadcast
 from meteora.options import CANONICAL, JOB, LOCAL
 from meteora.plans import analytics, dimensions, facts
@@ -330,7 +330,10 @@ def win_dedup_yearly(spark, sf_dir):
 
 # -- limit, union ----------------------------------------------------------------
 def limit_sample(spark, sf_dir):
-    return limit.sample_rows(_fact_daily_li(spark, sf_dir), 500, ["id", "date"])
+    """Trial run: the first 500 fact rows by station and day (only the first
+    stations' observations are aggregated)."""
+    t = _t(spark, sf_dir)
+    return rounded(facts.first_fact_rows(t.lineitem_obs(), t.supplier_stations(), t.countries(), _opts(), 500))
 
 
 def _year_tables(spark, sf_dir, start: int, end: int) -> list[DataFrame]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from meteora.operators.limit import sample_rows  # noqa: E402
 from meteora.options import CANONICAL, JOB, LOCAL  # noqa: E402
-from meteora.plans.facts import both_facts  # noqa: E402
+from meteora.plans.facts import both_facts, trial_observations  # noqa: E402
 from meteora.session import base_session, ensure_checkpoint_dir  # noqa: E402
 from meteora.sinks.tables import refresh_partitions, with_year, write_fact_daily, write_fact_yearly  # noqa: E402
 from meteora.sources.csv import read_observations_csv  # noqa: E402
@@ -91,6 +91,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         opts = replace(opts, order_by=tuple(a.order_by))
     obs = read_observations(spark, a)
     stations, countries = read_dims(spark, a)
+    if a.sample_rows is not None:
+        # trial run: only the stations that the first rows are made of
+        obs = trial_observations(obs, stations, countries, opts, a.sample_rows)
     daily, yearly = both_facts(obs, stations, countries, opts, parts_path(spark, a))
     if a.sample_rows is not None:
         daily = sample_rows(daily, a.sample_rows, ["id", "date"])

@@ -217,3 +217,21 @@ def test_ingested_observations_feed_the_job(spark, scratch, tmp_path):
                                "--yearly-out", yearly]))
         outs[fmt] = (_key(spark.read.parquet(daily)), _key(spark.read.parquet(yearly)))
     assert outs["parquet"] == outs["csv"] and len(outs["csv"][0]) > 0
+
+
+def test_job_trial_run_gives_the_first_rows(spark, scratch):
+    from meteora.operators.limit import sample_rows
+    from meteora.sources.fixed_width import read_countries, read_stations
+
+    t = DriverTables(spark, SF_SMALL)
+    obs_path, st_path, co_path, obs_c = _job_inputs(spark, scratch, t)
+    daily_out, yearly_out = scratch("trial_daily"), scratch("trial_yearly")
+    run(spark, parse_args([
+        "1995", "2001", "--observations", obs_path, "--stations", st_path, "--countries", co_path,
+        "--daily-out", daily_out, "--yearly-out", yearly_out, "--order-by", "seq", "--sample-rows", "25",
+    ]))
+    st_txt, co_txt = read_stations(spark, st_path), read_countries(spark, co_path)
+    for out, build in ((daily_out, facts.fact_daily), (yearly_out, facts.fact_yearly)):
+        got = spark.read.parquet(out)
+        assert got.count() == 25
+        assert _key(got) == _key(sample_rows(build(obs_c, st_txt, co_txt, OPTS), 25, ["id", "date"]))

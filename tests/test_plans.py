@@ -207,3 +207,23 @@ def test_small_place_of_a_big_dimension_is_still_cut_early(spark):
     whole = _fact(*args, many, to_daily, max_broadcast_rows=1)
     assert "LeftSemi" not in plan_text(whole)
     assert _sorted(whole, cols) == _sorted(fact_daily(*args).where(many), cols)
+
+
+def test_trial_run_rows_equal_the_ordered_limit_of_the_whole_fact(spark):
+    from meteora.options import JOB, LOCAL
+    from meteora.operators.limit import sample_rows
+    from meteora.plans.facts import fact_yearly, first_fact_rows
+
+    t = DriverTables(spark, SF_SMALL)
+    args = (t.lineitem_obs(), t.supplier_stations(), t.countries())
+    cols = ["id", "date", "tmax", "tmin", "prcp", "m_flag", "s_flag", "station_name"]
+    for opts in (OPTS, LOCAL.with_order("seq"), JOB.with_order("seq")):
+        for n, yearly in ((7, False), (500, False), (3, True), (10 ** 6, False)):
+            whole = sample_rows((fact_yearly if yearly else fact_daily)(*args, opts), n, ["id", "date"])
+            for ratio in (0, 10):  # 0: always cut to the first stations; 10: only with many stations
+                head = first_fact_rows(*args, opts, n, yearly=yearly, min_ratio=ratio)
+                assert _sorted(head, cols) == _sorted(whole, cols)
+    plan = plan_text(first_fact_rows(*args, OPTS, 5, min_ratio=0))
+    assert plan.index("BroadcastHashJoin LeftSemi") > plan.index("HashAggregate")  # cut below the aggregate
+    # ten stations are not many against 5 rows: no cut
+    assert "LeftSemi" not in plan_text(first_fact_rows(*args, OPTS, 5))
