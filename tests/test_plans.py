@@ -227,3 +227,24 @@ def test_trial_run_rows_equal_the_ordered_limit_of_the_whole_fact(spark):
     assert plan.index("BroadcastHashJoin LeftSemi") > plan.index("HashAggregate")  # cut below the aggregate
     # ten stations are not many against 5 rows: no cut
     assert "LeftSemi" not in plan_text(first_fact_rows(*args, OPTS, 5))
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    """Flag picks, ordered limits and top-k give the same rows with any
+    number of shuffle partitions."""
+    import __spark_entry__ as entry
+
+    qs = entry.queries()
+    keys = ["fact_daily", "fact_yearly", "agg_first_flags", "win_dedup_yearly", "limit_sample", "q_compare_yearly",
+            "q_max_by_country_year"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = {}
+    try:
+        for parts in ("1", "5"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got[parts] = {k: sorted(map(tuple, qs[k](spark, SF_SMALL).collect()), key=repr) for k in keys}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for k in keys:
+        assert got["1"][k] == got["5"][k], k
+        assert got["1"][k], k
