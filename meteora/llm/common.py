@@ -49,25 +49,28 @@ def text_slices(batch: pa.RecordBatch, text: str = "text",
 
 
 def with_text_columns(df: DataFrame, fields: list[tuple[str, str]],
-                      make: Callable[[], Callable[[pa.StringArray], list]], text: str = "text") -> DataFrame:
+                      make: Callable[[], Callable[[pa.StringArray], list]], text: str = "text",
+                      keep_text: bool = True, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``df`` with columns computed in Python from whole texts.
 
     ``make()`` runs once per task and gives the function from a slice of texts
-    to one array per field.  All other columns pass through; columns of
-    ``df`` that carry the name of a new field are replaced.
+    to one array per field.  All other columns pass through (the text only if
+    ``keep_text``); columns of ``df`` that carry the name of a new field are
+    replaced.
     """
     names = [n for n, _ in fields]
     kept = [c for c in df.columns if c not in names or c == text]
     df = df.select(*[F.col(f"`{c}`") for c in kept])
-    schema = T.StructType(list(df.schema.fields) + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
+    there = [i for i, c in enumerate(kept) if c != text or keep_text]
+    schema = T.StructType([df.schema.fields[i] for i in there] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
     arrow = [_ARROW[t] for _, t in fields]
 
     def run(batches):
         f = make()
         for batch in batches:
-            for part, texts in text_slices(batch, text):
+            for part, texts in text_slices(batch, text, slice_bytes):
                 new = [a if isinstance(a, pa.Array) else pa.array(a, t) for a, t in zip(f(texts), arrow, strict=True)]
-                yield pa.RecordBatch.from_arrays(part.columns + new, names=kept + names)
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in there] + new, names=[kept[i] for i in there] + names)
 
     return df.mapInArrow(run, schema)
 

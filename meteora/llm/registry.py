@@ -4,18 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meteora.llm import simhash
+from meteora.llm import bpe, packing, simhash
 from meteora.llm.common import table
 
 
+def vocabulary() -> str:
+    """The byte-level BPE vocabulary of the registered queries."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of ``documents`` packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), 2048)
+
+
+def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` encoded, then decoded from its ids."""
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+    coded = coded.withColumn("ids_sha256", F.sha2("ids", 256))
+    back = bpe.decode(coded, vocabulary())
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of ``documents`` (4-word shingles, at most 4 bits)."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_bpe_codec": op6_bpe_codec,
     "op9_simhash": op9_simhash,
 }
 
