@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteora.llm import bpe, packing, simhash
-from meteora.llm.common import table
+from meteora.llm import bpe, langid, packing, quality, simhash
+from meteora.llm.common import fold, held_out, table
 
 
 def vocabulary() -> str:
@@ -17,6 +17,22 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all ``documents``; labels are learnt where fold 4 is not 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), fold(F.col("doc_id"), 4) != 2)
+    return quality.with_quality(docs, model, keep_text=False).select(
+        "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "score", "predicted")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all ``documents``, learnt where fold 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, fold(F.col("doc_id"), 4) != 2)
+    return langid.with_language(docs.select("doc_id", "text"), model, keep_text=False).select(
+        "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of ``documents`` packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), 2048)
@@ -36,6 +52,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_bpe_codec": op6_bpe_codec,
     "op9_simhash": op9_simhash,
