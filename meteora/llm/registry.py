@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteora.llm import bpe, langid, packing, quality, simhash
+from meteora.llm import bpe, langid, linededup, packing, quality, simhash
 from meteora.llm.common import fold, held_out, table
 
 
@@ -40,10 +40,9 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded, then decoded from its ids."""
-    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
-    coded = coded.withColumn("ids_sha256", F.sha2("ids", 256))
-    back = bpe.decode(coded, vocabulary())
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    coded = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,12 +50,19 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` with one line kept of each group of equal or similar lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.without_duplicate_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_bpe_codec": op6_bpe_codec,
     "op9_simhash": op9_simhash,
+    "op10_fuzzy_line_dedup": op10_fuzzy_line_dedup,
 }
 
 #: DuckDB SQL where SQL can express the operator.
