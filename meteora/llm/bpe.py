@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from meteora.llm.common import with_text_columns
 
 SLICE_BYTES = 8 << 20
+#: Rows decoded at a time.
+DECODE_ROWS = 256
 #: Fragments a worker remembers at most (about 60 MB).
 KNOWN_FRAGMENTS = 300_000
 
@@ -169,6 +171,21 @@ def encode(docs: DataFrame, path: str, keep_text: bool = False) -> DataFrame:
     return with_text_columns(docs, [("n_tokens", "bigint"), ("ids", "binary")], make, keep_text=keep_text, slice_bytes=SLICE_BYTES)
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``encode`` with the ``decoded`` text of the ids beside them, in one pass."""
+    def make():
+        c = codec(path)
+
+        def f(texts):
+            ids, counts = c.encode(texts)
+            ends = np.cumsum(counts).tolist()
+            return [counts, pa.array(_runs(ids, counts), pa.binary()),
+                    pa.array([c.decode(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)], pa.string())]
+        return f
+    fields = [("n_tokens", "bigint"), ("ids", "binary"), ("decoded", "string")]
+    return with_text_columns(docs, fields, make, keep_text=False, slice_bytes=SLICE_BYTES // 4)
+
+
 def decode(coded: DataFrame, path: str) -> DataFrame:
     """``coded`` with its ``ids`` replaced by the ``decoded`` text (null ids: empty)."""
     keep = [c for c in coded.columns if c not in ("ids", "decoded")]
@@ -177,8 +194,10 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         c = codec(path)
-        for b in batches:
-            texts = [c.decode(np.frombuffer(x or b"", "<u4")) for x in b.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays(b.columns[:-1] + [pa.array(texts, pa.string())], names=[*keep, "decoded"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, DECODE_ROWS):
+                b = batch.slice(at, DECODE_ROWS)
+                texts = [c.decode(np.frombuffer(x or b"", "<u4")) for x in b.column(len(keep)).to_pylist()]
+                yield pa.RecordBatch.from_arrays(b.columns[:-1] + [pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
     return coded.mapInArrow(run, schema)
