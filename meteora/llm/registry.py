@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteora.llm import bpe, langid, linededup, packing, quality, simhash
+from meteora.llm import bpe, fingerprint, langid, linededup, packing, quality, simhash
 from meteora.llm.common import fold, held_out, table
 
 
@@ -45,6 +45,11 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op8_sketch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of ``documents`` and of their edited texts, and how alike they are."""
+    return fingerprint.compare_versions(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of ``documents`` (4-word shingles, at most 4 bits)."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_bpe_codec": op6_bpe_codec,
+    "op8_sketch_fingerprints": op8_sketch_fingerprints,
     "op9_simhash": op9_simhash,
     "op10_fuzzy_line_dedup": op10_fuzzy_line_dedup,
 }
