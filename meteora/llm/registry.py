@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteora.llm import bpe, fingerprint, langid, linededup, packing, quality, simhash
+from meteora.llm import bpe, fingerprint, langid, linededup, lmscore, packing, quality, rules, simhash
 from meteora.llm.common import fold, held_out, table
 
 
@@ -25,6 +25,17 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "score", "predicted")
 
 
+def op2_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition counts and verdicts of all ``documents``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rules.with_rules(docs, keep_text=False)
+
+
+def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all ``documents``, learnt where fold 7 is not 2."""
+    return lmscore.score(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7), held_fold=2, tune_fold=3)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all ``documents``, learnt where fold 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
@@ -63,6 +74,8 @@ def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_repetition_rules": op2_repetition_rules,
+    "op3_deleted_interpolation": op3_deleted_interpolation,
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_bpe_codec": op6_bpe_codec,
@@ -72,4 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL where SQL can express the operator.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_repetition_rules": rules.oracle_sql(),
+}
