@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteora.llm import bpe, fingerprint, langid, linededup, lmscore, packing, quality, rules, simhash
+from meteora.llm import bpe, fingerprint, html, langid, linededup, lmscore, packing, quality, rules, simhash
 from meteora.llm.common import fold, held_out, table
 
 
@@ -56,6 +56,12 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all ``pages``."""
+    pages = table(spark, sf_dir, "pages")
+    return html.with_main_text(pages.select("page_id", "url", "html"), html.fit(pages))
+
+
 def op8_sketch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of ``documents`` and of their edited texts, and how alike they are."""
     return fingerprint.compare_versions(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_bpe_codec": op6_bpe_codec,
+    "op7_html_extraction": op7_html_extraction,
     "op8_sketch_fingerprints": op8_sketch_fingerprints,
     "op9_simhash": op9_simhash,
     "op10_fuzzy_line_dedup": op10_fuzzy_line_dedup,
