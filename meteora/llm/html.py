@@ -246,7 +246,7 @@ class Trees:
 
 def boost(x: np.ndarray, y: np.ndarray, trees: int = 50, rate: float = 0.3, n_bins: int = 32) -> Trees:
     """Second-order boosting on the logistic loss; ties take the first split."""
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, n_bins)[1:-1])) for j in range(x.shape[1])]
+    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, n_bins)[1:-1])) if len(x) else np.zeros(0) for j in range(x.shape[1])]
     share = np.clip(y.mean(), 0.01, 0.99) if len(y) else 0.5
     model = Trees(edges, float(np.log(share / (1 - share))), np.zeros((0, 7, 2), np.int64), np.zeros((0, 8)))
     if len(set(y.tolist())) < 2:

@@ -45,7 +45,8 @@ def covered(hashes: np.ndarray, doc: np.ndarray, n: int, upto: np.ndarray) -> np
     out = np.zeros(len(doc) + 1, np.int64)
     whole = np.nonzero(np.arange(len(doc)) + n <= upto)[0]
     if len(whole):
-        key = mix(hashes[whole] + mix(doc[whole].astype(np.uint64)))
+        # other numbers than those of the words, whose hashes are sums of the same function
+        key = mix(hashes[whole] + mix(doc[whole].astype(np.uint64) + np.uint64(1 << 62)))
         order = np.argsort(key)
         same = key[order][1:] == key[order][:-1]
         repeats = np.zeros(len(whole), bool)
@@ -78,7 +79,7 @@ def measure(texts: pa.StringArray) -> list[np.ndarray]:
     rolling, power, length, found = np.zeros(len(codes), np.uint64), factor, 0, {}
     for n in sorted({BASE_WINDOW, *NGRAM_LIMITS}):
         while length < n:  # one more word: its hash times the next power of the base
-            rolling[: len(codes) - length] += word_hash[length:] * power
+            rolling[: max(len(codes) - length, 0)] += word_hash[length:] * power
             with np.errstate(over="ignore"):
                 power = power * base
             length += 1
