@@ -1,9 +1,9 @@
 """Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query runs to completion into Spark's ``noop`` sink (the full plan
-executes, nothing is collected).  After one untimed warm-up pass over all
-queries, each is timed three times and the best time counts.  Prints one
-JSON line.
+executes, nothing is collected).  The first pass over all queries gives the
+cold times (JVM and code compilation, file listing, footers); then each is
+timed three times and the best time counts.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -49,8 +49,7 @@ def main() -> None:
     # Warm-up: one untimed run of every query (JIT compilation of Spark's
     # runtime and of the generated code, file listing, dimension size checks),
     # so every query is timed in the same steady state, not only the late ones.
-    for name in HEADLINE:
-        run(spark, name, sf_dir)
+    cold = {name: round(run(spark, name, sf_dir), 3) for name in HEADLINE}
     times = {}
     for name in HEADLINE:
         times[name] = round(min(run(spark, name, sf_dir) for _ in range(3)), 3)  # best of 3: timings on a shared VM vary
@@ -60,6 +59,8 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "cold_total_sec": round(sum(cold.values()), 3),
+        "cold_queries": cold,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
     }))
     spark.stop()

@@ -64,10 +64,8 @@ def int_div(value: Column | str, divisor: int) -> Column:
 
 
 def _div(c: Column, divisor: int) -> Column:
-    # Spark's `%` keeps the sign of the dividend, so c - c % d is the multiple
-    # of d next to c toward zero; dividing it is exact for |c| < 2**53.
-    d = F.lit(int(divisor))
-    return ((c - c % d) / d).cast("long")
+    # the SQL operator: whole numbers throughout, toward zero
+    return F.call_function("div", c, F.lit(int(divisor)).cast("long"))
 
 
 def cast_numeric(value: Column, measure_type: str) -> Column:

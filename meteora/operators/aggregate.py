@@ -3,7 +3,7 @@
 The grouped form is the production path: partial aggregation combines rows
 map-side, so a station/day holding a large share of the input still sends
 one row per map task through the shuffle.  The flags are picked from one
-row per group with ``min_by`` on an order key.  They are packed into a long
+row per group with ``min_by`` on an order key.  Each is packed into a long
 so the aggregation buffer is fixed-width and Spark keeps a code-generated
 hash aggregate (string values in the buffer force a sort-based aggregate).
 """
@@ -14,52 +14,103 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteora.functions.scalar import trunc_year, trunc_year_ts
-from meteora.operators.cleaning import clean
+from meteora.operators.cleaning import clean, normalize_flags
 from meteora.operators.pivot import explode_elements
 from meteora.options import TransformOptions
 from meteora.schemas import MEASURES
 
 ORDER = "_ord"
-_RADIX = 256
+FLAGS = ("_m", "_s")
+_FLAG_BYTES = 7
+_NULL_FLAG = 15
+# a decimal of 38 digits takes 126 bits: 64 of the key, 61 of the row's hash
+_KEY_ROOM = 1 << 61
+_WHOLE = {"tinyint", "smallint", "int", "bigint"}
 
 
-def order_key(opts: TransformOptions) -> Column:
-    """Column that orders rows inside a group.
+def row_hash() -> Column:
+    return F.xxhash64("element", "value", "m_flag", "s_flag", "obs_time", "date")
+
+
+def order_key(opts: TransformOptions, rows: DataFrame) -> Column:
+    """Column that orders rows inside a group; never null, and total up to equal rows.
 
-    With one given column it is used as is.  Without one, a 64-bit hash of
-    the row's content: deterministic across runs and task retries, but the
-    chosen row is arbitrary, as the unordered row_number of the SQL models.
+    Without given columns it is a 64-bit hash of the row's content: deterministic
+    across runs and task retries, but the chosen row is arbitrary, as the
+    unordered row_number of the SQL models.  Given columns come first (null
+    last), then that hash breaks ties.  One whole-number or date column packs with the
+    hash into a decimal, which keeps the aggregate a hash aggregate; other columns go
+    through a struct.
     """
-    if opts.order_by:
-        if len(opts.order_by) == 1:
-            return F.col(opts.order_by[0])
-        return F.struct(*opts.order_by)
-    return F.xxhash64("element", "value", "m_flag", "s_flag", "obs_time", "date")
+    if not opts.order_by:
+        return row_hash()
+    kinds = dict(rows.dtypes)
+    if len(opts.order_by) == 1 and (kind := kinds.get(opts.order_by[0])) in _WHOLE | {"date", "timestamp"}:
+        c = F.col(opts.order_by[0])
+        whole = F.unix_date(c) if kind == "date" else F.unix_micros(c) if kind == "timestamp" else c
+        shifted = F.coalesce(whole.cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
+        tie = F.shiftrightunsigned(row_hash(), 3).cast("decimal(19,0)")
+        return (shifted * F.lit(_KEY_ROOM).cast("decimal(19,0)") + tie).cast("decimal(38,0)")
+    parts = [x for c in opts.order_by for x in (F.col(c).isNull().alias(f"n_{c}"), F.col(c).alias(f"v_{c}"))]
+    return F.struct(*parts, row_hash().alias("tie"))
+
+
+def pack_flag(flag: str) -> Column:
+    """A flag of up to 7 UTF-8 bytes, or null, as one long: its bytes, then its length.
+
+    Nothing is cut: a longer flag is an error.
+    """
+    c = F.col(flag)
+    size = F.octet_length(c)
+    code = F.conv(F.hex(c.cast("binary")), 16, 10).cast("long") * 16 + size
+    return (
+        F.when(c.isNull(), F.lit(_NULL_FLAG).cast("long"))
+        .when(c == "", F.lit(0).cast("long"))
+        .when((size == 1), F.ascii(c).cast("long") * 16 + 1)
+        .when(size <= _FLAG_BYTES, code)
+        .otherwise(F.raise_error(F.concat(F.lit(f"{flag} is longer than {_FLAG_BYTES} bytes: "), c)).cast("long"))
+    )
+
 
+def unpack_flag(code: str, flag: str) -> Column:
+    size, value = F.col(code) % 16, F.shiftright(F.col(code), 4)
+    text = F.decode(F.unhex(F.lpad(F.hex(value), (size * 2).cast("int"), "0")), "UTF-8")
+    return (
+        F.when(size == 0, F.lit("")).when(size == 1, F.chr(value)).when(size < _NULL_FLAG, text).alias(flag)
+    )
 
-def pack_flags(m_flag: str = "m_flag", s_flag: str = "s_flag") -> Column:
-    """Two one-character flags as one long ('' -> code 0).  Flags are ASCII."""
-    return F.ascii(m_flag).cast("long") * _RADIX + F.ascii(s_flag).cast("long")
 
+def pack_flags() -> dict[str, Column]:
+    return {"_m": pack_flag("m_flag"), "_s": pack_flag("s_flag")}
 
-def _unpack(code: Column, shift: bool) -> Column:
-    part = F.floor(code / _RADIX) if shift else code % _RADIX
-    return F.when(part > 0, F.chr(part.cast("long"))).otherwise(F.when(code.isNotNull(), F.lit("")))
 
+def unpack_flags() -> tuple[Column, Column]:
+    return unpack_flag("_m", "m_flag"), unpack_flag("_s", "s_flag")
 
-def unpack_flags(code: str) -> tuple[Column, Column]:
-    c = F.col(code)
-    return _unpack(c, True).alias("m_flag"), _unpack(c, False).alias("s_flag")
 
+def first_flag_aggs() -> list[Column]:
+    """Both flags of the first row; the order has no ties between unlike rows."""
+    return [F.min_by(c, ORDER).alias(c) for c in FLAGS]
 
-def _measure_aggs() -> list[Column]:
-    return [F.avg(m).alias(m) for m in MEASURES]
+
+def mean(total: Column, number: Column, opts: TransformOptions) -> Column:
+    """The one average of all paths, of the declared type; null without a value."""
+    if opts.measure_type == "double":
+        value = total.cast("double") / number
+    else:
+        value = (total / number).cast(opts.measure_type)
+    return F.when(number > 0, value)
 
 
 def exploded_rows(obs: DataFrame, opts: TransformOptions) -> DataFrame:
     """Cleaned rows with their measures, the order key and the packed flags."""
-    cleaned = clean(obs, opts).withColumns({ORDER: order_key(opts), "_flags": pack_flags()})
-    return explode_elements(cleaned, opts, keep=(ORDER, "_flags"))
+    return explode_elements(ordered_rows(obs, opts), opts, keep=(ORDER, *FLAGS))
+
+
+def ordered_rows(obs: DataFrame, opts: TransformOptions) -> DataFrame:
+    """Cleaned rows with flags never null, the order key and the packed flags."""
+    rows = normalize_flags(clean(obs, opts))
+    return rows.withColumns({ORDER: order_key(opts, rows), **pack_flags()})
 
 
 def to_wide(obs: DataFrame, opts: TransformOptions, period: Column, period_name: str = "date") -> DataFrame:
@@ -67,10 +118,17 @@ def to_wide(obs: DataFrame, opts: TransformOptions, period: Column, period_name:
     grouped = (
         exploded_rows(obs, opts)
         .groupBy(F.col("id"), period.alias(period_name))
-        .agg(*_measure_aggs(), F.min_by("_flags", ORDER).alias("_flags"))
+        .agg(*_sum_and_count(), *first_flag_aggs())
     )
-    m_flag, s_flag = unpack_flags("_flags")
-    return grouped.select("id", period_name, *MEASURES, m_flag, s_flag)
+    return grouped.select("id", period_name, *_means(opts), *unpack_flags())
+
+
+def _sum_and_count() -> list[Column]:
+    return [x for m in MEASURES for x in (F.sum(m).alias(f"_s_{m}"), F.count(m).alias(f"_n_{m}"))]
+
+
+def _means(opts: TransformOptions) -> list[Column]:
+    return [mean(F.col(f"_s_{m}"), F.col(f"_n_{m}"), opts).alias(m) for m in MEASURES]
 
 
 def to_daily(obs: DataFrame, opts: TransformOptions) -> DataFrame:
@@ -95,10 +153,8 @@ def year_start(opts: TransformOptions, date: str = "date") -> Column:
 def first_flags(obs: DataFrame, opts: TransformOptions, yearly: bool = False) -> DataFrame:
     """Flags of the first row (by the order key) of every station/period."""
     period = trunc_year("date") if yearly else F.col("date")
-    rows = clean(obs, opts).withColumns({ORDER: order_key(opts), "_flags": pack_flags()})
-    grouped = rows.groupBy(F.col("id"), period.alias("date")).agg(F.min_by("_flags", ORDER).alias("_flags"))
-    m_flag, s_flag = unpack_flags("_flags")
-    return grouped.select("id", "date", m_flag, s_flag)
+    grouped = ordered_rows(obs, opts).groupBy(F.col("id"), period.alias("date")).agg(*first_flag_aggs())
+    return grouped.select("id", "date", *unpack_flags())
 
 
 # -- one scan for both periods ---------------------------------------------------
@@ -108,13 +164,7 @@ def first_flags(obs: DataFrame, opts: TransformOptions, yearly: bool = False) ->
 # which weighs every raw row the same.
 
 def daily_parts(obs: DataFrame, opts: TransformOptions) -> DataFrame:
-    rows = exploded_rows(obs, opts)
-    aggs = []
-    for m in MEASURES:
-        aggs += [F.sum(m).alias(f"_s_{m}"), F.count(m).alias(f"_n_{m}")]
-    return rows.groupBy("id", "date").agg(
-        *aggs, F.min(ORDER).alias(ORDER), F.min_by("_flags", ORDER).alias("_flags")
-    )
+    return exploded_rows(obs, opts).groupBy("id", "date").agg(*_sum_and_count(), F.min(ORDER).alias(ORDER), *first_flag_aggs())
 
 
 def roll_up_parts(parts: DataFrame, period: Column) -> DataFrame:
@@ -122,17 +172,9 @@ def roll_up_parts(parts: DataFrame, period: Column) -> DataFrame:
     aggs = []
     for m in MEASURES:
         aggs += [F.sum(f"_s_{m}").alias(f"_s_{m}"), F.sum(f"_n_{m}").alias(f"_n_{m}")]
-    return parts.groupBy(F.col("id"), period.alias("date")).agg(
-        *aggs, F.min(ORDER).alias(ORDER), F.min_by("_flags", ORDER).alias("_flags")
-    )
+    return parts.groupBy(F.col("id"), period.alias("date")).agg(*aggs, F.min(ORDER).alias(ORDER), *first_flag_aggs())
 
 
 def finish_parts(parts: DataFrame, opts: TransformOptions) -> DataFrame:
     """Averages (null where a measure has no value) and flags from partials."""
-    means = []
-    for m in MEASURES:
-        s, n = F.col(f"_s_{m}"), F.col(f"_n_{m}")
-        mean = s.cast("double") / n if opts.measure_type == "double" else s / n
-        means.append(F.when(n > 0, mean).alias(m))
-    m_flag, s_flag = unpack_flags("_flags")
-    return parts.select("id", "date", *means, m_flag, s_flag)
+    return parts.select("id", "date", *_means(opts), *unpack_flags())

@@ -4,55 +4,40 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it has at most this many rows.  The station
-# list has about 160 thousand rows, a few tens of MB once hashed.
-MAX_BROADCAST_ROWS = 2_000_000
+# A side is broadcast only up to this many bytes of values.  The station list has about
+# 160 thousand rows of about 100 bytes.
+MAX_BROADCAST_BYTES = 128 << 20
+# Row and object overhead of a hashed row, on top of its values.
+ROW_OVERHEAD = 64
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def row_bytes(df: DataFrame):
+    """Bytes of a row's values, with a row's overhead."""
+    width = F.lit(ROW_OVERHEAD).cast("long")
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(16))
+    return width
 
-    Counts at most max_rows + 1 rows, so the check stays cheap for a side
-    that turns out to be big.
-    """
-    return bounded_counts([df], max_rows)[0] <= max_rows
 
+def measured_bytes(frames: list[DataFrame]) -> list[int]:
+    """Sizes of several frames in one job, counted anew on every call.
+
+    The sums combine in the tasks; one number per frame comes back.
+    """
+    parts = [f.select(F.lit(i).alias("_side"), row_bytes(f).alias("_bytes")) for i, f in enumerate(frames)]
+    found = {r["_side"]: r["n"] for r in reduce(DataFrame.unionByName, parts).groupBy("_side").agg(F.sum("_bytes").alias("n")).collect()}
+    return [found.get(i, 0) for i in range(len(frames))]
 
-# Counts already taken in this process, by (semantic plan hash, cap): the
-# same dimension read the same way is counted once per session.
-_COUNTED: dict[tuple[str, int, int], int] = {}
 
+def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    return measured_bytes([df])[0] <= max_bytes
 
-def bounded_counts(frames: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[int]:
-    """Row counts of several frames, each capped at max_rows + 1, in one job.
 
-    Only the (at most len(frames)) counts come back to the driver.
-    """
-    keys = [(f.sparkSession.sparkContext.applicationId, f.semanticHash(), max_rows) for f in frames]
-    todo = [i for i, k in enumerate(keys) if k not in _COUNTED]
-    if todo:
-        parts = [frames[i].limit(max_rows + 1).select(F.lit(i).alias("_side")) for i in todo]
-        merged = reduce(DataFrame.unionByName, parts)
-        found = {r["_side"]: r["count"] for r in merged.groupBy("_side").count().collect()}
-        for i in todo:
-            _COUNTED[keys[i]] = found.get(i, 0)
-    return [_COUNTED[k] for k in keys]
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(df)`` when it passes the size check; otherwise ``df`` as is,
     which leaves a shuffle join (and AQE's runtime choice) to Spark."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def inner_join(big: DataFrame, small: DataFrame, on: str | list[str] | Column, small_is_checked: bool = False,
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Inner equi-join of a large side with a dimension.
-
-    Rows without a partner disappear, as in the SQL models.
-    """
-    side = small if small_is_checked else checked_broadcast(small, max_rows)
-    return big.join(side, on, "inner")
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df

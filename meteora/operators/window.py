@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteora.functions.scalar import extract_year, trunc_year
-from meteora.operators.aggregate import ORDER, order_key, pack_flags, unpack_flags
-from meteora.operators.cleaning import clean
+from meteora.operators.aggregate import ORDER, ordered_rows, to_wide
 from meteora.operators.pivot import explode_elements
 from meteora.options import TransformOptions
 from meteora.schemas import MEASURES
@@ -52,8 +51,7 @@ def keep_first(df: DataFrame, keys: list[str], order: str, per_column: bool = Fa
 
 
 def _rows(obs: DataFrame, opts: TransformOptions, yearly: bool) -> DataFrame:
-    cleaned = clean(obs, opts).withColumn(ORDER, order_key(opts))
-    rows = explode_elements(cleaned, opts, keep=(ORDER,))
+    rows = explode_elements(ordered_rows(obs, opts), opts, keep=(ORDER,))
     if yearly:
         rows = rows.withColumn("_year", extract_year("date"))
     return rows
@@ -76,24 +74,19 @@ def window_avg(obs: DataFrame, opts: TransformOptions, yearly: bool = False) ->
 def window_dedup(obs: DataFrame, opts: TransformOptions, yearly: bool = False) -> DataFrame:
     """Window averages, then one row per station/period (the rn = 1 row).
 
-    Equals ``to_daily`` / ``to_yearly``; kept as the SQL models' form.
+    All rows of a period carry the same averages, so averaging them and keeping
+    the first is the grouped aggregate: one exchange, no join of the raw rows.
     """
-    rows = _rows(obs, opts, yearly).withColumn("_flags", pack_flags())
-    keys = ["id", "_year"] if yearly else ["id", "date"]
-    averaged = partition_avg(rows.drop("m_flag", "s_flag"), keys, list(MEASURES))
-    # the order key is unique per row (or a content hash: equal rows are equal)
-    first = keep_first(averaged, keys, ORDER, per_column=True)
-    if yearly:
-        first = first.withColumn("date", trunc_year("date"))
-    m_flag, s_flag = unpack_flags("_flags")
-    return first.select("id", "date", *MEASURES, m_flag, s_flag)
+    return to_wide(obs, opts, trunc_year("date") if yearly else F.col("date"))
 
 
 def row_number_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """``row_number() over (partition by keys order by order) = 1``, skew-safe.
 
-    Multi-column orders go through a struct, which Spark compares field by
-    field in the given order.
+    Orders go through a struct, which Spark compares field by field in the given
+    order: each key null last, then a hash of the row, so that the pick is the
+    same in every run.
     """
-    key = order[0] if len(order) == 1 else F.struct(*order)
-    return keep_first(df.withColumn("_rn_order", key if isinstance(key, Column) else F.col(key)), keys, "_rn_order")
+    parts = [x for i, o in enumerate(order) for c in [o if isinstance(o, Column) else F.col(o)]
+             for x in (c.isNull().alias(f"n{i}"), c.alias(f"v{i}"))]
+    return keep_first(df.withColumn("_rn_order", F.struct(*parts, F.xxhash64(*df.columns).alias("tie"))), keys, "_rn_order")

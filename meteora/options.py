@@ -6,7 +6,7 @@ different semantics; one parameterised transform reproduces each of them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,6 @@ class TransformOptions:
     order_by: tuple[str, ...] | None = None
     column_order: str = "sql"
     year_start: str = "date"
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
         if self.column_order not in ("sql", "job"):

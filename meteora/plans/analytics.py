@@ -42,28 +42,15 @@ def any_place(places: dict[str, Column]) -> Column:
     return reduce(operator.or_, places.values())
 
 
-def at_place(fact: DataFrame, stations: DataFrame, place: Column, max_keys: int = 1000) -> DataFrame:
+def at_place(fact: DataFrame, stations: DataFrame, place: Column) -> DataFrame:
     """Rows of a stored fact at a place, found through the station dimension.
 
     ``place`` is a predicate on the dimension's columns (``stations`` is the
     flattened station dimension: id, station_name, country_code, ...).  The
-    place is resolved in the small dimension first; when it has at most
-    ``max_keys`` stations, their ids and country codes come to the driver and
-    filter the fact with ``IN`` lists, which reach the Parquet scan: files
-    sorted by country and station skip all other row groups.  A place with
-    more stations is joined in (a size-checked broadcast semi join) instead.
-    Both give the same rows as long as the fact's ``country_code`` is the
-    station's, as it is in the fact tables built here (it comes from the same
-    dimension).
+    matching stations meet the fact in a semi join on the station id, broadcast after
+    a size check; nothing else of the dimension has to agree with the fact.
     """
-    matching = stations.where(place).select("country_code", "id")
-    keys = matching.limit(max_keys + 1).collect()  # at most max_keys + 1 short rows
-    if len(keys) > max_keys:
-        return fact.join(checked_broadcast(matching.select("id")), "id", "left_semi")
-    # a null key never matches (as in the join), so it is left out of the lists
-    codes = sorted({r["country_code"] for r in keys if r["country_code"] is not None})
-    ids = sorted({r["id"] for r in keys if r["id"] is not None})
-    return fact.where(F.col("country_code").isin(codes) & F.col("id").isin(ids))
+    return fact.join(checked_broadcast(stations.where(place).select("id")), "id", "left_semi")
 
 
 def max_by_country_year(fact: DataFrame, country: str | None = None, year: int | None = None,

@@ -133,9 +133,10 @@ def stream_ingest(spark, sf_dir):
     ckpt = scratch_path(spark, "ingest_ckpt")
     # first arrival: years up to 1998; second: the rest (a second run picks up
     # only the new files)
-    file_sinks.write_observations_csv(obs.where(F.year("date") <= 1998), f"{src}/early")
+    early = F.coalesce(F.year("date") <= 1998, F.lit(False))
+    file_sinks.write_observations_csv(obs.where(early), f"{src}/early")
     ingest_available(spark, f"{src}/*", target, ckpt)
-    file_sinks.write_observations_csv(obs.where(F.year("date") > 1998), f"{src}/late")
+    file_sinks.write_observations_csv(obs.where(~early), f"{src}/late")
     ingest_available(spark, f"{src}/*", target, ckpt)
     return spark.read.parquet(target)
 
@@ -207,14 +208,16 @@ def sink_create_append(spark, sf_dir):
     """Create-if-absent then append: two loads of different years."""
     obs = _t(spark, sf_dir).lineitem_obs().select(*OBS_COLS)
     name, path = unique_name("obs_appended"), scratch_path(spark, "appended")
-    table_sinks.append_table(obs.where(F.year("date") < 1998), name, path)
-    return table_sinks.append_table(obs.where(F.year("date") >= 1998), name, path)
+    early = F.coalesce(F.year("date") < 1998, F.lit(False))  # a row without a date goes to the second load
+    table_sinks.append_table(obs.where(early), name, path)
+    return table_sinks.append_table(obs.where(~early), name, path)
 
 
 def sink_overwrite_append(spark, sf_dir):
     path = scratch_path(spark, "fact_yearly_append")
     fact = table_sinks.with_year(_fact_yearly_li(spark, sf_dir))
-    table_sinks.write_years([fact.where(F.col("year") <= 1997), fact.where(F.col("year") > 1997)], path,
+    early = F.coalesce(F.col("year") <= 1997, F.lit(False))
+    table_sinks.write_years([fact.where(early), fact.where(~early)], path,
                             cluster_by=["country_code", "id"])
     return spark.read.parquet(path)
 
@@ -227,10 +230,36 @@ def sink_refresh_year(spark, sf_dir):
     table_sinks.write_partitioned(snapshot, path, ["year"], ["id", "date"])
     # Daily refresh: the whole current year replaces its partition, twice.
     for _ in range(2):
-        table_sinks.refresh_partitions(obs.where(F.col("year") == 2001), path, ["year"], ["id", "date"])
+        table_sinks.refresh_partitions(obs.where(F.col("year") == 2001), path, ["year"], ["id", "date"], years=[2001])
     return spark.read.parquet(path)
 
 
+def sink_format_options(spark, sf_dir):
+    """Any format by name and options, written and read back."""
+    path = scratch_path(spark, "fact_orc")
+    table_sinks.write_table(_fact_yearly_li(spark, sf_dir), "orc", "overwrite", path, compression="zlib")
+    return table_sources.read_table(spark, "orc", path)
+
+
+def src_year_files(spark, sf_dir):
+    """A folder of one <year>.parquet per year, read for a range of years."""
+    path = scratch_path(spark, "year_files")
+    obs = _t(spark, sf_dir).lineitem_obs().select(*OBS_COLS)
+    for y in range(1996, 1999):
+        file_sinks.write_parquet(obs.where(F.year("date") == y), f"{path}/{y}.parquet")
+    return table_sources.read_years(spark, path, 1996, 1998)
+
+
+def src_csv_strict(spark, sf_dir):
+    """Yearly CSV files beside a file that is none; the strict reader takes each year's one file."""
+    path = scratch_path(spark, "strict_csv")
+    obs = _t(spark, sf_dir).lineitem_obs()
+    for y in (1996, 1997):
+        file_sinks.write_observations_csv(obs.where(F.year("date") == y), f"{path}/{y}.csv", compression="gzip" if y == 1997 else None)
+    obs.select("id").write.text(f"{path}/1996.csv.md5")
+    return csv_sources.read_observations_csv(spark, csv_sources.year_files(spark, path, 1996, 1997))
+
+
 # -- views and projections ---------------------------------------------------
 def view_stations(spark, sf_dir):
     name = unique_name("staged_stations")
@@ -258,12 +287,11 @@ def proj_dims(spark, sf_dir):
 def proj_todf(spark, sf_dir):
     """The job's positional rename of default aggregate names."""
     rows = pivot.explode_elements(cleaning.clean(_t(spark, sf_dir).events_obs(), JOB), JOB, keep=("seq",))
-    raw = rows.withColumn("_flags", aggregate.pack_flags()).groupBy("id", "date").agg(
-        *[F.avg(m) for m in MEASURES], F.min_by("_flags", "seq")
+    raw = rows.withColumns(aggregate.pack_flags()).groupBy("id", "date").agg(
+        *[F.avg(m) for m in MEASURES], *[F.min_by(c, "seq") for c in aggregate.FLAGS]
     )
-    named = raw.toDF("id", "date", *MEASURES, "_flags")
-    m_flag, s_flag = aggregate.unpack_flags("_flags")
-    return rounded(named.select("id", "date", *MEASURES, m_flag, s_flag))
+    named = raw.toDF("id", "date", *MEASURES, *aggregate.FLAGS)
+    return rounded(named.select("id", "date", *MEASURES, *aggregate.unpack_flags()))
 
 
 def filter_quality(spark, sf_dir):
@@ -311,6 +339,12 @@ def agg_first_flags(spark, sf_dir):
     return aggregate.first_flags(_t(spark, sf_dir).events_obs(), EV_OPTS)
 
 
+def agg_first_flags_nulls(spark, sf_dir):
+    """Null, longer and non-ASCII flags, and an order column that is null in some rows."""
+    obs = _t(spark, sf_dir).events_obs_odd_flags()
+    return aggregate.first_flags(obs, CANONICAL.with_order("seq", "seq0"))
+
+
 # -- windows -------------------------------------------------------------------
 def win_avg_daily(spark, sf_dir):
     return rounded(window.window_avg(_t(spark, sf_dir).events_obs(), EV_OPTS))
@@ -330,28 +364,28 @@ def win_dedup_yearly(spark, sf_dir):
 
 # -- limit, union ----------------------------------------------------------------
 def limit_sample(spark, sf_dir):
-    """Trial run: the first 500 fact rows by station and day (only the first
-    stations' observations are aggregated)."""
+    """Trial run: the first 500 fact rows by station and day."""
     t = _t(spark, sf_dir)
     return rounded(facts.first_fact_rows(t.lineitem_obs(), t.supplier_stations(), t.countries(), _opts(), 500))
 
 
-def _year_tables(spark, sf_dir, start: int, end: int) -> list[DataFrame]:
+def _year_tables(spark, sf_dir):
     """One relation per year, as the per-year tables: the observations are
     written once partitioned by year and each year reads only its folder."""
     path = scratch_path(spark, "obs_year_tables")
     obs = _t(spark, sf_dir).lineitem_obs().withColumn("year", F.year("date"))
     table_sinks.write_partitioned(obs, path, ["year"], ["id", "date"])
-    return [table_sources.read_years(spark, path, y, y).drop("year") for y in range(start, end + 1)]
+    years = sorted(r["year"] for r in spark.read.parquet(path).select("year").distinct().collect())
+    return [table_sources.read_years(spark, path, y, y).drop("year") for y in years]
 
 
 def union_years(spark, sf_dir):
-    frames = _year_tables(spark, sf_dir, 1995, 2001)
+    frames = _year_tables(spark, sf_dir)
     return rounded(setops.union_all(aggregate.to_daily(o, EV_OPTS) for o in frames))
 
 
 def union_years_avg(spark, sf_dir):
-    frames = _year_tables(spark, sf_dir, 1995, 2001)
+    frames = _year_tables(spark, sf_dir)
     return rounded(setops.union_all(aggregate.to_yearly(o, EV_OPTS) for o in frames))
 
 
@@ -434,6 +468,38 @@ def _both_facts_li(spark, sf_dir):
                             scratch_path(spark, "daily_parts"))
 
 
+def fact_daily_default_order(spark, sf_dir):
+    """The job's order (a hash of the row); flags that depend on station and day alone."""
+    t = _t(spark, sf_dir)
+    return rounded(facts.fact_daily(t.events_obs_odd_flags(by_group=True), t.customer_stations(), t.countries(), CANONICAL))
+
+
+def _both_facts(spark, sf_dir, opts):
+    t = _t(spark, sf_dir)
+    return facts.both_facts(t.lineitem_obs(), t.supplier_stations(), t.countries(), _opts(opts), scratch_path(spark, "daily_parts"))
+
+
+def _declared(df):
+    """Decimal measures in units of their last digit, as text: compared unrounded."""
+    return df.withColumns({m: (F.col(m) * 1_000_000_000).cast("decimal(38,0)").cast("string") for m in MEASURES})
+
+
+def job_fact_daily_local(spark, sf_dir):
+    return _declared(_both_facts(spark, sf_dir, LOCAL)[0])
+
+
+def job_fact_yearly_local(spark, sf_dir):
+    return _declared(_both_facts(spark, sf_dir, LOCAL)[1])
+
+
+def job_fact_daily_job(spark, sf_dir):
+    return rounded(_both_facts(spark, sf_dir, JOB)[0])
+
+
+def job_fact_yearly_job(spark, sf_dir):
+    return rounded(_both_facts(spark, sf_dir, JOB)[1])
+
+
 def job_fact_daily(spark, sf_dir):
     """Daily fact of the one-scan job path (partials written once)."""
     return rounded(_both_facts_li(spark, sf_dir)[0])

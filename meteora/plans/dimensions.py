@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meteora.functions.scalar import country_code
-from meteora.operators.join import MAX_BROADCAST_ROWS, bounded_counts
+from meteora.operators.join import MAX_BROADCAST_BYTES, measured_bytes
 from meteora.schemas import STATION_DROPPED
 
 
@@ -33,28 +33,28 @@ def countries_dim(raw: DataFrame) -> DataFrame:
 
 
 def station_country(stations_raw: DataFrame, countries_raw: DataFrame,
-                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Stations with their country name (snowflake flattened).
 
     Inner join: a station whose country code is not listed disappears, as it
     does from the facts.  Joining the two small dimensions first leaves one
     hash lookup per fact row instead of two.
     """
-    return checked_station_country(stations_raw, countries_raw, max_broadcast_rows)[0]
+    return checked_station_country(stations_raw, countries_raw, max_broadcast_bytes)[0]
 
 
 def checked_station_country(stations_raw: DataFrame, countries_raw: DataFrame,
-                            max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+                            max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """The flattened station dimension and whether it may be broadcast.
 
-    One small job counts (with a cap) the countries and the joined stations;
-    each side is broadcast only when its count is within the bound.
+    One small job measures the countries and the joined stations; each side is
+    broadcast only when its size is within the bound.
     """
     st, co = stations_dim(stations_raw), countries_dim(countries_raw)
 
     def joined(co_side: DataFrame) -> DataFrame:
         return st.join(co_side, st["country_code"] == co_side["code"], "inner").drop("code")
 
-    n_co, n_joined = bounded_counts([co, joined(co)], max_broadcast_rows)
-    dim = joined(F.broadcast(co) if n_co <= max_broadcast_rows else co)
-    return dim, n_joined <= max_broadcast_rows
+    n_co, n_joined = measured_bytes([co, joined(co)])
+    dim = joined(F.broadcast(co) if n_co <= max_broadcast_bytes else co)
+    return dim, n_joined <= max_broadcast_bytes

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteora.operators.aggregate import daily_parts, finish_parts, roll_up_parts, to_daily, to_yearly, year_start
-from meteora.operators.cleaning import clean
-from meteora.operators.join import MAX_BROADCAST_ROWS, bounded_counts, fits_broadcast
+from meteora.operators.join import MAX_BROADCAST_BYTES, fits_broadcast
 from meteora.operators.limit import sample_rows
 from meteora.options import CANONICAL, TransformOptions
 from meteora.plans.dimensions import checked_station_country
@@ -19,15 +18,15 @@ def fact_columns(opts: TransformOptions) -> tuple[str, ...]:
 
 
 def _dimension(stations_raw: DataFrame, countries_raw: DataFrame, where: Column | None,
-               max_broadcast_rows: int) -> tuple[DataFrame, bool]:
+               max_broadcast_bytes: int) -> tuple[DataFrame, bool]:
     """The flattened station dimension (restricted by ``where``) and whether
-    it passed the broadcast size check.  A restricted dimension is counted
+    it passed the broadcast size check.  A restricted dimension is measured
     again when the whole one is too big: one place may still be small."""
-    dim, small = checked_station_country(stations_raw, countries_raw, max_broadcast_rows)
+    dim, small = checked_station_country(stations_raw, countries_raw, max_broadcast_bytes)
     if where is None:
         return dim, small
     dim = dim.where(where)
-    return dim, small or fits_broadcast(dim, max_broadcast_rows)
+    return dim, small or fits_broadcast(dim, max_broadcast_bytes)
 
 
 def _join_dim(wide: DataFrame, dim: DataFrame, small: bool, columns: tuple[str, ...]) -> DataFrame:
@@ -50,67 +49,33 @@ def restrict_to_stations(obs: DataFrame, dim: DataFrame, small: bool) -> DataFra
 
 
 def enrich(wide: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame,
-           columns: tuple[str, ...] = FACT_COLUMNS, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+           columns: tuple[str, ...] = FACT_COLUMNS, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
            stations_where: Column | None = None) -> DataFrame:
     """Join wide rows with their station and country; rows without either go.
 
-    The flattened station dimension is broadcast after a row-count check;
+    The flattened station dimension is broadcast after a size check;
     above the bound the join is left to a shuffle (or AQE's runtime choice).
     The aggregate is computed before the join, so only one row per
     station/period meets the dimension.  ``stations_where`` (a predicate on
     the dimension's columns) keeps only the matching stations.
     """
-    dim, small = _dimension(stations_raw, countries_raw, stations_where, max_broadcast_rows)
+    dim, small = _dimension(stations_raw, countries_raw, stations_where, max_broadcast_bytes)
     return _join_dim(wide, dim, small, columns)
 
 
 def _fact(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame, opts: TransformOptions,
-          stations_where: Column | None, transform, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    dim, small = _dimension(stations_raw, countries_raw, stations_where, max_broadcast_rows)
+          stations_where: Column | None, transform, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    dim, small = _dimension(stations_raw, countries_raw, stations_where, max_broadcast_bytes)
     if stations_where is not None:
         obs = restrict_to_stations(obs, dim, small)
     return _join_dim(transform(obs, opts), dim, small, fact_columns(opts))
 
 
-def first_stations(obs: DataFrame, dim: DataFrame, small: bool, opts: TransformOptions, n: int,
-                   min_ratio: int = 10) -> DataFrame:
-    """Observations of the ``n`` smallest station ids that reach the facts.
-
-    The first ``n`` fact rows by (id, date) belong to at most ``n`` stations,
-    and those are the smallest ids among stations with a cleaned observation
-    and a dimension row (each such station has at least one fact row).  So a
-    trial run over the first rows needs only those stations' observations:
-    one pass over the ids, a top-``n`` of the distinct ids, and a broadcast
-    of at most ``n`` ids.  The cut pays only when it keeps a small share of
-    the stations, so it is made when the dimension has more than
-    ``min_ratio * n`` rows (about 160,000 stations against 500 rows keeps
-    0.3%); otherwise, and above the broadcast bound, the observations are
-    left whole.  The ordered limit after the facts is exact either way.
-    """
-    if n > MAX_BROADCAST_ROWS or bounded_counts([dim], min_ratio * n)[0] <= min_ratio * n:
-        return obs
-    keep = dim.select("id")
-    ids = clean(obs, opts).select("id").join(F.broadcast(keep) if small else keep, "id", "left_semi")
-    firsts = ids.distinct().orderBy("id").limit(n)
-    return obs.join(F.broadcast(firsts), "id", "left_semi")
-
-
-def trial_observations(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame, opts: TransformOptions,
-                       n: int, min_ratio: int = 10) -> DataFrame:
-    """Observations that the first ``n`` fact rows (daily or yearly, by id
-    and date) are made of; see ``first_stations``."""
-    dim, small = _dimension(stations_raw, countries_raw, None, MAX_BROADCAST_ROWS)
-    return first_stations(obs, dim, small, opts, n, min_ratio)
-
-
 def first_fact_rows(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame, opts: TransformOptions,
-                    n: int, yearly: bool = False, min_ratio: int = 10) -> DataFrame:
-    """The first ``n`` rows of the daily (or yearly) fact by (id, date), as a
-    trial run: with many stations, only the first stations' observations are
-    aggregated."""
-    dim, small = _dimension(stations_raw, countries_raw, None, MAX_BROADCAST_ROWS)
-    head = first_stations(obs, dim, small, opts, n, min_ratio)
-    fact = _join_dim((to_yearly if yearly else to_daily)(head, opts), dim, small, fact_columns(opts))
+                    n: int, yearly: bool = False) -> DataFrame:
+    """The first ``n`` rows of the daily (or yearly) fact by (id, date): a trial
+    run is the ordered limit of the whole fact, at every scale."""
+    fact = (fact_yearly if yearly else fact_daily)(obs, stations_raw, countries_raw, opts)
     return sample_rows(fact, n, ["id", "date"])
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from meteora.session import base_session  # noqa: E402
 from meteora.sinks.files import convert_observations, write_parquet  # noqa: E402
-from meteora.sources.csv import read_observations_csv  # noqa: E402
+from meteora.sources.csv import read_observations_csv, year_files  # noqa: E402
 from meteora.sources.fixed_width import read_countries, read_stations  # noqa: E402
 from meteora.streaming.ingest import ingest_available  # noqa: E402
 
@@ -75,8 +75,8 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         write_parquet(read_countries(spark, a.countries), f"{out}/countries")
         return
     base = a.csv.rstrip("/")
-    obs = read_observations_csv(spark, [f"{base}/{y}.csv*" for y in range(a.start_year, a.end_year + 1)])
-    convert_observations(obs, a.out, mode="overwrite", dynamic=a.refresh)
+    obs = read_observations_csv(spark, year_files(spark, base, a.start_year, a.end_year))
+    convert_observations(obs, a.out, mode="overwrite", dynamic=a.refresh, years=range(a.start_year, a.end_year + 1))
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -13,6 +13,7 @@ from meteora.plans.testmap import (
     SQL_COUNTRIES,
     SQL_EVENTS_OBS,
     SQL_LINEITEM_OBS,
+    sql_events_obs_odd_flags,
     sql_customer_stations,
     sql_supplier_stations,
 )
@@ -60,6 +61,20 @@ def sql_wide(src: str, opts: TransformOptions, yearly: bool = False, rounded: bo
     )
 
 
+def sql_wide_exact(src: str, opts: TransformOptions, yearly: bool = False) -> str:
+    """Decimal averages in units of their ninth digit, half away from zero, as text."""
+    year_type = "TIMESTAMP" if opts.year_start == "timestamp" else "DATE"
+    period = f"CAST(date_trunc('year', date) AS {year_type})" if yearly else "date"
+    total = lambda m: f"CAST(sum({m}) AS HUGEINT)"
+    avgs = ", ".join(
+        f"CAST(sign({total(m)}) * ((abs({total(m)}) * 2000000000 + count({m})) // nullif(2 * count({m}), 0)) AS VARCHAR) AS {m}"
+        for m in MEASURES)
+    return (
+        f"SELECT id, {period} AS date, {avgs}, arg_min(m_flag, seq) AS m_flag, arg_min(s_flag, seq) AS s_flag\n"
+        f"FROM ({sql_exploded(src, opts, keep=', seq')}) AS x\nGROUP BY id, {period}"
+    )
+
+
 def sql_station_country(stations: str) -> str:
     return (
         f"SELECT st.id, st.latitude, st.longitude, st.elevation, st.name AS station_name, st.country_code, "
@@ -126,6 +141,9 @@ def oracles() -> dict[str, str]:
     q["src_fixed_width_countries"] = SQL_COUNTRIES
     q["src_external_table"] = _obs(EV)
     q["src_format_options"] = _obs(LI)
+    q["src_year_files"] = f"{_obs(LI)} WHERE year(date) BETWEEN 1996 AND 1998"
+    q["src_csv_strict"] = f"{_obs(LI)} WHERE year(date) BETWEEN 1996 AND 1997"
+    q["sink_format_options"] = FACT_YEARLY_LI
     q["src_year_range"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o WHERE year(date) BETWEEN 1996 AND 1998"
     q["ingest_csv_to_parquet"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"
     q["stream_ingest"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"
@@ -172,6 +190,10 @@ def oracles() -> dict[str, str]:
         f"SELECT id, date, arg_min(m_flag, seq) AS m_flag, arg_min(s_flag, seq) AS s_flag "
         f"FROM ({EV}) AS o WHERE q_flag = '' GROUP BY id, date"
     )
+    q["agg_first_flags_nulls"] = (
+        "SELECT id, date, m_flag, s_flag FROM (SELECT *, row_number() OVER (PARTITION BY id, date ORDER BY seq NULLS LAST, seq0) AS rn "
+        f"FROM ({sql_events_obs_odd_flags()}) AS o WHERE q_flag = '') AS a WHERE rn = 1"
+    )
     # windows ---------------------------------------------------------------
     q["win_avg_daily"] = _window_avg(EV, yearly=False)
     q["win_avg_yearly"] = _window_avg(LI, yearly=True)
@@ -210,6 +232,12 @@ def oracles() -> dict[str, str]:
     q["fact_yearly_job"] = sql_fact(LI, ST_S, JOB, yearly=True)
     q["job_fact_daily"] = FACT_DAILY_LI
     q["job_fact_yearly"] = FACT_YEARLY_LI
+    grouped_flags = sql_events_obs_odd_flags(by_group=True).replace("CASE WHEN seq % 3 <> 0 THEN seq END AS seq", "seq")
+    q["fact_daily_default_order"] = sql_fact(grouped_flags, ST_C)
+    q["job_fact_daily_local"] = sql_enrich(sql_wide_exact(LI, LOCAL), ST_S)
+    q["job_fact_yearly_local"] = sql_enrich(sql_wide_exact(LI, LOCAL, yearly=True), ST_S)
+    q["job_fact_daily_job"] = sql_fact(LI, ST_S, JOB)
+    q["job_fact_yearly_job"] = sql_fact(LI, ST_S, JOB, yearly=True)
     # analytic questions ----------------------------------------------------
     q["q_max_by_country_year"] = (
         f"SELECT country_code, country_name, {_year_int()} AS year, max(tmax) AS max_tmax "

@@ -83,6 +83,18 @@ class DriverTables:
             F.col("event_id").alias("seq"),
         )
 
+    def events_obs_odd_flags(self, by_group: bool = False) -> DataFrame:
+        """``events_obs`` with null, longer and non-ASCII flags and a partly null order
+        column; ``by_group``: the flags depend on the station and day alone."""
+        obs = self.events_obs()
+        k = (F.substring("id", -2, 2).cast("int") + F.dayofmonth("date")) if by_group else F.col("seq")
+        return obs.withColumns({
+            "m_flag": F.when(k % 5 == 0, F.lit(None)).when(k % 5 == 1, "TQ").when(k % 5 == 2, "é").when(k % 5 == 3, "").otherwise("P"),
+            "s_flag": F.when(k % 7 < 2, F.lit(None)).when(k % 7 < 4, "œz").when(k % 7 < 6, "S").otherwise("7a"),
+            "seq": F.when(F.col("seq") % 3 != 0, F.col("seq")),
+            "seq0": F.col("seq"),
+        })
+
     def lineitem_obs(self) -> DataFrame:
         li = self.table("lineitem")
         return li.select(
@@ -147,6 +159,18 @@ SELECT {_sql_pad_id('user_id')} AS id,
        event_id AS seq
 FROM events"""
 
+
+
+def sql_events_obs_odd_flags(by_group: bool = False) -> str:
+    k = "(CAST(right(id, 2) AS INT) + day(date))" if by_group else "seq"
+    return f"""
+SELECT id, date, element, value,
+       CASE {k} % 5 WHEN 0 THEN '' WHEN 1 THEN 'TQ' WHEN 2 THEN 'é' WHEN 3 THEN '' ELSE 'P' END AS m_flag, q_flag,
+       CASE WHEN {k} % 7 < 2 THEN '' WHEN {k} % 7 < 4 THEN 'œz' WHEN {k} % 7 < 6 THEN 'S' ELSE '7a' END AS s_flag,
+       obs_time, CASE WHEN seq % 3 <> 0 THEN seq END AS seq, seq AS seq0
+FROM ({SQL_EVENTS_OBS}) AS e"""
+
+
 SQL_LINEITEM_OBS = f"""
 SELECT {_sql_pad_id('l_suppkey')} AS id,
        CAST(l_shipdate AS DATE) AS date,

@@ -91,8 +91,3 @@ OBS_SCHEMA = StructType(
         StructField("obs_time", ShortType()),
     ]
 )
-
-STATION_SCHEMA = StructType(
-    [StructField(name, DoubleType() if kind == "double" else StringType()) for name, _, _, kind in STATION_LAYOUT]
-)
-COUNTRY_SCHEMA = StructType([StructField(name, StringType()) for name, _, _, _ in COUNTRY_LAYOUT])

@@ -72,18 +72,22 @@ def base_session(app: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, combined_share: float = 0.1) -> dict[str, str]:
     """Settings sized for a large input (e.g. 100 TB on a thousand executors).
 
-    Shuffle partitions are sized so each holds about ``target_partition_bytes``
-    before AQE coalesces the small ones (up to that size); scans are split at
-    256 MB.
+    Shuffle partitions are sized so each holds about ``target_partition_bytes`` of
+    what is left after the map-side combine (``combined_share`` of the input: the
+    rows of a station and day become one) before AQE coalesces the small ones.
+    Scans are split at 1 GB.  The driver keeps one map status per map task, with an entry per
+    reducer: for 100 TB 102,400 map tasks times 40,960 reducers are 4.2e9 blocks, whose
+    statuses (compressed above 2,000 reducers to an average and the large ones) take
+    about 102,400 x 5 KB = 0.5 GB of the driver.
     """
-    parts = max(200, int(input_bytes // target_partition_bytes))
+    parts = max(200, int(input_bytes * combined_share // target_partition_bytes))
     conf = dict(BASE_CONF)
     conf.update({
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.files.maxPartitionBytes": str(1 << 30),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         # coalesce small shuffle partitions up to the advisory size, not only to
         # 1 MB: a small stage (the yearly roll-up, a fact write) then runs few

@@ -34,15 +34,19 @@ def parquet_layout(obs: DataFrame) -> DataFrame:
     return obs.select(*OBS_PARQUET_COLUMNS).withColumn("year", F.year("date"))
 
 
-def convert_observations(obs: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False) -> None:
+def convert_observations(obs: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False, years=None) -> None:
     """Ingest conversion: typed observations -> Parquet, one folder per year.
 
     One read of the raw files and no shuffle: a task reads part of one
     year's file, sorts its rows by (year, id, date) and writes them into that
     year's folder, so files are sorted by station and day (row groups skip
     on id).  See ``write_sorted`` for why no range repartition is used here.
-    ``dynamic`` replaces only the years present in ``obs`` (a refresh).
+    ``dynamic`` replaces only the years present in ``obs`` (a refresh); with
+    ``years`` a row of another year, or without a date, is an error.
     """
-    from meteora.sinks.tables import write_sorted
+    from meteora.sinks.tables import only_years, refuse_streamed, write_sorted
 
-    write_sorted(parquet_layout(obs), path, ["year"], ["id", "date"], mode=mode, dynamic=dynamic)
+    if dynamic:
+        refuse_streamed(obs.sparkSession, path)
+    rows = parquet_layout(obs)
+    write_sorted(rows if years is None else only_years(rows, years), path, ["year"], ["id", "date"], mode=mode, dynamic=dynamic)

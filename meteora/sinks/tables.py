@@ -14,6 +14,8 @@ from typing import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meteora.sources.tables import path_exists
+
 
 def _layout(df: DataFrame, partition_by: list[str], cluster_by: list[str], num_files: int | None) -> DataFrame:
     keys = [*partition_by, *cluster_by]
@@ -80,12 +82,41 @@ def write_fact_yearly(fact: DataFrame, path: str, mode: str = "overwrite", num_f
     write_partitioned(with_year(fact), path, ["year"], ["country_code", "id"], mode, num_files)
 
 
-def refresh_partitions(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str] = ()) -> None:
+def only_years(df: DataFrame, years: Iterable[int], column: str = "year") -> DataFrame:
+    """``df``, in which a row of another year (or of none) is an error when it is read."""
+    asked = sorted(set(years))
+    what = F.concat(F.lit(f"a row outside of the years {asked}: "), F.coalesce(F.col(column).cast("string"), F.lit("no date")))
+    return df.withColumn(column, F.when(F.col(column).isin(asked), F.col(column)).otherwise(F.raise_error(what).cast("int")))
+
+
+def refuse_streamed(spark, path: str) -> None:
+    """A table that a stream appends to keeps a log of its files, and can't be read
+    any more once a batch job replaces some of them."""
+    log = f"{path.rstrip('/')}/_spark_metadata"
+    if path_exists(spark, log):
+        raise ValueError(f"{path} is written by a stream; refresh a table of its own")
+
+
+def refresh_partitions(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str] = (),
+                       years: Iterable[int] | None = None) -> None:
     """Replace only the partitions present in ``df`` (e.g. the current year),
-    leaving the others untouched; re-running it does not duplicate rows."""
+    leaving the others untouched; re-running it does not duplicate rows.
+
+    With ``years`` a row of another year fails the job before anything is replaced.
+    """
+    refuse_streamed(df.sparkSession, path)
+    if years is not None:
+        df = only_years(df, years)
     write_partitioned(df, path, partition_by, cluster_by, mode="overwrite", dynamic=True)
 
 
+def write_table(df: DataFrame, fmt: str, mode: str = "append", path: str | None = None, **options) -> None:
+    """Write to any data source by format name and options (a warehouse connector,
+    ``parquet``, ``orc``, ...); the twin of ``sources.tables.read_table``."""
+    writer = df.write.format(fmt).mode(mode).options(**{k: str(v) for k, v in options.items()})
+    writer.save(path) if path is not None else writer.save()
+
+
 def write_years(frames: Iterable[DataFrame], path: str, partition_by: list[str] = ("year",),
                 cluster_by: list[str] = ()) -> None:
     """First relation overwrites the table, the following ones append."""
@@ -96,7 +127,13 @@ def write_years(frames: Iterable[DataFrame], path: str, partition_by: list[str]
 def create_or_replace_table(df: DataFrame, name: str, path: str | None = None, partition_by: list[str] = (),
                             cluster_by: list[str] = (), fmt: str = "parquet") -> DataFrame:
     """CREATE OR REPLACE TABLE name AS SELECT ...; returns the new table."""
-    writer = _layout(df, list(partition_by), list(cluster_by), None).write.mode("overwrite").format(fmt)
+    if partition_by:
+        # a rebalance by the partition keys: one read and one shuffle, hot partitions are
+        # split and small ones joined, files sorted; a range layout would sample the input first
+        laid = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+    else:
+        laid = _layout(df, [], list(cluster_by), None)
+    writer = laid.write.mode("overwrite").format(fmt)
     if path is not None:
         writer = writer.option("path", path)
     if partition_by:

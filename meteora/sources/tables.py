@@ -30,6 +30,11 @@ def external_table(spark: SparkSession, name: str, path: str, source: str = "par
     return spark.table(name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def year_paths(base: str, start: int, end: int, column: str = "year") -> list[str]:
     if end < start:
         raise ValueError(f"empty year range {start}..{end}")
@@ -39,10 +44,17 @@ def year_paths(base: str, start: int, end: int, column: str = "year") -> list[st
 def read_years(spark: SparkSession, base: str, start: int, end: int, column: str = "year") -> DataFrame:
     """Years ``start..end`` (inclusive) of a table partitioned by ``column``.
 
-    Only those partition folders are listed and read.  A missing year is an
+    Only those partition folders are listed and read.  A folder of one
+    ``<year>.parquet`` per year is read the same way.  A missing year is an
     error naming the range, not a silently shorter result.
     """
     paths = year_paths(base, start, end, column)
+    files = [f"{base.rstrip('/')}/{y}.parquet" for y in range(start, end + 1)]
+    if path_exists(spark, files[0]) and not path_exists(spark, paths[0]):
+        missing = [f for f in files if not path_exists(spark, f)]
+        if missing:
+            raise ValueError(f"years {start}..{end} not all present: no {missing}")
+        return spark.read.parquet(*files)
     try:
         return spark.read.option("basePath", base).parquet(*paths)
     except AnalysisException as exc:  # PATH_NOT_FOUND

@@ -8,8 +8,9 @@ once, even when tasks or executors fail mid-run.  ``availableNow`` processes
 whatever is there and then stops, so it runs from a scheduler like a batch.
 
 A file that is replaced under the same name (the current year re-published
-daily) is not seen again by a file stream; that refresh is the batch
-``refresh_partitions`` of the job instead.
+daily) is not seen again by a file stream; re-published years belong in a table
+of their own, which a batch refresh writes.  A batch refresh refuses a table that
+a stream appends to: its log names the files a refresh would remove.
 """
 
 from __future__ import annotations
@@ -21,23 +22,23 @@ from meteora.functions.scalar import parse_date
 from meteora.operators.cleaning import normalize_flags
 from meteora.schemas import OBS_CSV_SCHEMA
 from meteora.sinks.files import parquet_layout
-from meteora.session import scratch_path
+from meteora.sources.csv import CSV_GLOB
 
 
 def observation_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Typed observations from CSV files as they land in ``source_dir``."""
-    reader = spark.readStream.schema(OBS_CSV_SCHEMA).option("header", False).option("pathGlobFilter", "*.csv*")
+    reader = spark.readStream.schema(OBS_CSV_SCHEMA).option("header", False).option("mode", "FAILFAST") \
+        .option("columnPruning", False).option("pathGlobFilter", CSV_GLOB)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(source_dir)
     return parquet_layout(normalize_flags(raw.withColumn("date", parse_date("date"))))
 
 
-def ingest_available(spark: SparkSession, source_dir: str, target: str, checkpoint: str | None = None,
+def ingest_available(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append every not yet ingested file to ``target`` (partitioned by year)
-    and stop; returns the finished query."""
-    checkpoint = checkpoint or scratch_path(spark, "ingest_ckpt")
+    and stop; returns the finished query.  ``checkpoint`` remembers the files taken."""
     query = (
         observation_stream(spark, source_dir, max_files_per_trigger)
         .writeStream.format("parquet")

@@ -55,13 +55,25 @@ def test_measure_value_variants(spark, xs, element):
 
 
 def test_flag_packing_round_trip(spark):
-    chars = [""] + [chr(c) for c in range(32, 127)]
-    pairs = [(m, s) for m in chars[::3] for s in chars[::5]]
+    chars = [None, "", "TQ", "é", "œ", "日本", "abcdefg", "\x00", "\x01a"] + [chr(c) for c in range(32, 127)]
+    pairs = [(m, s) for m in chars[::2] for s in chars[::3]] + [(None, "S"), ("T", "œ"), ("T", None)]
     df = spark.createDataFrame(pairs, "m_flag string, s_flag string")
-    back = df.select(pack_flags().alias("_flags")).select(*unpack_flags("_flags")).collect()
+    back = df.select(*[c.alias(n) for n, c in pack_flags().items()]).select(*unpack_flags()).collect()
     assert [(r["m_flag"], r["s_flag"]) for r in back] == pairs
 
 
+def test_a_flag_too_long_to_pack_is_an_error(spark):
+    df = spark.createDataFrame([("eight by", "S")], "m_flag string, s_flag string")
+    with pytest.raises(Exception, match="longer than 7 bytes"):
+        df.select(*[c.alias(n) for n, c in pack_flags().items()]).collect()
+
+
+def test_whole_division_is_exact(spark):
+    big = 2 ** 60 + 7
+    r = spark.createDataFrame([(big, -big)], "a long, b long").select(fn.int_div("a", 10).alias("a"), fn.int_div("b", 10).alias("b")).first()
+    assert r["a"] == big // 10 and r["b"] == -(big // 10)
+
+
 def test_dates(spark):
     df = spark.createDataFrame([(20200131, "19860529", dt.date(1992, 7, 14))], "i int, s string, d date")
     r = df.select(fn.int_to_date("i").alias("a"), fn.parse_date("s").alias("b"), fn.trunc_year("d").alias("c"),

@@ -232,6 +232,6 @@ def test_job_trial_run_gives_the_first_rows(spark, scratch):
     ]))
     st_txt, co_txt = read_stations(spark, st_path), read_countries(spark, co_path)
     for out, build in ((daily_out, facts.fact_daily), (yearly_out, facts.fact_yearly)):
-        got = spark.read.parquet(out)
+        got = spark.read.parquet(f"{out}_trial")
         assert got.count() == 25
         assert _key(got) == _key(sample_rows(build(obs_c, st_txt, co_txt, OPTS), 25, ["id", "date"]))

@@ -9,7 +9,7 @@ from meteora.session import cluster_conf, ensure_checkpoint_dir, scratch_path
 
 def test_cluster_conf_sizes_for_100_tb():
     conf = cluster_conf(100 << 40)
-    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // 10 // (256 << 20)
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert conf["spark.sql.adaptive.enabled"] == "true" and conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
@@ -94,5 +94,5 @@ def test_submit_flags_for_an_input_size():
 
     assert parse_size("100T") == 100 << 40 and parse_size("750g") == 750 << 30 and parse_size("12345") == 12345
     flags = submit_flags(parse_size("100T"))
-    assert f"--conf spark.sql.shuffle.partitions={(100 << 40) // (256 << 20)}" in flags
+    assert f"--conf spark.sql.shuffle.partitions={(100 << 40) // 10 // (256 << 20)}" in flags
     assert "--conf spark.sql.autoBroadcastJoinThreshold=-1" in flags
