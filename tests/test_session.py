@@ -10,7 +10,7 @@ from meteora.session import cluster_conf, ensure_checkpoint_dir, scratch_path
 def test_cluster_conf_sizes_for_100_tb():
     conf = cluster_conf(100 << 40)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // 10 // (256 << 20)
-    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(1 << 30)
     assert conf["spark.sql.adaptive.enabled"] == "true" and conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
     assert conf["spark.sql.parquet.compression.codec"] == "zstd"
