@@ -38,7 +38,7 @@ LARGER = 48
 #: Digests of two sets together that one sketch is meant for.
 LOAD = 10
 #: Bytes of text in one range of ids, about.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 2 << 20
 MAX_RANGES = 1 << 16
 
 _BLOCK = rf"(?:\S*[^\s.!?][^\S\n]+){{0,{BLOCK_WORDS - 1}}}\S+"
@@ -99,9 +99,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     own = F.struct(F.col("__range").alias("r"), F.lit(0).alias("copy"))
     copy = F.struct(before.alias("r"), F.lit(1).alias("copy"))
     dealt = rows.withColumn("__at", F.explode(F.when(first, F.array(own, copy)).otherwise(F.array(own))))
-    order = Window.partitionBy("__at.r").orderBy("__at.copy", "__id", F.xxhash64("text"), "text")
+    # the range is a plain column: all groupings below begin with it and need no further shuffle;
+    # the filter stands here because the join would add it to one side only, and make two shuffles of one
+    dealt = dealt.where("__at.r is not null").select(F.col("__at.r").alias("__range"), F.col("__at.copy").alias("__copy"), "__id", "doc_id", "text", "a")
+    order = Window.partitionBy("__range").orderBy("__copy", "__id", F.xxhash64("text"), "text")
     dealt = dealt.withColumns({"next_text": F.lead("text").over(order), "next_a": F.lead("a").over(order), "__no": F.row_number().over(order)})
-    return dealt.where("__at.copy = 0").select(F.col("__at.r").alias("__range"), "__no", "doc_id", "text", "a", "next_text", "next_a")
+    return dealt.where("__copy = 0").select("__range", "__no", "doc_id", "text", "a", "next_text", "next_a")
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -181,17 +184,18 @@ def compare_versions(docs: DataFrame) -> DataFrame:
     of every row."""
     rows = with_next(docs)
     rows = rows.withColumn("edited", edited(F.col("text"), F.col("next_text"))).withColumn("b", digests(F.col("edited")))
-    keys = ["__range", "__no", "__pair"]
-    pairs = rows.select("__range", "__no", F.explode(F.array(
+    # doc_id is a key so that both sides of the join read the same columns, from one shuffle
+    keys = ["__range", "__no", "doc_id", "__pair"]
+    pairs = rows.select("__range", "__no", "doc_id", F.explode(F.array(
         F.struct(F.lit(0).alias("p"), F.col("a"), F.col("b")), F.struct(F.lit(1).alias("p"), F.col("a"), F.col("next_a").alias("b")))).alias("s"))
-    found = differences(pairs.select("__range", "__no", F.col("s.p").alias("__pair"), "s.a", "s.b"), keys)
-    wide = found.groupBy("__range", "__no").agg(*[
+    found = differences(pairs.select("__range", "__no", "doc_id", F.col("s.p").alias("__pair"), "s.a", "s.b"), keys)
+    wide = found.groupBy("__range", "__no", "doc_id").agg(*[
         F.max(F.when(F.col("__pair") == p, F.col(c))).alias(f"{c}_{p}") for p in (0, 1) for c in ("only_a", "only_b", "failed")])
     own = rows.select("__range", "__no", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                       fingerprint(F.col("a")).alias("fingerprint"), fingerprint(F.col("b")).alias("edited_fingerprint"),
                       F.size("a").alias("__a"), F.size("b").alias("__b0"), F.size("next_a").alias("__b1"),
                       _outright(F.col("a"), F.col("b")).alias("__out0"), _outright(F.col("a"), F.col("next_a")).alias("__out1"))
-    both = own.join(wide, ["__range", "__no"], "left")
+    both = own.join(wide.drop("doc_id"), ["__range", "__no"], "left")
     near = lambda p: F.when(F.col(f"failed_{p}"), F.col(f"__out{p}")).otherwise(
         _likeness(F.col("__a"), F.col(f"__b{p}"), F.col(f"only_a_{p}"), F.col(f"only_b_{p}")))
     return both.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
