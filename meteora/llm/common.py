@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meteora.session import scratch_path
+from meteora.session import scratch_path, unique_name
 
 #: Bytes of text a Python task works on at a time; a longer text is one slice.
 SLICE_BYTES = 4 << 20
@@ -99,6 +99,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """``stored``, as a table bucketed by ``keys``, which grouping by them reads without a
+    shuffle.  ``df`` should be hash-partitioned by ``keys`` already."""
+    spark = df.sparkSession
+    table_name = unique_name(name.replace("-", "_"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").option("path", scratch_path(spark, name)).bucketBy(buckets, *keys).saveAsTable(table_name)
+    return spark.table(table_name)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the files of a table made by ``stored`` that nothing needs any more."""
     spark = df.sparkSession

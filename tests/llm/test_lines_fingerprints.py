@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from meteora.llm import fingerprint, linededup
-from meteora.llm.common import stored
+from meteora.llm.common import stored, stored_by
+from meteora.llm.components import components
 
 SF = "/root/testdata/sf0.001"
 SHINGLE = re.compile(r"(?s)(?=(\S.{0,11}))\S{1,8}")
@@ -72,7 +73,7 @@ def test_spark_shingles_are_the_same(spark):
 def test_a_large_bucket_makes_links_not_pairs(spark):
     base = " ".join(f"word{i}" for i in range(60))
     rows = [(i, f"{base} tail{i}") for i in range(300)]
-    distinct = stored(linededup.distinct_lines(spark.createDataFrame(rows, "doc_id long, text string")), "lines")
+    distinct = stored_by(linededup.distinct_lines(spark.createDataFrame(rows, "doc_id long, text string")), "lines", ["k1", "k2"])
     n = linededup.links(distinct).distinct().count()
     assert 299 <= n <= 8 * 300
     out = linededup.without_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("text != ''").collect()
@@ -80,11 +81,9 @@ def test_a_large_bucket_makes_links_not_pairs(spark):
 
 
 def test_dissimilar_lines_of_a_bucket_find_their_own_leaders(spark):
-    # one band of one row: many lines share it without being similar
+    # bands of one row: many lines share one without being similar
     rows = [(i, f"shared words here {'abcdefgh'[i % 8] * 5} " + " ".join(f"{'abcdefgh'[i % 8]}{j}" for j in range(30)) + f" {i}") for i in range(64)]
-    distinct = stored(linededup.distinct_lines(spark.createDataFrame(rows, "doc_id long, text string")), "lines")
-    from meteora.llm.components import components
-
+    distinct = stored_by(linededup.distinct_lines(spark.createDataFrame(rows, "doc_id long, text string")), "lines", ["k1", "k2"])
     found = components(linededup.links(distinct, bands=6, rows=1))
     assert found.select("component").distinct().count() == 8 and found.count() == 64
 
