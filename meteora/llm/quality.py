@@ -26,11 +26,12 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteora.llm.common import with_text_columns
+from meteora.llm.common import text_slices, with_text_columns
 
 DIM = 48
 WORD_ROWS = 1 << 14
@@ -52,15 +53,25 @@ def index_vectors(seed: int = 7) -> np.ndarray:
     return out
 
 
-_SHAPE = [(re.compile(r"[a-zß-öø-ÿ]+"), "a"), (re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "A"), (re.compile(r"\d+"), "0"),
-          (re.compile(r"(.)\1{2,}"), r"\1\1\1")]
+_SHAPE = [("[a-zß-öø-ÿ]+", "a"), ("[A-ZÀ-ÖØ-Þ]+", "A"), (r"\d+", "0")]
+_RUN = re.compile(r"(.)\1{2,}")
 
 
-def shape(word: str) -> str:
-    """``Don't`` is ``Aa'a``, ``1,204`` is ``0,0``, ``!!!!!`` is ``!!!``."""
+def shapes(words: pa.StringArray) -> tuple[list[str], np.ndarray]:
+    """The distinct shapes, and each word's: ``Don't`` is ``Aa'a``, ``1,204`` is
+    ``0,0``, ``!!!!!`` is ``!!!``."""
     for pattern, to in _SHAPE:
-        word = pattern.sub(to, word)
-    return word
+        words = pc.replace_substring_regex(words, pattern, to)
+    coded = words.dictionary_encode()
+    return [_RUN.sub(r"\1\1\1", x) for x in coded.dictionary.to_pylist()], coded.indices.to_numpy(zero_copy_only=False)
+
+
+def word_row(word: bytes) -> int:
+    return zlib.crc32(word) % WORD_ROWS
+
+
+def shape_row(shape: str) -> int:
+    return WORD_ROWS + zlib.crc32(shape.encode()) % SHAPE_ROWS
 
 
 class _Words:
@@ -75,9 +86,31 @@ class _Words:
         self.ends = np.concatenate([[0], np.cumsum(real)])[offsets - offsets[0]]
         coded = words.filter(real).dictionary_encode()
         self.codes = coded.indices.to_numpy(zero_copy_only=False)
-        own = coded.dictionary.to_pylist()
-        self.word = np.fromiter((zlib.crc32(w.encode()) % WORD_ROWS for w in own), np.int64, len(own))
-        self.shape = np.fromiter((WORD_ROWS + zlib.crc32(shape(w).encode()) % SHAPE_ROWS for w in own), np.int64, len(own))
+        own = coded.dictionary
+        self.word = np.fromiter(map(word_row, own.cast(pa.binary()).to_pylist()), np.int64, len(own))
+        kinds, of = shapes(own)
+        self.shape = np.fromiter(map(shape_row, kinds), np.int64, len(kinds))[of]
+
+
+def add_contexts(texts, index: np.ndarray, total: np.ndarray) -> None:
+    """Add the index vectors near each word of the texts to the rows of ``total``."""
+    w = _Words(texts)
+    if not len(w.codes):
+        return
+    # a word's vector has entries from -2 to 2, and four of them are summed: bytes do.
+    # WINDOW empty places between texts keep their words apart.
+    own = np.concatenate([(index[w.word] + index[w.shape]).astype(np.int8), np.zeros((1, DIM), np.int8)])
+    text = np.repeat(np.arange(len(w.ends) - 1), np.diff(w.ends))
+    at = np.arange(len(w.codes)) + WINDOW * (text + 1)
+    padded = np.full(len(w.codes) + WINDOW * (len(w.ends) + 1), len(own) - 1)
+    padded[at] = w.codes
+    place = own[padded]
+    near = sum((place[WINDOW + d: len(place) - WINDOW + d] for d in range(-WINDOW, WINDOW + 1) if d), np.int8(0))
+    order = np.argsort(w.codes, kind="stable")
+    firsts = np.nonzero(np.diff(w.codes[order], prepend=-1))[0]
+    sums = np.add.reduceat(near[at[order] - WINDOW], firsts, axis=0, dtype=np.int64)  # one row per distinct word
+    np.add.at(total, w.word, sums)
+    np.add.at(total, w.shape, sums)
 
 
 def context_table(docs: DataFrame) -> np.ndarray:
@@ -86,29 +119,10 @@ def context_table(docs: DataFrame) -> np.ndarray:
     cols = [f"c{i}" for i in range(DIM)]
 
     def run(batches):
-        import pyarrow as pa
-
-        from meteora.llm.common import text_slices
-
         index, total = index_vectors(), np.zeros((rows, DIM), np.int64)
         for batch in batches:
             for _, texts in text_slices(batch, "text", SLICE_BYTES):
-                w = _Words(texts)
-                n = len(w.codes)
-                if not n:
-                    continue
-                own = (index[w.word] + index[w.shape]).astype(np.int32)[w.codes]
-                doc = np.repeat(np.arange(len(w.ends) - 1), np.diff(w.ends))
-                near = np.zeros_like(own)
-                for d in range(1, min(WINDOW, n - 1) + 1):
-                    same = (doc[d:] == doc[:-d])[:, None]
-                    near[d:] += own[:-d] * same
-                    near[:-d] += own[d:] * same
-                order = np.argsort(w.codes, kind="stable")
-                at = np.nonzero(np.diff(w.codes[order], prepend=-1))[0]
-                sums = np.add.reduceat(near[order], at, axis=0)  # one row per distinct word
-                np.add.at(total, w.word, sums)
-                np.add.at(total, w.shape, sums)
+                add_contexts(texts, index, total)
         some = np.nonzero(total.any(axis=1))[0]
         yield pa.RecordBatch.from_arrays([pa.array(some)] + [pa.array(total[some, i]) for i in range(DIM)], names=["row", *cols])
 
@@ -134,8 +148,10 @@ def features(texts, vectors: np.ndarray) -> np.ndarray:
     if not len(some):
         return out
     own, starts, size = (vectors[w.word] + vectors[w.shape]), w.ends[:-1][some], n[some][:, None]
-    mean = np.add.reduceat(own[w.codes], starts, axis=0) / size
-    square = np.add.reduceat((own * own)[w.codes], starts, axis=0) / size
+    place = own[w.codes]
+    mean = np.add.reduceat(place, starts, axis=0) / size
+    np.multiply(place, place, out=place)
+    square = np.add.reduceat(place, starts, axis=0) / size
     doc = np.repeat(np.arange(len(n)), n)
     kinds = len(w.word) + 1
     singles = np.unique(doc * kinds + w.codes) // kinds
