@@ -350,8 +350,10 @@ def made_page(paragraphs: list[str], rng: random.Random) -> str:
 
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_chars: int = SAMPLE_CHARS, layouts: int = 6) -> Trees:
     """Trees from a bounded sample of the pages, in the order of a hash of the text."""
-    got = pages.select("html").where("html is not null").where(F.length("html") <= sample_chars).orderBy(
-        F.xxhash64("html"), "html").limit(sample_pages).collect()
+    able = pages.select("html").where("html is not null").where(F.length("html") <= sample_chars).withColumn("__h", F.xxhash64("html"))
+    # the hashes are chosen first: tasks send numbers to one place, not pages
+    chosen = able.select("__h").distinct().orderBy("__h").limit(sample_pages)
+    got = able.join(F.broadcast(chosen), "__h").dropDuplicates(["__h"]).orderBy("__h").collect()  # at most ``sample_pages`` short pages
     rng, x, y = random.Random(5), [], []
     for row in got:
         nodes, texts = parse(row["html"])
