@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame
 
 from meteora.llm.common import with_text_columns
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 #: Rows decoded at a time.
 DECODE_ROWS = 256
-#: Fragments a worker remembers at most (about 60 MB).
-KNOWN_FRAGMENTS = 300_000
+#: Fragments a worker remembers at most (about 25 MB).
+KNOWN_FRAGMENTS = 100_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -183,7 +183,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                     pa.array([c.decode(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)], pa.string())]
         return f
     fields = [("n_tokens", "bigint"), ("ids", "binary"), ("decoded", "string")]
-    return with_text_columns(docs, fields, make, keep_text=False, slice_bytes=SLICE_BYTES // 4)
+    return with_text_columns(docs, fields, make, keep_text=False, slice_bytes=SLICE_BYTES)
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:

@@ -3,6 +3,9 @@ scratch tables in the shared folder."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,6 +51,15 @@ def text_slices(batch: pa.RecordBatch, text: str = "text",
         at = to
 
 
+def release() -> None:
+    """Give memory that a task no longer needs back to the system: a Python worker
+    outlives its task, and waits beside those of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def with_text_columns(df: DataFrame, fields: list[tuple[str, str]],
                       make: Callable[[], Callable[[pa.StringArray], list]], text: str = "text",
                       keep_text: bool = True, slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -71,6 +83,7 @@ def with_text_columns(df: DataFrame, fields: list[tuple[str, str]],
             for part, texts in text_slices(batch, text, slice_bytes):
                 new = [a if isinstance(a, pa.Array) else pa.array(a, t) for a, t in zip(f(texts), arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in there] + new, names=[kept[i] for i in there] + names)
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meteora.llm import bpe
-from meteora.llm.common import stored, text_slices
+from meteora.llm.common import release, stored, text_slices
 
 END_ID = 0
 #: Rows of one length that are numbered together.
@@ -60,6 +60,7 @@ def pieces(docs: DataFrame, path: str, size: int = 2048) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row, pa.int64())), pa.array(no, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=schema.names)
+        release()
 
     return docs.mapInArrow(run, schema)
 

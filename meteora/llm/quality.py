@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteora.llm.common import text_slices, with_text_columns
+from meteora.llm.common import release, text_slices, with_text_columns
 
 DIM = 48
 WORD_ROWS = 1 << 14
@@ -125,6 +125,7 @@ def context_table(docs: DataFrame) -> np.ndarray:
                 add_contexts(texts, index, total)
         some = np.nonzero(total.any(axis=1))[0]
         yield pa.RecordBatch.from_arrays([pa.array(some)] + [pa.array(total[some, i]) for i in range(DIM)], names=["row", *cols])
+        release()
 
     parts = docs.select("text").mapInArrow(run, "row long, " + ", ".join(f"{c} long" for c in cols))
     out = np.zeros((rows, DIM), np.int64)
