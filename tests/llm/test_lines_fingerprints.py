@@ -88,6 +88,47 @@ def test_dissimilar_lines_of_a_bucket_find_their_own_leaders(spark):
     assert found.select("component").distinct().count() == 8 and found.count() == 64
 
 
+def components_of(lines, pairs):
+    up = {x: x for x in lines}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for a, b in pairs:
+        up[root(a)] = root(b)
+    groups = {}
+    for x in lines:
+        groups.setdefault(root(x), set()).add(x)
+    return {frozenset(g) for g in groups.values() if len(g) > 1}
+
+
+def found_groups(spark, docs, **options):
+    distinct = stored_by(linededup.distinct_lines(spark.createDataFrame(docs, "doc_id long, text string")), "lines", ["k1", "k2"])
+    found = components(linededup.links(distinct, **options)).join(distinct.select("node", "line"), "node")
+    return {frozenset(r["g"]) for r in found.groupBy("component").agg(F.collect_set("line").alias("g")).collect()}
+
+
+def edited(words, share, rng, mark):
+    """The words with a share of them, chosen at random, replaced by words of their own."""
+    at = set(rng.sample(range(len(words)), int(len(words) * share)))
+    return " ".join(f"{mark}x{i}" if i in at else w for i, w in enumerate(words))
+
+
+@pytest.mark.parametrize("copies", [20, 300])
+def test_copies_around_one_original(spark, copies):
+    # each copy is similar to the original and not to the other copies; one shared row: all lines of a group meet
+    rng, lines = random.Random(copies), []
+    for g in range(3):
+        words = [f"g{g}w{i:03}abcdefgh" for i in range(90)]
+        lines += [" ".join(words)] + [edited(words, 0.1, rng, f"g{g}c{c}") for c in range(copies)]
+    rng.shuffle(lines)
+    near = [(a, b) for i, a in enumerate(lines) for b in lines[:i] if a[:2] == b[:2] and jaccard(a, b) >= 0.8]
+    want = components_of(lines, near)
+    assert len(want) == 3 and len(near) < 4 * len(lines)
+    assert found_groups(spark, list(enumerate(lines)), bands=24, rows=1) == want
+
+
 def test_line_edge_rows(edge_docs, no_docs):
     rows = linededup.without_duplicate_lines(edge_docs).collect()
     assert len(rows) == edge_docs.count()
