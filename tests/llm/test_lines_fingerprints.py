@@ -129,6 +129,20 @@ def test_copies_around_one_original(spark, copies):
     assert found_groups(spark, list(enumerate(lines)), bands=24, rows=1) == want
 
 
+def test_one_hot_bucket_of_many_groups(spark):
+    # an opening that all share, and tails in 150 groups of 2: more than any fixed number of leaders
+    rng, lines = random.Random(4), []
+    opening = [f"opening{i}" for i in range(30)]
+    for g in range(150):
+        tail = [f"g{g}t{i:02}" for i in range(30)]
+        lines += [" ".join(opening + tail), " ".join(opening) + " " + edited(tail, 0.1, rng, f"g{g}")]
+    near = [(a, b) for i, a in enumerate(lines) for b in lines[:i] if jaccard(a, b) >= 0.8]
+    rng.shuffle(lines)
+    want = components_of(lines, near)
+    assert len(want) == 150
+    assert found_groups(spark, list(enumerate(lines)), bands=24, rows=1) == want
+
+
 def test_line_edge_rows(edge_docs, no_docs):
     rows = linededup.without_duplicate_lines(edge_docs).collect()
     assert len(rows) == edge_docs.count()
