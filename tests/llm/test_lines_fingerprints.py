@@ -129,6 +129,20 @@ def test_copies_around_one_original(spark, copies):
     assert found_groups(spark, list(enumerate(lines)), bands=24, rows=1) == want
 
 
+def test_short_lines_at_the_threshold_share_a_band(spark):
+    # 9 shingles each, 8 in common: 0.8; independent permutations share a band with probability 0.997
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    rows = []
+    for pair in range(4000):
+        rest = [word() for _ in range(8)]
+        rows += [(pair * 2 + i, " ".join([word(), *rest])) for i in range(2)]
+    assert jaccard(rows[0][1], rows[1][1]) == 0.8
+    lines = spark.createDataFrame(rows, "node long, line string").withColumns({"k1": F.col("node"), "k2": F.col("node")})
+    both = linededup.band_values(lines).withColumn("pair", F.floor(F.col("node") / 2)).groupBy("pair", "band").agg(F.count("*").alias("n"))
+    assert both.where("n = 2").select("pair").distinct().count() > 0.993 * 4000
+
+
 def test_one_hot_bucket_of_many_groups(spark):
     # an opening that all share, and tails in 150 groups of 2: more than any fixed number of leaders
     rng, lines = random.Random(4), []
