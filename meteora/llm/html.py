@@ -200,17 +200,21 @@ def features(nodes: list[Node]) -> np.ndarray:
     page = max(nodes[0].chars, 1)
     outside = [0] * len(nodes)  # named as boilerplate: in the node or above it
     before = 0
+    places = [0] * len(nodes)  # among the siblings
+    for n in nodes:
+        for place, c in enumerate(n.children):
+            places[c] = place
     for i, n in enumerate(nodes):
         up = nodes[n.parent] if i else n
         here = len(n.names & OUTSIDE)
         outside[i] = here + (outside[n.parent] if i else 0)
         siblings = up.children if i else [0]
-        place = siblings.index(i) if len(siblings) < 400 else 200
+        place = places[i]
         previous = nodes[siblings[place - 1]].chars if i and 0 < place else -1
         following = nodes[siblings[place + 1]].chars if i and place + 1 < len(siblings) else -1
         like = sum(nodes[s].tag == n.tag for s in siblings[max(0, place - 8): place + 9])
-        most = max((nodes[c].chars for c in n.children[:400]), default=0)
-        paragraphs = sum(nodes[c].tag == "p" for c in n.children[:400])
+        most = max((nodes[c].chars for c in n.children), default=0)
+        paragraphs = sum(nodes[c].tag == "p" for c in n.children)
         c = max(n.chars, 1)
         out[i] = (TAGS.index(n.tag) if n.tag in TAGS else -1, TAGS.index(up.tag) if up.tag in TAGS else -1, n.depth, np.log1p(n.chars), n.chars / page,
                   n.chars / max(up.chars, 1), n.link_chars / c, n.stops / c, n.blocks, n.chars / max(n.blocks, 1), n.tags * 10 / c, np.log1p(n.longest),

@@ -289,6 +289,20 @@ def test_made_pages_of_other_layouts(spark):
     assert right > 0.97 * total
 
 
+def test_a_flat_page_of_a_thousand_paragraphs():
+    blocks = [f"<p>text {i}.</p>" + '<p class="ad">buy</p>' * (i % 10 == 9) for i in range(1000)]
+    nodes, _ = html.parse(f"<html><body><div>{''.join(blocks)}<section>{'long ' * 50}</section></div></body></html>")
+    x = html.features(nodes)
+    (div,) = [i for i, n in enumerate(nodes) if n.tag == "div"]
+    own = nodes[div].children
+    assert len(own) == 1101
+    assert x[own, 13].tolist() == list(range(1101)) and x[own, 14].tolist() == list(range(1101, 0, -1))
+    chars = [nodes[c].chars for c in own]
+    assert x[own, 16] == pytest.approx([-1, *np.log1p(chars[:-1])], rel=1e-5) and x[own, 17] == pytest.approx([*np.log1p(chars[1:]), -1], rel=1e-5)
+    assert x[own, 15].tolist() == [sum(nodes[s].tag == nodes[c].tag for s in own[max(0, k - 8): k + 9]) for k, c in enumerate(own)]
+    assert x[div, 18] == pytest.approx(max(chars) / nodes[div].chars) and x[div, 19] == 1100
+
+
 def test_html_edge_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "no tags at all"), (3, "u", "no tags at all"), (4, "u", "<div " * 2000), (5, "u", "<p>" + "long words " * 20_000),
             (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
