@@ -213,11 +213,15 @@ def fit_rows(rows: list[tuple[str, str]], slack: float = SLACK) -> LanguageModel
     n, h = model.entropies(pa.array([" ".join(w for w, k in c.items() for _ in range(k)) for _, c in check], pa.string()))
     right = np.array([langs.index(lang) for lang, _ in check])
     own = h[np.arange(len(h)), right]
-    every = own.mean()
-    model.mean = np.array([own[right == i].mean() if (right == i).any() else every for i in range(len(langs))])
+    # rows that fit another language better are taken as mislabelled: one would lift the limit, or the spread, above any text
+    sure = h.argmin(axis=1) == right
+    sure |= not sure.any()
+    every = own[sure].mean()
+    mine = [sure & (right == i) for i in range(len(langs))]
+    model.mean = np.array([own[m].mean() if m.any() else every for m in mine])
     deviation = (own - model.mean[right]) / np.sqrt(1 + 40 / n)
-    model.spread = np.array([max(deviation[right == i].std() if (right == i).sum() > 2 else 0.0, 0.06 * every) for i in range(len(langs))])
-    model.limit = slack * max(6.0, float(model.strangeness(n, own, right).max()))
+    model.spread = np.array([max(deviation[m].std() if m.sum() > 2 else 0.0, 0.06 * every) for m in mine])
+    model.limit = slack * max(6.0, float(model.strangeness(n, own, right)[sure].max()))
     gap = n[:, None] * (h - own[:, None])
     loss = lambda s: np.log(np.exp(np.minimum(-s * gap, 500)).sum(axis=1)).mean()
     model.scale = float(min(np.geomspace(0.01, 1, 60), key=loss))

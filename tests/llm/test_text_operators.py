@@ -193,6 +193,22 @@ def test_strange_text_is_rejected_and_mixed_tokens_are_not():
     assert rejected.tolist()[:2] == [False, True]
 
 
+def labelled_texts(rows=60):
+    rng = random.Random(6)
+    words = {"aa": "the cat dog sat mat ran man house tree water bread stone".split(), "bb": "кот дом вода хлеб камень дерево стол окно дверь рука".split()}
+    return [(lang, " ".join(rng.choice(w) for _ in range(60))) for _ in range(rows) for lang, w in words.items()]
+
+
+def test_a_mislabelled_row_does_not_lift_the_limit():
+    rows = labelled_texts()
+    own = [i for i, (lang, _) in enumerate(rows) if lang == "aa"]
+    rows[own[24]] = ("aa", rows[own[24] + 1][1])  # a fifth row, so one that calibrates
+    clean, model = langid.fit_rows(labelled_texts()), langid.fit_rows(rows)
+    assert model.limit == clean.limit == 12 and model.spread == pytest.approx(clean.spread, rel=0.1)
+    _, _, rejected = model.predict(pa.array([labelled_texts()[0][1], "zqxj vkqz wxqz jjqk zzxv qkqk vvzx xqzj kkwq " * 5]))
+    assert rejected.tolist() == [False, True]
+
+
 # quality
 
 def test_quality_of_held_out_rows(spark):
