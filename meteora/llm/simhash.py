@@ -24,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meteora.llm.common import stored, with_text_columns
@@ -188,11 +188,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """The rows of ``docs`` without all but one of each near-duplicate group.
 
-    The row with the smallest id of a group stays (of repeated rows with that
-    id, the first by source text hash); rows without an id stay.
+    The row with the smallest id of a group stays (of rows with that id, the first by
+    text hash, then by a hash of the whole row); rows without an id stay.  Rows that share
+    an id are one group only if their texts are near duplicates.
     """
-    found = near_duplicates(docs, shingle, radius)
-    firsts = found.where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.where("doc_id is not null").join(firsts, "doc_id", "left_semi").select(*docs.columns)
-    with_id = with_id.dropDuplicates(["doc_id"])
+    own = F.xxhash64("text")
+    prints = with_fingerprint(docs.where("doc_id is not null").select("doc_id", "text"), shingle)
+    prints = stored(prints.select("doc_id", own.alias("text_hash"), "simhash"), "simhash-rows")
+    # the fingerprint is its own node: an id can stand for several
+    classes = stored(prints.select("simhash").distinct().withColumn("node", F.col("simhash")), "simhash-classes")
+    joined = components(links(classes, radius)).withColumnRenamed("node", "simhash")
+    labelled = prints.join(joined, "simhash", "left").withColumn("component", F.coalesce("component", "simhash"))
+    firsts = labelled.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("f")).select(
+        F.col("f.doc_id").alias("__id"), F.col("f.text_hash").alias("__text")).distinct()
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").alias("__id"), own.alias("__text"))
+    kept = packed.join(firsts, ["__id", "__text"], "left_semi")
+    order = Window.partitionBy("__id", "__text").orderBy(F.xxhash64("__row"))
+    kept = kept.withColumn("__no", F.row_number().over(order)).where("__no = 1")
+    with_id = kept.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
     return with_id.unionByName(docs.where("doc_id is null"))

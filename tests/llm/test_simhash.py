@@ -80,6 +80,15 @@ def test_one_row_of_each_group_stays(edge_docs):
     assert ids[:3] == [1, 4, 6] and ids[-1] is None and len(ids) == len(set(ids))
 
 
+def test_rows_that_share_an_id_are_not_one_group(spark):
+    texts = [f"the {a} tells a long story about {b} and about nothing else in the whole wide world" for a, b in [("first", "rivers"), ("other", "trade")]]
+    texts[1] = " ".join(reversed(texts[1].split())) + " with an ending of its own"
+    rows = [(1, texts[0], "a"), (1, texts[1], "b"), (2, texts[1], "c"), (1, texts[0], "d"), (None, texts[0], "e")]
+    out = [simhash.drop_near_duplicates(spark.createDataFrame(r, "doc_id long, text string, lang string")).collect() for r in (rows, rows[::-1])]
+    assert sorted(map(str, out[0])) == sorted(map(str, out[1]))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out[0]) == sorted([(0, texts[0]), (1, texts[0]), (1, texts[1])])
+
+
 def test_empty(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.drop_near_duplicates(no_docs).count() == 0
