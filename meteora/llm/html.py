@@ -353,11 +353,19 @@ def made_page(paragraphs: list[str], rng: random.Random) -> str:
 
 
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_chars: int = SAMPLE_CHARS, layouts: int = 6) -> Trees:
-    """Trees from a bounded sample of the pages, in the order of a hash of the text."""
-    able = pages.select("html").where("html is not null").where(F.length("html") <= sample_chars).withColumn("__h", F.xxhash64("html"))
+    """Trees from a bounded sample of the pages, in the order of a hash of the text.  Pages of
+    over ``sample_chars`` fill it up if the others do not, shortest first and whole: the
+    first, and then those that fit in ``sample_pages * sample_chars`` bytes together."""
+    able = pages.select("html").where("html is not null").select(
+        "html", F.xxhash64("html").alias("__h"), F.greatest(F.length("html") - sample_chars, F.lit(0)).alias("__over"), F.octet_length("html").alias("__bytes"))
     # the hashes are chosen first: tasks send numbers to one place, not pages
-    chosen = able.select("__h").distinct().orderBy("__h").limit(sample_pages)
-    got = able.join(F.broadcast(chosen), "__h").dropDuplicates(["__h"]).orderBy("__h").collect()  # at most ``sample_pages`` short pages
+    first = able.select("__over", "__h", "__bytes").distinct().orderBy("__over", "__h", "__bytes").limit(sample_pages).collect()
+    chosen, used = [], 0  # bytes of long pages
+    for r in first:
+        before, used = used, used + (r["__bytes"] if r["__over"] else 0)
+        if not r["__over"] or not before or used <= sample_pages * sample_chars:
+            chosen.append(r["__h"])
+    got = able.where(F.col("__h").isin(chosen)).dropDuplicates(["__h"]).orderBy("__over", "__h").collect()
     rng, x, y = random.Random(5), [], []
     for row in got:
         nodes, texts = parse(row["html"])

@@ -230,14 +230,19 @@ def fit_rows(rows: list[tuple[str, str]], slack: float = SLACK) -> LanguageModel
 
 def fit(docs: DataFrame, learn_from: Column, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
     """A model from rows for which ``learn_from`` (over doc_id) holds: at most
-    ``sample_rows`` per language, in the order of a hash of the id, of at most
-    ``sample_chars`` characters each."""
+    ``sample_rows`` per language, in the order of a hash of the id.  Texts of over
+    ``sample_chars`` characters fill up a language if the others do not, shortest first and
+    whole: the first, and then those that fit in ``sample_rows * sample_chars`` bytes together."""
     able = docs.select("doc_id", "lang", "text").where("doc_id is not null and lang is not null and text is not null").where(
-        learn_from).where(F.length("text") <= sample_chars)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = able.select("doc_id", "lang").withColumn("no", F.row_number().over(first)).where(F.col("no") <= sample_rows)
-    # at most ``sample_rows`` short rows per language
-    got = able.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"]).orderBy(
+        learn_from).withColumn("over", F.greatest(F.length("text") - sample_chars, F.lit(0)))
+    first = Window.partitionBy("lang").orderBy("over", F.xxhash64("doc_id"), "doc_id")
+    so_far = first.rowsBetween(Window.unboundedPreceding, 0)
+    long_bytes = F.when(F.col("over") > 0, F.col("bytes").cast("long")).otherwise(0)
+    chosen = able.select("doc_id", "lang", "over", F.octet_length("text").alias("bytes")).withColumn("no", F.row_number().over(first)).where(
+        F.col("no") <= sample_rows).withColumn("used", F.sum(long_bytes).over(so_far)).where(
+        f"over = 0 or used = bytes or used <= {sample_rows * sample_chars}")
+    # at most ``sample_rows`` rows per language
+    got = able.join(F.broadcast(chosen.select("doc_id", "lang", "over").distinct()), ["doc_id", "lang", "over"]).dropDuplicates(["doc_id", "lang"]).orderBy(
         F.xxhash64("doc_id"), "doc_id").collect()
     return fit_rows([(r["lang"], r["text"]) for r in got])
 

@@ -209,6 +209,17 @@ def test_a_mislabelled_row_does_not_lift_the_limit():
     assert rejected.tolist() == [False, True]
 
 
+def test_languages_with_long_texts_only_are_learnt(spark):
+    rows = [(i, lang, text * (80 if lang == "bb" else 1)) for i, (lang, text) in enumerate(labelled_texts(20))]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert all(len(text) > langid.SAMPLE_CHARS for _, lang, text in rows if lang == "bb")
+    got = langid.with_language(docs, langid.fit(docs, F.lit(True))).collect()
+    assert all(r["lang_pred"] == r["lang"] and not r["rejected"] for r in got)
+    # one whole text even if it is over the bound in bytes
+    one = langid.fit(docs, F.lit(True), sample_rows=1, sample_chars=5)
+    assert one.tables.langs == ["aa", "bb"]
+
+
 # quality
 
 def test_quality_of_held_out_rows(spark):
@@ -319,6 +330,15 @@ def test_a_flat_page_of_a_thousand_paragraphs():
     assert x[div, 18] == pytest.approx(max(chars) / nodes[div].chars) and x[div, 19] == 1100
 
 
+def test_pages_that_are_all_long(spark):
+    rng = random.Random(1)
+    words = [w for _, t in labelled_texts(4) for w in t.split()]
+    rows = [(i, html.made_page([" ".join(rng.choice(words) for _ in range(50)) + "." for _ in range(40)], rng)) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    assert all(len(h) > 2000 for _, h in rows)
+    assert all(r["n_chars"] > 5000 for r in html.with_main_text(pages, html.fit(pages, sample_chars=2000)).collect())
+
+
 def test_html_edge_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "no tags at all"), (3, "u", "no tags at all"), (4, "u", "<div " * 2000), (5, "u", "<p>" + "long words " * 20_000),
             (6, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
