@@ -241,11 +241,15 @@ def sink_format_options(spark, sf_dir):
     return table_sources.read_table(spark, "orc", path)
 
 
+def _years(obs):
+    return sorted(r["year"] for r in obs.select(F.year("date").alias("year")).where("year is not null").distinct().collect())
+
+
 def src_year_files(spark, sf_dir):
     """A folder of one <year>.parquet per year, read for a range of years."""
     path = scratch_path(spark, "year_files")
     obs = _t(spark, sf_dir).lineitem_obs().select(*OBS_COLS)
-    for y in range(1996, 1999):
+    for y in _years(obs):
         file_sinks.write_parquet(obs.where(F.year("date") == y), f"{path}/{y}.parquet")
     return table_sources.read_years(spark, path, 1996, 1998)
 
@@ -254,7 +258,7 @@ def src_csv_strict(spark, sf_dir):
     """Yearly CSV files beside a file that is none; the strict reader takes each year's one file."""
     path = scratch_path(spark, "strict_csv")
     obs = _t(spark, sf_dir).lineitem_obs()
-    for y in (1996, 1997):
+    for y in _years(obs):
         file_sinks.write_observations_csv(obs.where(F.year("date") == y), f"{path}/{y}.csv", compression="gzip" if y == 1997 else None)
     obs.select("id").write.text(f"{path}/1996.csv.md5")
     return csv_sources.read_observations_csv(spark, csv_sources.year_files(spark, path, 1996, 1997))

@@ -173,3 +173,18 @@ def test_hot_cluster_key_is_spread_over_write_tasks(spark, scratch):
     assert len(with_hot) >= 2
     back = spark.read.parquet(path)
     assert back.count() == 30000 and back.where(F.col("id") == "HOT").count() == 10000
+
+
+@pytest.mark.parametrize("name, folder", [("src_year_files", "year_files"), ("src_csv_strict", "strict_csv")])
+def test_every_year_has_its_file(spark, tmp_path, monkeypatch, name, folder):
+    import re
+
+    from meteora.plans import catalog
+
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: str(tmp_path / name))
+    sf = "/root/testdata/sf0.001"
+    read = getattr(catalog, name)(spark, sf)
+    years = {r[0] for r in catalog._t(spark, sf).lineitem_obs().selectExpr("year(date)").where("date is not null").distinct().collect()}
+    assert len(years) > 3
+    assert {int(p.name[:4]) for p in (tmp_path / folder).iterdir() if re.fullmatch(r"\d{4}\.(parquet|csv|csv\.gz)", p.name)} == years
+    assert read.selectExpr("year(date)").distinct().count() < len(years)  # the range selects
