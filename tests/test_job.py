@@ -13,7 +13,7 @@ from meteora.schemas import COUNTRY_LAYOUT, MEASURES, STATION_LAYOUT
 from meteora.sinks.files import write_observations_csv
 from meteora.sinks.tables import write_partitioned
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 OPTS = CANONICAL.with_order("seq")
 

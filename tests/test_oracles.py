@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from meteora.plans.catalog import QUERIES as CATALOG
 from oracle_check import check, duck
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 # the optional subpackage tests its own queries
 QUERIES = {k: f for k, f in entry.queries().items() if k in CATALOG}

@@ -18,7 +18,7 @@ from meteora.plans.catalog import OBS_COLS
 from meteora.plans.facts import fact_daily
 from meteora.plans.testmap import DriverTables
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 OPTS = CANONICAL.with_order("seq")
 

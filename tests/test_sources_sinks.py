@@ -130,7 +130,7 @@ def test_ingest_conversion_sorted_files_one_folder_per_year(spark, scratch):
     from meteora.session import local_path
     from meteora.sinks.files import convert_observations, write_observations_csv
 
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
 
     obs = DriverTables(spark, SF_SMALL).lineitem_obs()
     src, out = scratch("ingest_src"), scratch("ingest_out")

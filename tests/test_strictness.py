@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from meteora.plans import job
 from meteora.plans.testmap import DriverTables
 from meteora.sinks.files import convert_observations, write_observations_csv
