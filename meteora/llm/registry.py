@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteora.llm import bpe, fingerprint, html, langid, linededup, lmscore, packing, quality, rules, simhash
+from meteora.llm import (
+    bpe, fim, fingerprint, html, langid, linededup, lmscore, packing, pii, quality, resampling, rules, simhash,
+)
 from meteora.llm.common import fold, held_out, table
 
 
@@ -78,6 +80,27 @@ def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.without_duplicate_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` cut and reordered (seed 7), and their texts rebuilt from that."""
+    cut = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), seed=7, rate=100, spm_rate=50)
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+                      digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` weighed by their likeness to ``benchmark``, and the tenth that is drawn."""
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all ``documents``: counts, and where it is."""
+    found = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    return found.select("doc_id", *[f"n_{k}" for k in pii.BASE_KINDS],
+                        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_repetition_rules": op2_repetition_rules,
@@ -89,9 +112,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sketch_fingerprints": op8_sketch_fingerprints,
     "op9_simhash": op9_simhash,
     "op10_fuzzy_line_dedup": op10_fuzzy_line_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_personal_data": op13_personal_data,
 }
 
 #: DuckDB SQL where SQL can express the operator.
 ORACLES: dict[str, str] = {
     "op2_repetition_rules": rules.oracle_sql(),
+    "op11_fill_in_middle": fim.oracle_sql(),
+    "op12_importance_resampling": resampling.oracle_sql(),
 }
