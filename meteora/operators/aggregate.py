@@ -25,6 +25,7 @@ _FLAG_BYTES = 7
 _NULL_FLAG = 15
 # a decimal of 38 digits takes 126 bits: 64 of the key, 61 of the row's hash
 _KEY_ROOM = 1 << 61
+_LAST = (1 << 63) - 1
 _WHOLE = {"tinyint", "smallint", "int", "bigint"}
 
 
@@ -38,9 +39,10 @@ def order_key(opts: TransformOptions, rows: DataFrame) -> Column:
     Without given columns it is a 64-bit hash of the row's content: deterministic
     across runs and task retries, but the chosen row is arbitrary, as the
     unordered row_number of the SQL models.  Given columns come first (null
-    last), then that hash breaks ties.  One whole-number or date column packs with the
-    hash into a decimal, which keeps the aggregate a hash aggregate; other columns go
-    through a struct.
+    last), then that hash breaks ties.  One whole-number or date column that is
+    unique in its group (``opts.order_unique``) needs no hash and is a plain long; one that
+    is not packs with the hash into a decimal, which keeps the aggregate a hash aggregate
+    but costs more; other columns go through a struct.
     """
     if not opts.order_by:
         return row_hash()
@@ -48,6 +50,8 @@ def order_key(opts: TransformOptions, rows: DataFrame) -> Column:
     if len(opts.order_by) == 1 and (kind := kinds.get(opts.order_by[0])) in _WHOLE | {"date", "timestamp"}:
         c = F.col(opts.order_by[0])
         whole = F.unix_date(c) if kind == "date" else F.unix_micros(c) if kind == "timestamp" else c
+        if opts.order_unique:
+            return F.coalesce(whole.cast("long"), F.lit(_LAST))
         shifted = F.coalesce(whole.cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
         tie = F.shiftrightunsigned(row_hash(), 3).cast("decimal(19,0)")
         return (shifted * F.lit(_KEY_ROOM).cast("decimal(19,0)") + tie).cast("decimal(38,0)")

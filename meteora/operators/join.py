@@ -23,14 +23,42 @@ def row_bytes(df: DataFrame):
     return width
 
 
+# Sizes measured in this process, by what was measured.
+_MEASURED: dict[tuple, int] = {}
+
+
+def _measured_key(df: DataFrame) -> tuple | None:
+    """What a size holds for: the plan, and path, length and modification time of every
+    file it reads.  None when some of the input is not a set of files."""
+    spark, plan = df.sparkSession, df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation" or leaf.relation().getClass().getSimpleName() != "HadoopFsRelation":
+            return None
+    files = []
+    for f in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        files.append((f, status.getLen(), status.getModificationTime()))
+    return spark.sparkContext.applicationId, plan.canonicalized().toString(), tuple(sorted(files))
+
+
 def measured_bytes(frames: list[DataFrame]) -> list[int]:
-    """Sizes of several frames in one job, counted anew on every call.
+    """Sizes of several frames in one job.
 
-    The sums combine in the tasks; one number per frame comes back.
+    The sums combine in the tasks; one number per frame comes back.  A frame that reads files alone is
+    measured once for each state of them, and anew when a file has another length or time.
     """
-    parts = [f.select(F.lit(i).alias("_side"), row_bytes(f).alias("_bytes")) for i, f in enumerate(frames)]
-    found = {r["_side"]: r["n"] for r in reduce(DataFrame.unionByName, parts).groupBy("_side").agg(F.sum("_bytes").alias("n")).collect()}
-    return [found.get(i, 0) for i in range(len(frames))]
+    keys = [_measured_key(f) for f in frames]
+    todo = [i for i, k in enumerate(keys) if k is None or k not in _MEASURED]
+    found = {}
+    if todo:
+        parts = [frames[i].select(F.lit(i).alias("_side"), row_bytes(frames[i]).alias("_bytes")) for i in todo]
+        sums = reduce(DataFrame.unionByName, parts).groupBy("_side").agg(F.sum("_bytes").alias("n"))
+        found = dict.fromkeys(todo, 0) | {r["_side"]: r["n"] for r in sums.collect()}
+        _MEASURED.update({keys[i]: n for i, n in found.items() if keys[i] is not None})
+    return [found[i] if i in found else _MEASURED[keys[i]] for i in range(len(frames))]
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:

@@ -23,6 +23,8 @@ class TransformOptions:
     order_by:          columns that order rows inside a group when one row
                        has to be picked (the flags).  None = a hash of the
                        row's content, which is deterministic but arbitrary.
+    order_unique:      the one ``order_by`` column is never the same in two rows of a
+                       group, so it orders them alone, without a hash behind it.
     column_order:      "sql" (station name before coordinates) or "job"
                        (coordinates first), the two fact layouts.
     year_start:        type of the yearly ``date``: "date" (first day of the
@@ -35,6 +37,7 @@ class TransformOptions:
     integer_division: bool = False
     measure_type: str = "double"
     order_by: tuple[str, ...] | None = None
+    order_unique: bool = False
     column_order: str = "sql"
     year_start: str = "date"
 
@@ -52,9 +55,11 @@ class TransformOptions:
             raise ValueError(f"measure_type must be 'double' or a decimal type, not {self.measure_type!r}")
         if self.order_by is not None and not self.order_by:
             raise ValueError("order_by must name at least one column (or be None)")
+        if self.order_unique and (self.order_by is None or len(self.order_by) != 1):
+            raise ValueError("order_unique is about exactly one order_by column")
 
-    def with_order(self, *cols: str) -> "TransformOptions":
-        return replace(self, order_by=tuple(cols))
+    def with_order(self, *cols: str, unique: bool = False) -> "TransformOptions":
+        return replace(self, order_by=tuple(cols), order_unique=unique)
 
 
 # The SQL models on the cloud warehouse: the specified behaviour.

@@ -28,11 +28,11 @@ from meteora.sources import csv as csv_sources
 from meteora.sources import fixed_width, tables as table_sources
 
 OBS_COLS = [f.name for f in OBS_SCHEMA.fields]
-EV_OPTS = CANONICAL.with_order("seq")
+EV_OPTS = CANONICAL.with_order("seq", unique=True)
 
 
 def _opts(base=CANONICAL):
-    return base.with_order("seq")
+    return base.with_order("seq", unique=True)
 
 
 def rounded(df: DataFrame, cols=MEASURES) -> DataFrame:
@@ -241,27 +241,22 @@ def sink_format_options(spark, sf_dir):
     return table_sources.read_table(spark, "orc", path)
 
 
-def _years(obs):
-    return sorted(r["year"] for r in obs.select(F.year("date").alias("year")).where("year is not null").distinct().collect())
-
-
 def src_year_files(spark, sf_dir):
     """A folder of one <year>.parquet per year, read for a range of years."""
     path = scratch_path(spark, "year_files")
-    obs = _t(spark, sf_dir).lineitem_obs().select(*OBS_COLS)
-    for y in _years(obs):
-        file_sinks.write_parquet(obs.where(F.year("date") == y), f"{path}/{y}.parquet")
+    file_sinks.write_year_files(_t(spark, sf_dir).lineitem_obs().select(*OBS_COLS), path, "parquet")
     return table_sources.read_years(spark, path, 1996, 1998)
 
 
 def src_csv_strict(spark, sf_dir):
-    """Yearly CSV files beside a file that is none; the strict reader takes each year's one file."""
+    """Yearly CSV files beside a file that is none; the strict reader takes each year's one file.
+
+    Rows without a date belong to no year and so to no file."""
     path = scratch_path(spark, "strict_csv")
     obs = _t(spark, sf_dir).lineitem_obs()
-    for y in _years(obs):
-        file_sinks.write_observations_csv(obs.where(F.year("date") == y), f"{path}/{y}.csv", compression="gzip" if y == 1997 else None)
+    years = file_sinks.write_year_files(obs, path, "csv", csv_compression={1997: "gzip"})
     obs.select("id").write.text(f"{path}/1996.csv.md5")
-    return csv_sources.read_observations_csv(spark, csv_sources.year_files(spark, path, 1996, 1997))
+    return csv_sources.read_observations_csv(spark, csv_sources.year_files(spark, path, min(years), max(years)))
 
 
 # -- views and projections ---------------------------------------------------

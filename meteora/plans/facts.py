@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meteora.operators.aggregate import daily_parts, finish_parts, roll_up_parts, to_daily, to_yearly, year_start
+from meteora.operators.cleaning import clean
 from meteora.operators.join import MAX_BROADCAST_BYTES, fits_broadcast
 from meteora.operators.limit import sample_rows
 from meteora.options import CANONICAL, TransformOptions
@@ -71,10 +72,44 @@ def _fact(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame, opt
     return _join_dim(transform(obs, opts), dim, small, fact_columns(opts))
 
 
+# Days (or years) of a station are told apart by their number modulo this.
+_RESIDUES = 256
+
+
+def _enough_stations(obs: DataFrame, dim: DataFrame, small: bool, opts: TransformOptions, n: int, yearly: bool) -> str | None:
+    """The last station that the first ``n`` fact rows by station can reach, or None for all.
+
+    Every station has at least as many rows as its days (years) have residues; one pass with a few longs
+    per station counts those, and the first ``n`` stations come back at most.
+    """
+    period = F.year("date") if yearly else F.unix_date("date")
+    rows = clean(restrict_to_stations(obs, dim, small), opts).select("id", F.pmod(period, F.lit(_RESIDUES)).alias("r"))
+    seen = [F.bit_or(F.when(F.floor(F.col("r") / 64) == i, F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("r") % 64).cast("int")))
+                     .otherwise(F.lit(0).cast("long"))).alias(f"s{i}") for i in range(_RESIDUES // 64)]
+    least = F.greatest(sum((F.bit_count(f"s{i}") for i in range(_RESIDUES // 64)), F.lit(0)), F.lit(1))
+    by_station = rows.where("id IS NOT NULL").groupBy("id").agg(*seen).select("id", least.alias("least"))
+    if not small:
+        by_station = by_station.join(dim.select("id"), "id", "left_semi")
+    total = 0
+    for r in by_station.orderBy("id").limit(n).collect():
+        total += r["least"]
+        if total >= n:
+            return r["id"]
+    return None
+
+
 def first_fact_rows(obs: DataFrame, stations_raw: DataFrame, countries_raw: DataFrame, opts: TransformOptions,
                     n: int, yearly: bool = False) -> DataFrame:
     """The first ``n`` rows of the daily (or yearly) fact by (id, date): a trial
-    run is the ordered limit of the whole fact, at every scale."""
+    run is the ordered limit of the whole fact, at every scale.
+
+    Only the stations those rows can belong to are aggregated; the bound on the station id
+    reaches the scan, which skips what files sorted by station hold of others.
+    """
+    dim, small = _dimension(stations_raw, countries_raw, None, MAX_BROADCAST_BYTES)
+    last = _enough_stations(obs, dim, small, opts, n, yearly) if n else None
+    if last is not None:
+        obs = obs.where(F.col("id") <= last)
     fact = (fact_yearly if yearly else fact_daily)(obs, stations_raw, countries_raw, opts)
     return sample_rows(fact, n, ["id", "date"])
 

@@ -142,7 +142,7 @@ def oracles() -> dict[str, str]:
     q["src_external_table"] = _obs(EV)
     q["src_format_options"] = _obs(LI)
     q["src_year_files"] = f"{_obs(LI)} WHERE year(date) BETWEEN 1996 AND 1998"
-    q["src_csv_strict"] = f"{_obs(LI)} WHERE year(date) BETWEEN 1996 AND 1997"
+    q["src_csv_strict"] = f"{_obs(LI)} WHERE date IS NOT NULL"
     q["sink_format_options"] = FACT_YEARLY_LI
     q["src_year_range"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o WHERE year(date) BETWEEN 1996 AND 1998"
     q["ingest_csv_to_parquet"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"

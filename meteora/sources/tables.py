@@ -35,6 +35,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a file or folder; the new place must be free."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    src, dst = hadoop(old), hadoop(new)
+    fs = src.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        raise OSError(f"{old} could not be moved to {new}")
+
+
+def child_paths(spark: SparkSession, path: str) -> list[str]:
+    """Everything directly below a folder, in order of name; nothing for a missing one."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def year_paths(base: str, start: int, end: int, column: str = "year") -> list[str]:
     if end < start:
         raise ValueError(f"empty year range {start}..{end}")

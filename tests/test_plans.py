@@ -18,6 +18,8 @@ from meteora.plans.catalog import OBS_COLS
 from meteora.plans.facts import fact_daily
 from meteora.plans.testmap import DriverTables
 
+import pytest
+
 from paths import SF_SMALL
 
 OPTS = CANONICAL.with_order("seq")
@@ -281,3 +283,46 @@ def test_results_do_not_depend_on_partitioning(spark):
     for k in keys:
         assert got["1"][k] == got["5"][k], k
         assert got["1"][k], k
+
+
+@pytest.mark.parametrize("yearly", [False, True])
+@pytest.mark.parametrize("n", [0, 1, 37, 100_000])
+def test_trial_rows_are_the_first_of_the_whole_fact(spark, n, yearly):
+    from meteora.plans import facts
+
+    t = DriverTables(spark, SF_SMALL)
+    args = (t.lineitem_obs(), t.supplier_stations().where("id != '00000000001'"), t.countries(), OPTS)
+    whole = (facts.fact_yearly if yearly else facts.fact_daily)(*args).orderBy("id", "date").limit(n)
+    got = facts.first_fact_rows(*args, n, yearly)
+    assert [(r["id"], r["date"]) for r in got.collect()] == [(r["id"], r["date"]) for r in whole.collect()]
+
+
+def test_trial_rows_aggregate_few_stations(spark):
+    from meteora.plans import facts
+
+    t = DriverTables(spark, SF_SMALL)
+    plan = plan_text(facts.first_fact_rows(t.lineitem_obs(), t.supplier_stations(), t.countries(), OPTS, 20))
+    assert re.search(r"lpad\(.*<= 0000000000[0-2]\)", plan)
+
+
+def test_size_is_measured_once_per_state_of_the_files(spark, scratch, monkeypatch):
+    from meteora.operators import join
+
+    path = scratch("dim_once")
+    spark.range(5).write.parquet(path)
+    first = join.measured_bytes([spark.read.parquet(path)])
+    monkeypatch.setattr(join, "row_bytes", lambda df: 1 / 0)  # another job would fail here
+    assert join.measured_bytes([spark.read.parquet(path)]) == first
+    with pytest.raises(ZeroDivisionError):
+        join.measured_bytes([spark.read.parquet(path).where("id > 3")])
+
+
+def test_unique_order_key_is_one_long(spark):
+    from meteora.operators.aggregate import order_key, to_yearly
+
+    obs = DriverTables(spark, SF_SMALL).lineitem_obs()
+    assert obs.select(order_key(OPTS.with_order("seq", unique=True), obs).alias("k")).dtypes == [("k", "bigint")]
+    cols = ["id", "date", "m_flag", "s_flag", "tmax"]
+    assert _sorted(to_yearly(obs, OPTS.with_order("seq", unique=True)), cols) == _sorted(to_yearly(obs, OPTS.with_order("seq")), cols)
+    with pytest.raises(ValueError, match="exactly one"):
+        OPTS.with_order("seq", "date", unique=True)
