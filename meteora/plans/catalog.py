@@ -19,11 +19,14 @@ from meteora.operators import aggregate, cleaning, pivot, setops, window
 from meteora.operators.join import checked_broadcast
 from meteora.options import CANONICAL, JOB, LOCAL
 from meteora.plans import analytics, dimensions, facts
+from meteora.plans.incremental import IncrementalFacts, touched_days
 from meteora.plans.testmap import DriverTables
 from meteora.schemas import COUNTRY_LAYOUT, MEASURES, OBS_SCHEMA, STATION_LAYOUT
 from meteora.session import scratch_path, unique_name
+from meteora.sinks import bucketed, ledger
 from meteora.sinks import files as file_sinks
 from meteora.sinks import tables as table_sinks
+from meteora.sinks.store import Store
 from meteora.sources import csv as csv_sources
 from meteora.sources import fixed_width, tables as table_sources
 
@@ -259,6 +262,112 @@ def src_csv_strict(spark, sf_dir):
     return csv_sources.read_observations_csv(spark, csv_sources.year_files(spark, path, min(years), max(years)))
 
 
+BUCKETS = 8
+
+
+def _bucketed_obs(spark, sf_dir, by=("id",)):
+    """Observations (with their order column) as a table in year folders, bucketed by station."""
+    obs = _t(spark, sf_dir).lineitem_obs().withColumn("year", F.year("date"))
+    return bucketed.create_bucketed_table(obs, unique_name("obs_bucketed"), scratch_path(spark, "obs_bucketed"),
+                                          bucketed.bucket_keys(obs, list(by), ["id", "date"], BUCKETS), BUCKETS,
+                                          ["date"], ["year"])
+
+
+def sink_bucketed(spark, sf_dir):
+    """A table in year folders, bucketed by station, of which the last year is refreshed."""
+    table = _bucketed_obs(spark, sf_dir)
+    name = unique_name("obs_bucketed")
+    half = table.where("year < 2001 OR year IS NULL OR month(date) < 7")
+    bucketed.create_bucketed_table(half, name, scratch_path(spark, "obs_bucketed"), ["id"], BUCKETS, ["date"], ["year"])
+    bucketed.refresh_bucketed(table.where("year = 2001"), name, [2001])
+    return spark.table(name).select(*OBS_COLS, "year")
+
+
+def agg_daily_bucketed(spark, sf_dir):
+    """The daily average of a bucketed table: no exchange."""
+    return rounded(aggregate.to_daily(_bucketed_obs(spark, sf_dir), EV_OPTS))
+
+
+def agg_yearly_bucketed(spark, sf_dir):
+    """The yearly average of a bucketed table: no exchange."""
+    return rounded(aggregate.to_yearly(_bucketed_obs(spark, sf_dir), EV_OPTS))
+
+
+def join_bucketed(spark, sf_dir):
+    """Daily averages and stations, both bucketed by station: neither the aggregate nor the join has an exchange."""
+    st = dimensions.stations_dim(_t(spark, sf_dir).supplier_stations())
+    st = bucketed.create_bucketed_table(st, unique_name("stations_bucketed"), scratch_path(spark, "stations_bucketed"), ["id"], BUCKETS)
+    return rounded(aggregate.to_daily(_bucketed_obs(spark, sf_dir), EV_OPTS)).join(st, "id", "inner")
+
+
+def sink_store_refresh(spark, sf_dir):
+    """A versioned table: a full write, a refresh of the current year that fails, and one that succeeds twice."""
+    obs = _t(spark, sf_dir).lineitem_obs().select(*OBS_COLS).withColumn("year", F.year("date"))
+    store = Store(spark, scratch_path(spark, "store"))
+    store.replace("obs", obs.where("year IS NULL OR year < 2001 OR month(date) < 7"), ["year"], ["id", "date"])
+    try:
+        store.refresh("obs", obs.where("year >= 2000"), ["year=2001"], ["id", "date"])  # rows of another year
+    except Exception as exc:
+        if "outside of the keys" not in str(exc):
+            raise
+    for _ in range(2):
+        store.refresh("obs", obs.where("year = 2001"), ["year=2001"], ["id", "date"])
+    store.clean(keep=1, older_than_ms=0)
+    return store.read("obs")
+
+
+def _republished(spark, sf_dir, load):
+    """Yearly CSV files, the last year's only half there; loaded, published again whole, loaded twice more."""
+    obs = _t(spark, sf_dir).lineitem_obs()
+    src = scratch_path(spark, "landing")
+    years = file_sinks.write_year_files(obs.where("year(date) < 2001 OR month(date) < 7"), src, "csv")
+    load(src)
+    file_sinks.write_observations_csv(obs.where(F.year("date") == max(years)), f"{src}/{max(years)}.csv")
+    load(src)
+    load(src)
+
+
+def sink_ledger(spark, sf_dir):
+    """Files loaded once each; a year published again replaces its rows."""
+    target = scratch_path(spark, "loaded")
+    _republished(spark, sf_dir, lambda src: ledger.load(spark, src, target))
+    return ledger.loaded(spark, target)
+
+
+def stream_ledger(spark, sf_dir):
+    """The same through a stream of file names."""
+    from meteora.streaming import ingest_with_ledger
+
+    target, ckpt = scratch_path(spark, "loaded"), scratch_path(spark, "ledger_ckpt")
+    _republished(spark, sf_dir, lambda src: ingest_with_ledger(spark, src, target, ckpt))
+    return ledger.loaded(spark, target)
+
+
+def _incremental(spark, sf_dir, opts=CANONICAL):
+    """Facts built from an early state of the observations, then changed by late, corrected and removed rows."""
+    t = _t(spark, sf_dir)
+    now = t.lineitem_obs()
+    late = F.col("seq") % 13 == 0
+    wrong = F.col("seq") % 17 == 0
+    extra = now.where("seq % 19 = 0").withColumns({"seq": -F.col("seq") - 1, "value": F.col("value") + 400})
+    before = now.where(~late).withColumn("value", F.when(wrong, F.col("value") - 7).otherwise(F.col("value"))).unionByName(extra)
+    facts_ = IncrementalFacts(spark, scratch_path(spark, "incremental"), _opts(opts))
+    dims = (t.supplier_stations(), t.countries())
+    facts_.build(before, *dims)
+    facts_.apply(now, touched_days(now.where(late), now.where(wrong), extra), *dims)
+    return facts_
+
+
+def fact_daily_incremental(spark, sf_dir):
+    """The daily fact after a change, from stored partials."""
+    return rounded(_incremental(spark, sf_dir).daily())
+
+
+def fact_yearly_incremental(spark, sf_dir):
+    """The yearly fact after a change, from stored partials."""
+    return rounded(_incremental(spark, sf_dir).yearly())
+
+
 # -- views and projections ---------------------------------------------------
 def view_stations(spark, sf_dir):
     name = unique_name("staged_stations")

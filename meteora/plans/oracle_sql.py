@@ -159,6 +159,17 @@ def oracles() -> dict[str, str]:
     q["sink_typed_table"] = _obs(EV)
     q["sink_create_append"] = _obs(LI)
     q["sink_refresh_year"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"
+    obs_year = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"
+    q["sink_bucketed"] = q["sink_store_refresh"] = obs_year
+    q["sink_ledger"] = q["stream_ledger"] = f"{obs_year} WHERE date IS NOT NULL"
+    q["agg_daily_bucketed"] = sql_wide(LI, CANONICAL)
+    q["agg_yearly_bucketed"] = sql_wide(LI, CANONICAL, yearly=True)
+    q["join_bucketed"] = (
+        f"SELECT w.*, s.name AS station_name, s.latitude, s.longitude, s.elevation, s.country_code "
+        f"FROM ({sql_wide(LI, CANONICAL)}) AS w JOIN ({ST_S}) AS s ON w.id = s.id"
+    )
+    q["fact_daily_incremental"] = f"SELECT *, {_year_int()} AS year FROM ({FACT_DAILY_LI}) AS f"
+    q["fact_yearly_incremental"] = f"SELECT *, {_year_int()} AS year FROM ({FACT_YEARLY_LI}) AS f"
     # views and projections -------------------------------------------------
     q["view_stations"] = f"SELECT *, substr(id, 1, 2) AS country_code FROM ({sql_customer_stations(True)}) AS s"
     q["view_countries"] = SQL_COUNTRIES

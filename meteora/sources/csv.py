@@ -10,6 +10,7 @@ from typing import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meteora.functions.scalar import parse_date
 from meteora.operators.cleaning import normalize_flags
@@ -44,13 +45,14 @@ def year_files(spark: SparkSession, base: str, start: int, end: int) -> list[str
     return out
 
 
-def read_observations_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+def read_observations_csv(spark: SparkSession, paths: str | Iterable[str], file_column: str | None = None) -> DataFrame:
     """Headerless observation CSV -> typed observations.
 
     Columns: id, date (DATE from yyyyMMdd), element, value (long), m_flag,
     q_flag, s_flag ('' when absent) and obs_time (short, null when absent).
     A directory reads every ``*.csv`` / ``*.csv.gz`` file in it.  A field that does
     not parse, or a line with another number of fields, ends the read with an error.
+    ``file_column`` names a further column with each row's file.
     """
     paths = _paths(paths)
     check_csv_paths(paths)
@@ -65,8 +67,11 @@ def read_observations_csv(spark: SparkSession, paths: str | Iterable[str]) -> Da
         )
     except AnalysisException as exc:  # PATH_NOT_FOUND: a year file is missing
         raise ValueError(f"observation files not found: {exc}") from exc
-    typed = raw.withColumn("date", parse_date("date"))
-    return normalize_flags(typed).select(*[f.name for f in OBS_SCHEMA.fields])
+    names = [f.name for f in OBS_SCHEMA.fields]
+    if file_column:
+        raw = raw.withColumn(file_column, F.col("_metadata.file_path"))
+        names.append(file_column)
+    return normalize_flags(raw.withColumn("date", parse_date("date"))).select(*names)
 
 
 def read_csv_inferred(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:

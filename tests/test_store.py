@@ -1,0 +1,257 @@
+"""Versioned tables, the load ledger, incremental facts and bucketed tables."""
+
+from __future__ import annotations
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from meteora.operators.aggregate import to_daily, to_yearly
+from meteora.options import CANONICAL, JOB
+from meteora.plans import facts
+from meteora.plans.incremental import IncrementalFacts, touched_days
+from meteora.plans.testmap import DriverTables
+from meteora.session import unique_name
+from meteora.sinks import bucketed, ledger, store as store_module
+from meteora.sinks.store import Conflict, Store
+from paths import SF_SMALL
+
+OPTS = CANONICAL.with_order("seq", unique=True)
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=str)
+
+
+def _years(spark, *years, shift=0):
+    return spark.createDataFrame([(i, f"v{i + shift}", y) for y in years for i in range(5)], "i int, v string, year int")
+
+
+def test_a_commit_changes_every_table_at_once(spark, scratch):
+    s = Store(spark, scratch("store"))
+    assert s.manifest()["version"] == 0 and not s.has("a")
+    s.replace("a", _years(spark, 2000, 2001, 2002), ["year"], ["i"])
+    t = s.begin()
+    t.write("a", _years(spark, 2001, shift=10), ["year"], keys=["year=2001"])
+    t.write("b", _years(spark, 2001))
+    assert _rows(s.read("a")) == _rows(_years(spark, 2000, 2001, 2002)) and not s.has("b")  # nothing before the commit
+    assert t.commit() == 2
+    want = _years(spark, 2000, 2002).unionByName(_years(spark, 2001, shift=10))
+    assert _rows(s.read("a")) == _rows(want) and _rows(s.read("b")) == _rows(_years(spark, 2001))
+    assert _rows(s.read("a", keys=["year=2001"])) == _rows(_years(spark, 2001, shift=10))
+    assert _rows(s.read("a", version=1)) == _rows(_years(spark, 2000, 2001, 2002))  # an old version stays readable
+    s.refresh("a", _years(spark, 2000).where("false"), ["year=2000"])
+    assert set(s.keys("a")) == {"year=2001", "year=2002"}
+    s.replace("a", _years(spark, 2009), ["year"])
+    assert _rows(s.read("a")) == _rows(_years(spark, 2009))
+
+
+def test_a_write_that_dies_leaves_the_table(spark, scratch, monkeypatch):
+    s = Store(spark, scratch("store"))
+    s.replace("a", _years(spark, 2000, 2001), ["year"])
+    want = _rows(s.read("a"))
+    with pytest.raises(Exception, match="boom"):  # while rows are written
+        s.replace("a", _years(spark, 2000).withColumn("v", F.when(F.col("i") == 3, F.raise_error(F.lit("boom"))).otherwise(F.col("v"))), ["year"])
+    with pytest.raises(Exception, match="outside of the keys"):  # rows of another year
+        s.refresh("a", _years(spark, 2000, 2001), ["year=2001"])
+    with monkeypatch.context() as m:  # after the rows, before the manifest is in place
+        m.setattr(store_module, "rename", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            s.refresh("a", _years(spark, 2001, shift=5), ["year=2001"])
+    assert _rows(s.read("a")) == want and s.manifest()["version"] == 1
+    left = s.clean(keep=1, older_than_ms=0)
+    assert len(left) >= 1 and _rows(s.read("a")) == want  # the folder of the run that died last
+    s.refresh("a", _years(spark, 2001, shift=5), ["year=2001"])
+    assert _rows(s.read("a", keys=["year=2001"])) == _rows(_years(spark, 2001, shift=5))
+
+
+def test_two_transactions_from_one_version(spark, scratch):
+    s = Store(spark, scratch("store"))
+    s.replace("a", _years(spark, 2000), ["year"])
+    first, second = s.begin(), s.begin()
+    first.write("a", _years(spark, 2001), ["year"])
+    second.write("a", _years(spark, 2002), ["year"])
+    first.commit()
+    with pytest.raises(Conflict):
+        second.commit()
+    assert _rows(s.read("a")) == _rows(_years(spark, 2001))
+
+
+def test_clean_keeps_versions_and_young_folders(spark, scratch):
+    s = Store(spark, scratch("store"))
+    for y in range(2000, 2004):
+        s.replace("a", _years(spark, y), ["year"])
+    assert s.clean(keep=2) == [] and s.versions() == [3, 4]  # folders of a day are young
+    assert len(s.clean(keep=1, older_than_ms=0)) == 3 and _rows(s.read("a")) == _rows(_years(spark, 2003))
+    with pytest.raises(ValueError):
+        s.clean(keep=0)
+
+
+def test_store_edges(spark, scratch):
+    s = Store(spark, scratch("store"))
+    with pytest.raises(ValueError, match="no table"):
+        s.read("a")
+    s.replace("a", _years(spark, 2000).where("false"), ["year"])
+    assert s.read("a").count() == 0 and s.read("a").columns == ["i", "v", "year"]
+    s.replace("a", _years(spark, 2000).withColumn("year", F.when(F.col("i") > 2, F.col("year"))), ["year"])
+    assert s.read("a").where("year IS NULL").count() == 3
+    with pytest.raises(ValueError, match="columns"):
+        s.refresh("a", _years(spark, 2000).withColumn("new", F.lit(1)), ["year=2000"])
+    t = s.begin()
+    t.write("a", _years(spark, 2000), ["year"])
+    with pytest.raises(ValueError, match="already written"):
+        t.write("a", _years(spark, 2000), ["year"])
+
+
+def _csv(folder, name, rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w", encoding="utf-8") as f:
+        f.write("".join(f"USW{i:08d},{d},TMAX,{v},,,S,0700\n" for i, d, v in rows))
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_ledger(spark, tmp_path, scratch, stream):
+    from meteora.streaming import ingest_with_ledger
+
+    src, target, ckpt = f"{tmp_path}/in", scratch("target"), scratch("ckpt")
+
+    def load():
+        if stream:
+            ingest_with_ledger(spark, f"file:{src}", target, ckpt)
+            return None
+        return ledger.load(spark, f"file:{src}", target)
+
+    def got():
+        return sorted((r["id"], str(r["date"]), r["value"]) for r in ledger.loaded(spark, target).collect())
+
+    a, b = [(i, 20000101 + i, i) for i in range(9)], [(i, 20010101 + i, i) for i in range(9)]
+    want = lambda *rows: sorted((f"USW{i:08d}", f"{str(d)[:4]}-{str(d)[4:6]}-{str(d)[6:]}", v) for i, d, v in sum(rows, []))
+    _csv(src, "2000.csv", a)
+    _csv(src, "2001.csv", b[:4])
+    _csv(src, "2001.csv.md5", [])
+    first = load()
+    assert got() == want(a, b[:4]) and (stream or first["added"] == ["2000.csv", "2001.csv"])
+    version = Store(spark, target).manifest()["version"]
+    load()  # nothing new: no commit, no rows
+    assert Store(spark, target).manifest()["version"] == version and got() == want(a, b[:4])
+    _csv(src, "2001.csv", b)  # published again
+    os.utime(f"{src}/2000.csv", (1, 1))  # the same content under another time
+    _csv(src, "2002.csv", [])  # a file without rows
+    again = load()
+    assert got() == want(a, b) and (stream or again == {"added": ["2002.csv"], "replaced": ["2001.csv"], "touched": ["2000.csv"]})
+    _csv(src, "2001.csv", b[2:])  # rows taken back
+    load()
+    load()
+    assert got() == want(a, b[2:])
+
+
+def test_a_load_that_dies_is_repeated_whole(spark, tmp_path, scratch, monkeypatch):
+    src, target = f"{tmp_path}/in", scratch("target")
+    _csv(src, "2000.csv", [(1, 20000101, 1)])
+    with monkeypatch.context() as m:
+        m.setattr(store_module, "rename", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            ledger.load(spark, f"file:{src}", target)
+    assert not Store(spark, target).has(ledger.TABLE)
+    assert ledger.load(spark, f"file:{src}", target)["added"] == ["2000.csv"]
+    assert ledger.loaded(spark, target).count() == 1
+
+
+@pytest.mark.parametrize("base", [CANONICAL, JOB])
+def test_changes_give_what_a_full_build_gives(spark, scratch, base):
+    opts = base.with_order("seq", unique=True)
+    t = DriverTables(spark, SF_SMALL)
+    obs, dims = t.lineitem_obs(), (t.supplier_stations(), t.countries())
+    built = IncrementalFacts(spark, scratch("facts"), opts, slots=3)
+    rng = random.Random(1)
+
+    def state(n):
+        """The observations after change n: other rows are late, corrected and removed each time."""
+        k = F.pmod(F.xxhash64("seq", F.lit(n)), F.lit(40))
+        return obs.where(k != 0).withColumn("value", F.when(k == 1, F.col("value") + n).otherwise(F.col("value")))
+
+    def same(now):
+        for got, want in ((built.daily(), facts.fact_daily(now, *dims, opts)), (built.yearly(), facts.fact_yearly(now, *dims, opts))):
+            cols = [c for c in want.columns if c not in ("tmax", "tmin", "prcp", "snow", "snwd")]
+            assert _rows(got.select(*cols)) == _rows(want.select(*cols))
+            for m in ("tmax", "prcp"):
+                a, b = ({(r["id"], r["date"]): r[m] for r in x.select("id", "date", m).collect()} for x in (got, want))
+                assert a.keys() == b.keys() and all(a[k] == b[k] or abs(a[k] - b[k]) < 1e-9 for k in a)
+
+    built.build(state(0), *dims)
+    for n in (1, 2):
+        old, new = state(n - 1), state(n)
+        built.apply(new, touched_days(old.exceptAll(new), new.exceptAll(old)), *dims)
+        same(new)
+    # a whole station is removed, with all its days
+    gone = f"{rng.randint(1, 5):011d}"
+    now = state(2).where(F.col("id") != gone)
+    built.apply(now, touched_days(state(2).where(F.col("id") == gone)), *dims)
+    same(now)
+    assert built.apply(now, touched_days(now.where("false")), *dims) is None
+    # another list of stations
+    dims = (t.supplier_stations().withColumn("name", F.concat(F.lit("New "), "name")), t.countries())
+    built.refresh_dimensions(*dims)
+    same(now)
+
+
+def test_a_change_leaves_other_folders(spark, scratch):
+    t = DriverTables(spark, SF_SMALL)
+    built = IncrementalFacts(spark, scratch("facts"), OPTS, slots=4)
+    obs, dims = t.lineitem_obs(), (t.supplier_stations(), t.countries())
+    built.build(obs, *dims)
+    before = built.store.manifest()["tables"]["fact_daily"]["entries"]
+    one = obs.where("id = '00000000003' AND year(date) = 1997").limit(1)
+    built.apply(obs, touched_days(one), *dims)
+    after = built.store.manifest()["tables"]["fact_daily"]["entries"]
+    moved = [k for k in before if before[k]["folder"] != after[k]["folder"]]
+    assert len(moved) == 1 and moved[0].startswith("year=1997/slot=") and before.keys() == after.keys()
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange ")
+
+
+def _bucketed(spark, scratch, by=("id",), obs=None):
+    obs = DriverTables(spark, SF_SMALL).lineitem_obs() if obs is None else obs
+    return bucketed.create_bucketed_table(obs.withColumn("year", F.year("date")), unique_name("t"), scratch("t"), list(by), 4, ["date"], ["year"])
+
+
+def test_bucketed_aggregates_and_joins_have_no_exchange(spark, scratch):
+    from meteora.plans.dimensions import stations_dim
+
+    t = DriverTables(spark, SF_SMALL)
+    table = _bucketed(spark, scratch)
+    assert _exchanges(to_yearly(table, OPTS)) == 0 and _exchanges(to_daily(table, OPTS)) == 0
+    assert _exchanges(to_yearly(t.lineitem_obs(), OPTS)) == 1
+    st = bucketed.create_bucketed_table(stations_dim(t.supplier_stations()), unique_name("st"), scratch("st"), ["id"], 4)
+    joined = to_daily(table, OPTS).join(st, "id")
+    assert _exchanges(joined) == 0 and joined.count() > 0
+    assert _rows(to_yearly(table, OPTS).select("id", "date", "m_flag")) == _rows(to_yearly(t.lineitem_obs(), OPTS).select("id", "date", "m_flag"))
+
+
+def test_bucketed_refresh(spark, scratch):
+    table = _bucketed(spark, scratch)
+    name = unique_name("r")
+    bucketed.create_bucketed_table(table.where("year <= 1996"), name, scratch("r"), ["id"], 4, ["date"], ["year"])
+    bucketed.refresh_bucketed(table.where("year = 1997"), name, [1997])
+    bucketed.refresh_bucketed(table.where("year = 1997"), name, [1997])
+    assert _rows(spark.table(name)) == _rows(table.where("year <= 1997"))
+    assert _exchanges(to_yearly(spark.table(name), OPTS)) == 0
+    with pytest.raises(Exception, match="outside of the years"):
+        bucketed.refresh_bucketed(table.where("year in (1997, 1998)"), name, [1997])
+    assert _rows(spark.table(name)) == _rows(table.where("year <= 1997"))
+
+
+def test_a_hot_station_is_dealt_by_day(spark, scratch):
+    obs = DriverTables(spark, SF_SMALL).lineitem_obs()
+    hot = obs.withColumn("id", F.when(F.col("seq") % 3 == 0, F.lit("HOT")).otherwise(F.concat("id", (F.col("seq") % 50).cast("string"))))
+    assert bucketed.bucket_keys(hot, ["id"], ["id", "date"], 100) == ["id", "date"]
+    assert bucketed.bucket_keys(hot.where("id != 'HOT'"), ["id"], ["id", "date"], 100) == ["id"]
+    assert bucketed.bucket_keys(hot.where("false"), ["id"], ["id", "date"], 100) == ["id"]
+    table = _bucketed(spark, scratch, ("id", "date"), hot)
+    assert _exchanges(to_daily(table, OPTS)) == 0
+    assert bucketed.buckets_for(100 << 40) == 102_400 and bucketed.buckets_for(0) == 8
