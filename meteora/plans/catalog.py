@@ -18,7 +18,7 @@ from meteora import functions as fn
 from meteora.operators import aggregate, cleaning, pivot, setops, window
 from meteora.operators.join import checked_broadcast
 from meteora.options import CANONICAL, JOB, LOCAL
-from meteora.plans import analytics, dimensions, facts
+from meteora.plans import analytics, dimensions, facts, table_functions
 from meteora.plans.incremental import IncrementalFacts, touched_days
 from meteora.plans.testmap import DriverTables
 from meteora.schemas import COUNTRY_LAYOUT, MEASURES, OBS_SCHEMA, STATION_LAYOUT
@@ -28,7 +28,7 @@ from meteora.sinks import files as file_sinks
 from meteora.sinks import tables as table_sinks
 from meteora.sinks.store import Store
 from meteora.sources import csv as csv_sources
-from meteora.sources import fixed_width, tables as table_sources
+from meteora.sources import fixed_width, rejects, tables as table_sources
 
 OBS_COLS = [f.name for f in OBS_SCHEMA.fields]
 EV_OPTS = CANONICAL.with_order("seq", unique=True)
@@ -368,6 +368,29 @@ def fact_yearly_incremental(spark, sf_dir):
     return rounded(_incremental(spark, sf_dir).yearly())
 
 
+def _mixed_files(spark, sf_dir):
+    """CSV lines some of which are broken, beside a file that is no CSV."""
+    path = scratch_path(spark, "mixed")
+    obs = _t(spark, sf_dir).lineitem_obs()
+    seq, text = F.col("seq"), lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    date = F.when(seq % 107 == 0, F.lit("20011399")).otherwise(F.coalesce(F.date_format("date", "yyyyMMdd"), F.lit("")))
+    value = F.when(seq % 103 == 0, F.lit("n/a")).otherwise(text("value"))
+    line = F.concat_ws(",", "id", date, "element", value, text("m_flag"), text("q_flag"), text("s_flag"), text("obs_time"))
+    obs.select(F.when(seq % 101 == 0, F.substring_index(line, ",", 5)).otherwise(line)).write.text(f"{path}/all.csv")
+    obs.select("id").write.text(f"{path}/notes.txt")
+    return rejects.split_observations(spark, path, scratch_path(spark, "split"), most_rejected=0.05)
+
+
+def src_accepted(spark, sf_dir):
+    """The observations of files with broken lines."""
+    return _mixed_files(spark, sf_dir).accepted
+
+
+def src_rejected(spark, sf_dir):
+    """The lines and files that are no observations, with the reason."""
+    return _mixed_files(spark, sf_dir).rejected.select("line", "reason")
+
+
 # -- views and projections ---------------------------------------------------
 def view_stations(spark, sf_dir):
     name = unique_name("staged_stations")
@@ -544,6 +567,26 @@ def fn_format_year(spark, sf_dir):
     return _t(spark, sf_dir).lineitem_obs().select("id", "date", fn.format_year("date").alias("year_text"))
 
 
+def _year_functions(spark, sf_dir):
+    obs = _t(spark, sf_dir).lineitem_obs().withColumn("year", F.year("date"))
+    years = [r["year"] for r in obs.select("year").where("year IS NOT NULL").distinct().collect()]
+    suffix = unique_name("t")
+    table_functions.register(obs, f"obs_{suffix}", EV_OPTS, f"daily_{suffix}", f"yearly_{suffix}")
+    return years, f"daily_{suffix}", f"yearly_{suffix}"
+
+
+def fn_table_daily(spark, sf_dir):
+    """The daily transform as a table function, joined laterally with all years."""
+    years, name, _ = _year_functions(spark, sf_dir)
+    return rounded(table_functions.for_years(spark, years, name))
+
+
+def fn_table_yearly(spark, sf_dir):
+    """The yearly transform as a table function, joined laterally with all years."""
+    years, _, name = _year_functions(spark, sf_dir)
+    return rounded(table_functions.for_years(spark, years, name))
+
+
 # -- facts -------------------------------------------------------------------------
 def fact_daily(spark, sf_dir, opts=CANONICAL):
     t = _t(spark, sf_dir)

@@ -159,6 +159,17 @@ def oracles() -> dict[str, str]:
     q["sink_typed_table"] = _obs(EV)
     q["sink_create_append"] = _obs(LI)
     q["sink_refresh_year"] = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"
+    broken = "seq % 101 = 0 OR seq % 103 = 0 OR seq % 107 = 0"
+    q["src_accepted"] = f"{_obs(LI)} WHERE NOT ({broken})"
+    day = "CASE WHEN seq % 107 = 0 THEN '20011399' ELSE coalesce(strftime(date, '%Y%m%d'), '') END"
+    head = f"id || ',' || {day} || ',' || element || ',' || CASE WHEN seq % 103 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END || ',' || m_flag"
+    q["src_rejected"] = (
+        f"SELECT CASE WHEN seq % 101 = 0 THEN {head} ELSE {head} || ',' || q_flag || ',' || s_flag || ',' END AS line, "
+        "CASE WHEN seq % 101 = 0 THEN 'number of fields' WHEN seq % 103 = 0 THEN 'value' ELSE 'date' END AS reason "
+        f"FROM ({LI}) AS o WHERE {broken} UNION ALL SELECT NULL, 'only .csv and .csv.gz files are read'"
+    )
+    q["fn_table_daily"] = f"SELECT * FROM ({sql_wide(LI, CANONICAL)}) AS w WHERE date IS NOT NULL"
+    q["fn_table_yearly"] = f"SELECT * FROM ({sql_wide(LI, CANONICAL, yearly=True)}) AS w WHERE date IS NOT NULL"
     obs_year = f"SELECT {OBS_COLS}, {_year_int()} AS year FROM ({LI}) AS o"
     q["sink_bucketed"] = q["sink_store_refresh"] = obs_year
     q["sink_ledger"] = q["stream_ledger"] = f"{obs_year} WHERE date IS NOT NULL"
