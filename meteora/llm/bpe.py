@@ -10,9 +10,11 @@ either.  Cuts are therefore left out inside a character, between white space
 (or a byte that may end a wide space) and something else, because a run of
 white space gives its last character to what follows, and before an
 apostrophe, because contractions are matched before punctuation runs.
-Strings of special tokens become their ids, as the library does by default.
+Strings of special tokens become their ids, as the library does by default; a vocabulary whose special
+tokens take white space or whole words with them is refused.
 
-Null text counts as empty and has no ids.  The vocabulary file is a parameter.
+Null text counts as empty and has no ids.  Whole texts are encoded, whatever their length; repeated rows each, an
+empty table gives an empty result.  Columns named like a new one are replaced.  The vocabulary file is a parameter.
 """
 
 from __future__ import annotations
@@ -32,8 +34,12 @@ from meteora.llm.common import with_text_columns
 SLICE_BYTES = 2 << 20
 #: Rows decoded at a time.
 DECODE_ROWS = 256
-#: Fragments a worker remembers at most (about 25 MB).
+#: Fragments a worker remembers at most (about 15 MB).
 KNOWN_FRAGMENTS = 100_000
+#: Fragments the library gets as one text.
+JOINED = 500
+#: The same two bounds for jobs with nothing else in a worker's memory (about 120 MB with the slice's arrays).
+WIDE = (4 << 20, 500_000)
 
 
 def byte_characters() -> dict[str, int]:
@@ -47,7 +53,7 @@ def byte_characters() -> dict[str, int]:
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most_known: int = KNOWN_FRAGMENTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -56,8 +62,10 @@ class Codec:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        self.model.encode_special_tokens = True  # special strings are handled here
-        self.known: dict[str, bytes] = {}
+        # fragments met lately by number, in order; their ids laid end to end, and how many each has
+        self.most_known, self.known, self.known_ids, self.known_len = most_known, {}, array("I"), array("I")
+        if any(x.get(k) for x in file.get("added_tokens") or [] for k in ("lstrip", "rstrip", "single_word")):
+            raise ValueError(f"{path}: special tokens with lstrip, rstrip or single_word")
         self.special = {x["content"]: x["id"] for x in file.get("added_tokens") or []}
         self.special_re = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         of = byte_characters()
@@ -100,16 +108,44 @@ class Codec:
                 return pa.array(parts, pa.string()), np.array(rows, np.int64), np.array([x in self.special for x in parts], bool)
         return texts, np.arange(len(texts)), np.zeros(len(texts), bool)
 
-    def _fragment_ids(self, fragments: list[str]) -> list[bytes]:
-        """The ids of each fragment; those met lately are remembered."""
-        if len(self.known) > KNOWN_FRAGMENTS:
-            self.known = {}
-        new = [x for x in fragments if x not in self.known]
-        for x, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[x] = array("I", e.ids).tobytes()
+    def _fragment_ids(self, fragments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids laid end to end, and where those of each fragment start and how many they are."""
+        if len(self.known) > self.most_known:  # the older half goes
+            gone = len(self.known) // 2
+            self.known = {x: i - gone for x, i in self.known.items() if i >= gone}
+            self.known_ids = self.known_ids[sum(self.known_len[:gone]):]
+            self.known_len = self.known_len[gone:]
+        known, ids, lens = self.known, self.known_ids, self.known_len
+        new = [x for x in fragments if x not in known and x not in self.special]
+        self._learn(new)
+        known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
         for x, i in self.special.items():  # only a special string in a text gives such a fragment
-            self.known[x] = array("I", [i]).tobytes()
-        return [self.known[x] for x in fragments]
+            if x not in known:
+                known[x] = len(known)
+                ids.append(i)
+                lens.append(1)
+        at = np.fromiter(map(known.__getitem__, fragments), np.int64, len(fragments))
+        length = np.array(lens, np.int64)
+        return np.array(ids, np.uint32), (np.cumsum(length) - length)[at], length[at]
+
+    def _learn(self, new: list[str]) -> None:
+        """Append the ids of fragments that hold no special string.
+
+        Many fragments go to the library as one text, apart by a special token: it splits texts
+        there before anything else, so each fragment is encoded as alone.
+        """
+        if self.special:
+            mark, number = next(iter(self.special.items()))
+            texts = [mark.join([*new[i: i + JOINED], ""]) for i in range(0, len(new), JOINED)]
+            for e in self.model.encode_batch_fast(texts, add_special_tokens=False):
+                own = np.array(e.ids, np.uint32)
+                ends = np.nonzero(own == number)[0]
+                self.known_len.frombytes((np.diff(ends, prepend=-1) - 1).astype(np.uint32).tobytes())
+                self.known_ids.frombytes(np.delete(own, ends).tobytes())
+            return
+        for e in self.model.encode_batch_fast(new, add_special_tokens=False):
+            self.known_ids.extend(e.ids)
+            self.known_len.append(len(e.ids))
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) laid end to end, and the number of ids of each text."""
@@ -127,11 +163,9 @@ class Codec:
         cut[offsets] = True
         at = np.nonzero(cut)[0]
         fragments = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
-        coded = self._fragment_ids(fragments.dictionary.to_pylist())
-        lens = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        flat = np.frombuffer(b"".join(coded), "<u4")
+        flat, starts, lens = self._fragment_ids(fragments.dictionary.to_pylist())
         codes = fragments.indices.to_numpy(zero_copy_only=False)
-        ids = gather(flat, (np.cumsum(lens) - lens)[codes], lens[codes])
+        ids = gather(flat, starts[codes], lens[codes])
         ends = np.concatenate([[0], np.cumsum(lens[codes])])
         by_segment = np.diff(ends[np.searchsorted(at, offsets)])
         np.add.at(counts, rows, by_segment)
@@ -149,9 +183,9 @@ def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray
 
 
 @functools.lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
+def codec(path: str, most_known: int = KNOWN_FRAGMENTS) -> Codec:
     """One codec per Python worker."""
-    return Codec(path)
+    return Codec(path, most_known)
 
 
 def _runs(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
@@ -171,10 +205,15 @@ def encode(docs: DataFrame, path: str, keep_text: bool = False) -> DataFrame:
     return with_text_columns(docs, [("n_tokens", "bigint"), ("ids", "binary")], make, keep_text=keep_text, slice_bytes=SLICE_BYTES)
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """``encode`` with the ``decoded`` text of the ids beside them, in one pass."""
+def round_trip(docs: DataFrame, path: str, wide: bool = False) -> DataFrame:
+    """``encode`` with the ``decoded`` text of the ids beside them, in one pass.
+
+    ``wide``: the larger bounds of ``WIDE`` for a worker's memory.
+    """
+    most = WIDE[1] if wide else KNOWN_FRAGMENTS
+
     def make():
-        c = codec(path)
+        c = codec(path, most)
 
         def f(texts):
             ids, counts = c.encode(texts)

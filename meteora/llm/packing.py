@@ -33,15 +33,16 @@ END_ID = 0
 RANK_ROWS = 1 << 20
 
 
-def pieces(docs: DataFrame, path: str, size: int = 2048) -> DataFrame:
+def pieces(docs: DataFrame, path: str, size: int = 2048, wide: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
+    slice_bytes, most = bpe.WIDE if wide else (bpe.SLICE_BYTES, bpe.KNOWN_FRAGMENTS)
     docs = docs.select("doc_id", "text")
     schema = docs.select("doc_id").schema.add("piece", "integer").add("start", "long").add("length", "long").add("ids_crc32", "long")
 
     def run(batches):
-        c = bpe.codec(path)
+        c = bpe.codec(path, most)
         for batch in batches:
-            for part, texts in text_slices(batch, "text", bpe.SLICE_BYTES):
+            for part, texts in text_slices(batch, "text", slice_bytes):
                 ids, counts = c.encode(texts)
                 ends = np.cumsum(counts)
                 row, no, start, length, crc = [], [], [], [], []
@@ -111,10 +112,13 @@ def plan(counts: dict[int, int], size: int = 2048) -> list[tuple[int, int, int,
     return slots
 
 
-def pack(docs: DataFrame, path: str, size: int = 2048) -> DataFrame:
-    """Every piece with its ``sequence_id`` and ``offset``."""
+def pack(docs: DataFrame, path: str, size: int = 2048, wide: bool = False) -> DataFrame:
+    """Every piece with its ``sequence_id`` and ``offset``.
+
+    ``wide``: the larger bounds of ``bpe.WIDE`` for a worker's memory.
+    """
     spark = docs.sparkSession
-    cut = stored(pieces(docs, path, size), "pieces")
+    cut = stored(pieces(docs, path, size, wide), "pieces")
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most ``size`` rows
     slots = spark.createDataFrame(plan(counts, size), "length long, first_rank long, ranks long, first_sequence long, offset long")
     buckets = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for n, c in counts.items() for x in (n, -(-c // RANK_ROWS))]),

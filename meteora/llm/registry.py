@@ -48,12 +48,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of ``documents`` packed into sequences of at most 2048 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), 2048)
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), 2048, wide=True)
 
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded, then decoded from its ids."""
-    coded = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+    coded = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), wide=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
