@@ -40,7 +40,9 @@ WINDOW = 2
 #: Labelled rows the network learns from at most.
 SAMPLE_ROWS = 16_000
 THRESHOLD = 0.7
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
+#: Words whose vectors are gathered together.
+BLOCK_WORDS = 1 << 15
 
 
 def index_vectors(seed: int = 7) -> np.ndarray:
@@ -106,11 +108,12 @@ def add_contexts(texts, index: np.ndarray, total: np.ndarray) -> None:
     padded[at] = w.codes
     place = own[padded]
     near = sum((place[WINDOW + d: len(place) - WINDOW + d] for d in range(-WINDOW, WINDOW + 1) if d), np.int8(0))
-    order = np.argsort(w.codes, kind="stable")
-    firsts = np.nonzero(np.diff(w.codes[order], prepend=-1))[0]
-    sums = np.add.reduceat(near[at[order] - WINDOW], firsts, axis=0, dtype=np.int64)  # one row per distinct word
-    np.add.at(total, w.word, sums)
-    np.add.at(total, w.shape, sums)
+    near = near.take(at - WINDOW, axis=0)
+    for row in (w.word, w.shape):
+        row = row[w.codes]
+        order = np.argsort(row.astype(np.uint16), kind="stable")  # a radix sort; WORD_ROWS + SHAPE_ROWS fit
+        firsts = np.nonzero(np.diff(row[order], prepend=-1))[0]
+        total[row[order[firsts]]] += np.add.reduceat(near.take(order, axis=0), firsts, axis=0, dtype=np.int32)
 
 
 def context_table(docs: DataFrame) -> np.ndarray:
@@ -139,6 +142,12 @@ def unit_rows(table: np.ndarray) -> np.ndarray:
     return (table / np.maximum(norm, 1)).astype(np.float32)
 
 
+def _distinct(keys: np.ndarray, per_text: int, texts: int) -> np.ndarray:
+    """How many distinct keys each text has; a key's text is its quotient by ``per_text``."""
+    keys = np.sort(keys)
+    return np.bincount(keys[np.diff(keys, prepend=-1) != 0] // per_text, minlength=texts)
+
+
 def features(texts, vectors: np.ndarray) -> np.ndarray:
     """One row per text: mean and deviation of the word vectors, then counts."""
     w = _Words(texts)
@@ -148,21 +157,22 @@ def features(texts, vectors: np.ndarray) -> np.ndarray:
     some = np.nonzero(n)[0]
     if not len(some):
         return out
-    own, starts, size = (vectors[w.word] + vectors[w.shape]), w.ends[:-1][some], n[some][:, None]
-    place = own[w.codes]
-    mean = np.add.reduceat(place, starts, axis=0) / size
-    np.multiply(place, place, out=place)
-    square = np.add.reduceat(place, starts, axis=0) / size
-    doc = np.repeat(np.arange(len(n)), n)
-    kinds = len(w.word) + 1
-    singles = np.unique(doc * kinds + w.codes) // kinds
+    own, total = vectors[w.word] + vectors[w.shape], np.zeros((len(n), 2, DIM))
+    for i in some.tolist():
+        for at in range(w.ends[i], w.ends[i + 1], BLOCK_WORDS):
+            block = own.take(w.codes[at: min(at + BLOCK_WORDS, w.ends[i + 1])], axis=0)
+            total[i, 0] += np.ones(len(block), np.float32) @ block
+            total[i, 1] += np.einsum("ij,ij->j", block, block)
+    mean, square = total[some, 0] / n[some][:, None], total[some, 1] / n[some][:, None]
+    doc, kinds = np.repeat(np.arange(len(n)), n), len(w.word) + 1
     inner = doc[1:] == doc[:-1]
-    pairs = np.unique((doc[1:] * kinds + w.codes[:-1])[inner] * kinds + w.codes[1:][inner]) // (kinds * kinds)
+    singles = _distinct(doc * kinds + w.codes, kinds, len(n))
+    pairs = _distinct((doc[1:] * kinds + w.codes[:-1])[inner] * kinds + w.codes[1:][inner], kinds * kinds, len(n))
     out[some, :DIM] = mean
     out[some, DIM:2 * DIM] = np.sqrt(np.maximum(square - mean * mean, 0))
     out[some, 2 * DIM + 1] = np.sqrt((mean * mean).sum(axis=1))
-    out[some, 2 * DIM + 2] = np.bincount(singles, minlength=len(n))[some] / n[some]
-    out[some, 2 * DIM + 3] = (np.bincount(pairs, minlength=len(n))[some] + 1) / n[some]
+    out[some, 2 * DIM + 2] = singles[some] / n[some]
+    out[some, 2 * DIM + 3] = (pairs[some] + 1) / n[some]
     out[some, 2 * DIM + 4] = np.log1p(pc.binary_length(texts).to_numpy(zero_copy_only=False)[some] / n[some])
     return out
 
@@ -239,10 +249,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, sample_rows: int
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     made = with_text_columns(rows, [("x", "array<float>")], lambda: lambda t: [list(features(t, vectors))], keep_text=False,
                              slice_bytes=SLICE_BYTES)
-    got = made.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    # of the rows of a repeated id the one with the smallest numbers, so that a run again learns the same
+    got = made.groupBy("doc_id").agg(F.min("x").alias("x"), F.first("__label").alias("__label")).orderBy("doc_id").collect()
     x = np.array([r["x"] for r in got], np.float64).reshape(len(got), 2 * DIM + 5)
     # the order of a hash, so that every fifth row is no pattern of the ids
-    order = sorted(range(len(got)), key=lambda i: zlib.crc32(b"%d" % got[i]["doc_id"]))
+    order = sorted(range(len(got)), key=lambda i: zlib.crc32(str(got[i]["doc_id"]).encode()))
     y = np.array([r["__label"] for r in got])
     return QualityModel(vectors, fit_network(x[order], y[order]))
 
