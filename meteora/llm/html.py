@@ -14,7 +14,9 @@ into them.  Whether a node is boilerplate is known there.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks follow in page order
 with one newline between.  Null html counts as empty; a page without text gives an empty text.  Broken markup is read as
-browsers mostly do: unclosed elements end with their parent, stray end tags are ignored.
+browsers mostly do: unclosed elements end with their parent, stray end tags are ignored, a tag that never ends is text.
+Whole pages are read, in time proportional to their length; repeated rows are each extracted; an empty table
+gives an empty result.  Other columns are not returned.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -55,7 +58,9 @@ INSIDE = frozenset("article content entry post story body text main page-content
 TAGS = ["div", "p", "article", "section", "main", "nav", "header", "footer", "aside", "form", "ul", "ol", "li", "h1", "h2", "h3", "h4", "table", "tr", "td",
         "blockquote", "pre", "figure", "figcaption", "body"]
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>", re.S)
+_NAME_END = re.compile(r"[\s/>]")
+_ATTRIBUTE_END = re.compile("[>\"']")
+_QUOTE = re.compile("[\"']")
 _NAMED = re.compile(r"(?:\b(class|id|role|data-part)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -77,13 +82,93 @@ class Node:
     longest: int = 0
 
 
+class _Next:
+    """The next match of a pattern; asked again before that match, it needs no search."""
+
+    def __init__(self, pattern: re.Pattern, page: str):
+        self.pattern, self.page, self.start, self.found = pattern, page, 0, -1
+
+    def at(self, place: int) -> int:
+        if not self.start <= place <= self.found:
+            m = self.pattern.search(self.page, place)
+            self.start, self.found = place, m.start() if m else len(self.page)
+        return self.found
+
+
+class _Tokens:
+    """The tags, comments and declarations of a page, in time proportional to its length.
+
+    What begins like a tag but never ends is text.  Such a start is not read to the end of the page twice: the next
+    ends are kept, and so are the quotes from which no end is reached.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.limit = page, len(page)
+        self.name_end, self.special, self.quote = (_Next(p, page) for p in (_NAME_END, _ATTRIBUTE_END, _QUOTE))
+        self.hopeless: set[int] = set()
+        self.no_more = self.limit + 1  # from here on there is no >
+
+    def _end(self, at: int) -> int:
+        """The place of the > that ends a tag whose attributes begin at ``at``; -1 for none."""
+        opened = []
+        while True:
+            here = self.special.at(at)
+            if here >= self.limit or here in self.hopeless:
+                break
+            if self.page[here] == ">":
+                return here
+            opened.append(here)
+            close = self.page.find(self.page[here], here + 1)
+            if close < 0:
+                break
+            at = close + 1
+        self.hopeless.update(opened)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """(start, end, is an end tag, name or None, attributes) of the first token from ``at`` on."""
+        page = self.page
+        while True:
+            start = page.find("<", at)
+            if start < 0:
+                return None
+            at = start + 1
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else self.limit, False, None, ""
+            if page[at: at + 1] in ("!", "?") and at < self.limit:
+                end = page.find(">", at) if at < self.no_more else -1
+                if end >= 0:
+                    return start, end + 1, False, None, ""
+                self.no_more = min(self.no_more, at)
+                continue
+            closing = page.startswith("/", at)
+            head = at + closing
+            if not (page[head: head + 1].isascii() and page[head: head + 1].isalpha()):
+                continue
+            stop = self.name_end.at(head)
+            end = self._end(stop)
+            if end < 0 and self.quote.at(head) < stop:  # the name ran into a quoted value
+                stop = self.quote.at(head)
+                end = self._end(stop)
+            if end >= 0:
+                return start, end + 1, closing, page[head:stop], page[stop:end]
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The block elements, parents first, and the texts of blocks in page order: (node, text)."""
     nodes = [Node("#", -1, 0)]
     texts: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("#", 0)]  # open elements, and the block each is in
     own: list[str] = []
-    linked = silent = 0
+    linked = silent = links = 0
+    names_open: Counter[str] = Counter()
+
+    def push(name: str, block: int) -> None:
+        nonlocal links
+        stack.append((name, block))
+        names_open[name] += 1
+        links += name == "a"
 
     def end_block() -> None:
         nonlocal linked
@@ -101,9 +186,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         linked = 0
 
     def pop(to: int) -> None:
-        nonlocal silent
+        nonlocal silent, links
         while len(stack) > to:
             name = stack[-1][0]
+            names_open[name] -= 1
+            links -= name == "a"
             if name in BLOCK:
                 end_block()
             elif name in NO_TEXT:
@@ -116,23 +203,25 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             return
         piece = entities.unescape(piece) if "&" in piece else piece
         own.append(piece)
-        if any(s[0] == "a" for s in stack[-4:]):
+        if links:
             linked += len(piece)
 
-    at, limit = 0, len(page)
+    at, limit, tokens = 0, len(page), _Tokens(page)
     while at < limit:
-        m = _TOKEN.search(page, at)
-        if m is None:
+        token = tokens.next(at)
+        if token is None:
             say(page[at:])
             break
-        say(page[at: m.start()])
-        at = m.end()
-        name = m[2]
+        start, end, closing, name, attribute_text = token
+        say(page[at:start])
+        at = end
         if name is None:
             continue
         name = name.lower()
         nodes[stack[-1][1]].tags += 1
-        if m[1]:
+        if closing:
+            if not names_open[name]:
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
                     pop(i)
@@ -144,14 +233,14 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             elif name == "hr":
                 end_block()
             continue
-        if name in CLOSES_P:
+        if name in CLOSES_P and names_open["p"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == "p":
                     pop(i)
                     break
                 if stack[i][0] in BLOCK:
                     break
-        if name in ENDS:
+        if name in ENDS and any(names_open[x] for x in ENDS[name][0]):
             closes, within = ENDS[name]
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in within:
@@ -163,13 +252,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if name in RAW:
             close = re.compile(f"</{re.escape(name)}", re.I).search(page, at)
             at = close.start() if close else limit
-            stack.append((name, stack[-1][1]))
+            push(name, stack[-1][1])
             silent += 1
             continue
         block = stack[-1][1]
         if name in BLOCK:
             end_block()
-            attributes = {k.lower(): a or b or c for k, a, b, c in _NAMED.findall(m[3])} if m[3] else {}
+            attributes = {k.lower(): a or b or c for k, a, b, c in _NAMED.findall(attribute_text)} if attribute_text else {}
             part = attributes.pop("data-part", "")
             names = frozenset(w for v in attributes.values() for w in _WORD.findall(v.lower()))
             nodes.append(Node(name, block, nodes[block].depth + 1, names, part))
@@ -177,7 +266,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             block = len(nodes) - 1
         elif name in NO_TEXT:
             silent += 1
-        stack.append((name, block))
+        push(name, block)
     end_block()
     pop(1)
     for i in range(len(nodes) - 1, 0, -1):  # children come after their parents

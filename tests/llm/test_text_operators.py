@@ -5,6 +5,7 @@ import html as entities
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -346,3 +347,35 @@ def test_html_edge_rows(spark):
     got = {r["page_id"]: r for r in html.with_main_text(pages, html.fit(pages)).collect()}
     assert len(got) == 6 and got[1]["text"] == got[2]["text"] == "" and got[1]["n_chars"] == 0
     assert html.with_main_text(pages.where("false"), html.fit(pages.where("false"))).count() == 0
+
+
+OLD_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>", re.S)
+
+
+def test_tokens_are_those_of_the_pattern():
+    rng = random.Random(11)
+    pieces = ["<", ">", "a", "/", " ", '"', "'", "!", "<!--", "-->", "=", "<p", "</p>", "x", "?", "é", "<b>", 'c="d"']
+    for _ in range(20_000):
+        page = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        tokens, at, got = html._Tokens(page), 0, []
+        while (t := tokens.next(at)) is not None:
+            got.append(t)
+            at = max(t[1], at + 1)
+        want = [(m.start(), m.end(), bool(m[1]), m[2], m[3] or "") for m in OLD_TOKEN.finditer(page)]
+        if not re.search(r"</?[^\s/>]*[\"']", page):  # a quote inside a name may be cut elsewhere
+            assert got == want, page
+
+
+@pytest.mark.parametrize("page", ['<a "' * 250_000, "<a '\"" * 200_000, "<!" * 500_000, "<a" * 500_000, "<a <b" * 200_000, "</b>" * 250_000, "<b>" * 50_000 + "</i>" * 100_000,
+                                  "<b>" * 100_000 + "<p>x" * 50_000, "<td>" * 200_000, "<" * 1_000_000, "<li>" * 200_000, '<a"' * 300_000, "<!--" * 200_000])
+def test_a_hostile_page_takes_linear_time(page):
+    started = time.perf_counter()
+    html.parse(page)
+    assert time.perf_counter() - started < 6
+
+
+def test_text_deep_inside_a_link_counts_as_link():
+    nodes, texts = html.parse("<p>out <a><b><i><em><u><s>fourteen chars</s></u></em></i></b></a></p><p>after</p>")
+    assert [n.link_chars for n in nodes if n.tag == "p"] == [14, 0] and texts[0][1] == "out fourteen chars"
+    nodes, _ = html.parse("<a><b></a>not a link")
+    assert nodes[0].link_chars == 0
