@@ -15,16 +15,17 @@ again on a sketch twice as large.  If that fails too (few parts in a
 thousand), the row's digest sets are compared outright.  Likeness is the Jaccard index, from the
 recovered differences and the sizes of the sets.
 
-The fingerprint is one sketch of ``CELLS`` cells as hex; equal texts have equal ones.
+The fingerprint is the number of digests and one sketch of ``CELLS`` cells as hex; equal texts have equal ones.
 
-The edited text of a row needs the next one by id.  Rows are dealt into ranges of ids, whose
-bounds are ids from quantiles, and the first rows of a range are dealt to the range before
-too; so each range finds its next rows alone.
+The edited text of a row needs the next one by id.  Rows are dealt into ranges of (id, hash of the text),
+whose bounds come from a sample of bounded size, and the first rows of a range are dealt to the range before
+too; so each range finds its next rows alone, and rows of one id, or of none, share the ranges like others.
 
 Null text counts as empty.  A text without a word has no digests; two such texts have
 likeness 1, one such and another 0.  A null id comes before all others; rows of one id
 follow each other in the order of a hash of their text.  A single row is its own next one.
-An empty table gives an empty result.
+An empty table gives an empty result.  Ids are whole numbers, or text in the order of its
+characters.  Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +40,9 @@ LARGER = 48
 LOAD = 10
 #: Bytes of text in one range of ids, about.
 RANGE_BYTES = 2 << 20
-MAX_RANGES = 1 << 16
+MAX_RANGES = 1 << 14
+#: Rows of the sample that the bounds of the ranges come from, for each range.
+SAMPLED = 32
 
 _BLOCK = rf"(?:\S*[^\s.!?][^\S\n]+){{0,{BLOCK_WORDS - 1}}}\S+"
 
@@ -64,7 +67,7 @@ def _places(digest: Column, cells: int = CELLS) -> list[Column]:
 
 
 def fingerprint(found: Column) -> Column:
-    """The sketch of a set of digests: number and exclusive-or of each cell, as hex."""
+    """A set of digests as its size and its sketch: number and exclusive-or of each cell, as hex."""
     rows = F.transform(found, lambda d: F.struct(d.alias("d"), F.array(*_places(d)).alias("p")))
 
     def cell(rows, c):
@@ -72,37 +75,59 @@ def fingerprint(found: Column) -> Column:
         return F.concat(F.hex(F.size(own)), F.lit(":"), F.hex(F.aggregate(own, F.lit(0).cast("long"), lambda x, r: x.bitwiseXOR(r["d"]))))
 
     # the rows are worked out once: a one-element array binds them to a name
-    return F.get(F.transform(F.array(rows), lambda r: F.concat_ws(",", *[cell(r, c) for c in range(CELLS)])), F.lit(0))
+    sketch = F.get(F.transform(F.array(rows), lambda r: F.concat_ws(",", *[cell(r, c) for c in range(CELLS)])), F.lit(0))
+    return F.concat(F.size(found).cast("string"), F.lit(";"), sketch)
+
+
+def _order_id(rows: DataFrame) -> Column:
+    """The id as a value that is never null: whole numbers, else text; no id comes first."""
+    if dict(rows.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint"):
+        return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    return F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit(""))
+
+
+def _cuts(rows: DataFrame, ranges: int, total: int) -> list[tuple]:
+    """(id, hash) of rows that cut all rows into about equal ranges, from a sample chosen by hash."""
+    if ranges < 2:
+        return []
+    share = min(1.0, SAMPLED * ranges / total)
+    # about SAMPLED rows for a range come back, whatever the number of rows
+    some = rows.where(F.shiftrightunsigned(F.xxhash64(F.lit(11), "__id", "__h"), 1) <= min(int(share * (1 << 63)), (1 << 63) - 1))
+    keys = [tuple(r) for r in some.select("__id", "__h").orderBy("__id", "__h").collect()]
+    return [keys[len(keys) * i // ranges] for i in range(1, ranges)] if keys else []
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """__range, __no (unique together), doc_id, text and its digests ``a``, and those of
     the next row by id (after the last the first): next_text, next_a."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("a", digests(F.col("text"))).withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("__id").alias("low")).first()
-    if size["low"] is None:
+    rows = rows.withColumns({"a": digests(F.col("text")), "__id": _order_id(rows), "__h": F.xxhash64("text")})
+    sizes = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n"), F.min(F.struct("__id", "__h")).alias("low")).first()
+    if sizes["low"] is None:
         return rows.select(F.lit(0).alias("__range"), F.lit(0).alias("__no"), "doc_id", "text", "a",
                            F.col("text").alias("next_text"), F.col("a").alias("next_a"))
-    n = max(1, min(MAX_RANGES, (size["bytes"] or 0) // RANGE_BYTES))
-    # bounds are ids of rows, so that a range begins with its bound
-    inner = rows.agg(F.percentile_approx("__id", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] if n > 1 else []
-    bounds = sorted({size["low"], *inner})
+    n = max(1, min(MAX_RANGES, (sizes["bytes"] or 0) // RANGE_BYTES))
+    # bounds are keys of rows, so that a range begins with its bound
+    bounds = sorted({tuple(sizes["low"]), *_cuts(rows, n, sizes["n"])})
     steps = [1 << b for b in range(len(bounds).bit_length() - 1, -1, -1)]
-    known = F.lit(bounds)
-    # binary search for the last bound that is not above the id
-    last = F.aggregate(F.lit(steps), F.lit(0), lambda at, s: F.when(
-        F.coalesce(F.get(known, at + s) <= F.col("__id"), F.lit(False)), at + s).otherwise(at))
+    ids, hashes = F.lit([i for i, _ in bounds]), F.lit([h for _, h in bounds])
+
+    def reached(at):
+        """Whether the bound at that place is not above the row."""
+        return (F.get(ids, at) < F.col("__id")) | ((F.get(ids, at) == F.col("__id")) & (F.get(hashes, at) <= F.col("__h")))
+
+    # binary search for the last bound that is reached
+    last = F.aggregate(F.lit(steps), F.lit(0), lambda at, s: F.when(F.coalesce(reached(at + s), F.lit(False)), at + s).otherwise(at))
     rows = rows.withColumn("__range", last)
-    first = F.get(known, F.col("__range")) == F.col("__id")
+    first = (F.get(ids, F.col("__range")) == F.col("__id")) & (F.get(hashes, F.col("__range")) == F.col("__h"))
     before = F.pmod(F.col("__range") - 1, F.lit(len(bounds)))
     own = F.struct(F.col("__range").alias("r"), F.lit(0).alias("copy"))
     copy = F.struct(before.alias("r"), F.lit(1).alias("copy"))
     dealt = rows.withColumn("__at", F.explode(F.when(first, F.array(own, copy)).otherwise(F.array(own))))
     # the range is a plain column: all groupings below begin with it and need no further shuffle;
     # the filter stands here because the join would add it to one side only, and make two shuffles of one
-    dealt = dealt.where("__at.r is not null").select(F.col("__at.r").alias("__range"), F.col("__at.copy").alias("__copy"), "__id", "doc_id", "text", "a")
-    order = Window.partitionBy("__range").orderBy("__copy", "__id", F.xxhash64("text"), "text")
+    dealt = dealt.where("__at.r is not null").select(F.col("__at.r").alias("__range"), F.col("__at.copy").alias("__copy"), "__id", "__h", "doc_id", "text", "a")
+    order = Window.partitionBy("__range").orderBy("__copy", "__id", "__h", "text")
     dealt = dealt.withColumns({"next_text": F.lead("text").over(order), "next_a": F.lead("a").over(order), "__no": F.row_number().over(order)})
     return dealt.where("__copy = 0").select("__range", "__no", "doc_id", "text", "a", "next_text", "next_a")
 
@@ -119,19 +144,23 @@ def _peel(cells: Column, size: int) -> Column:
     only in the first and only in the second, and the number of cells that stay."""
     def go(state, _):
         pure = F.array_distinct(F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["x"] == _marked(c["x"]))))
-        places = F.transform(pure, lambda c: F.struct(c["n"].alias("n"), c["x"].alias("x"),
-                                                      *[p.alias(f"p{i}") for i, p in enumerate(_places(c["x"], size))]))
+        places = F.transform(pure, lambda c: F.struct(c["n"].alias("n"), c["x"].alias("x"), F.array(*_places(c["x"], size)).alias("p")))
 
         def after(taken):
             def without(c, i):
-                own = F.filter(taken, lambda r: (r["p0"] == i) | (r["p1"] == i) | (r["p2"] == i))
+                # a cell lies in one third, and so meets one place of each digest
+                own = F.filter(taken, lambda r: F.get(r["p"], F.floor(i / (size // 3)).cast("int")) == i)
                 return F.aggregate(own, c, lambda acc, r: F.struct((acc["n"] - r["n"]).alias("n"), acc["x"].bitwiseXOR(r["x"]).alias("x")))
 
+            def emptied(every):
+                return F.transform(state["cells"], lambda c, i: F.when(F.array_contains(every, i), without(c, i)).otherwise(c))
+
             firsts = F.size(F.filter(taken, lambda r: r["n"] == 1))
             return F.when(F.size(taken) == 0, F.struct(state["a"].alias("a"), state["b"].alias("b"), state["cells"].alias("cells"),
                                                        F.lit(False).alias("open"))).otherwise(
                 F.struct((state["a"] + firsts).alias("a"), (state["b"] + F.size(taken) - firsts).alias("b"),
-                         F.transform(state["cells"], without).alias("cells"), F.lit(True).alias("open")))
+                         F.transform(state["cells"], without).alias("cells"),
+                         F.lit(True).alias("open")))
 
         return F.when(state["open"], F.get(F.transform(F.array(places), after), F.lit(0))).otherwise(state)
 
