@@ -20,6 +20,11 @@ tables ``<out>/stations`` and ``<out>/countries`` (the job's
 Stream: every CSV file that landed since the last run is appended to the
 table, exactly once (Structured Streaming file source, ``availableNow``).
 The checkpoint remembers which files were taken, so it must persist.
+
+    spark-submit meteora/plans/ingest.py ledger --source <landing folder> --out <store path>
+
+Ledger: every file that is new or was published again is loaded into the versioned store, in
+one commit with the note that it is loaded (``sinks.ledger``); nothing is loaded twice.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from meteora.session import base_session  # noqa: E402
+from meteora.sinks import ledger  # noqa: E402
 from meteora.sinks.files import convert_observations, write_parquet  # noqa: E402
 from meteora.sources.csv import read_observations_csv, year_files  # noqa: E402
 from meteora.sources.fixed_width import read_countries, read_stations  # noqa: E402
@@ -59,6 +65,9 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     st.add_argument("--out", required=True, help="Parquet table partitioned by year")
     st.add_argument("--checkpoint", required=True, help="folder that remembers the files taken; keep it")
     st.add_argument("--max-files-per-trigger", type=int, default=None)
+    le = sub.add_parser("ledger", help="load new and re-published CSV files into a versioned store")
+    le.add_argument("--source", required=True, help="landing folder of the CSV files")
+    le.add_argument("--out", required=True, help="folder of the store")
     a = p.parse_args(argv)
     if a.what == "observations" and a.end_year < a.start_year:
         p.error("end_year is before start_year")
@@ -69,6 +78,10 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.what == "stream":
         ingest_available(spark, a.source, a.out, a.checkpoint, a.max_files_per_trigger)
         return
+    if a.what == "ledger":
+        done = ledger.load(spark, a.source, a.out)
+        print(", ".join(f"{len(names)} {what}" for what, names in done.items()))
+        return
     if a.what == "dimensions":
         out = a.out.rstrip("/")
         write_parquet(read_stations(spark, a.stations), f"{out}/stations")

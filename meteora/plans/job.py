@@ -9,6 +9,8 @@ a folder of yearly headerless CSV files (``--observations-format csv``,
 files ``<year>.csv`` or ``<year>.csv.gz``).  All years are read in one plan,
 not one job per year.  ``--refresh`` replaces only the years written (the
 daily run over the current year); otherwise the fact tables are replaced.
+With ``--store FOLDER`` both facts go into one versioned store (``sinks.store``) and
+change in one commit: a run that dies leaves the facts as they were.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from meteora.operators.limit import sample_rows  # noqa: E402
 from meteora.options import CANONICAL, JOB, LOCAL  # noqa: E402
 from meteora.plans.facts import both_facts  # noqa: E402
 from meteora.session import base_session, ensure_checkpoint_dir  # noqa: E402
+from meteora.sinks.store import Store  # noqa: E402
 from meteora.sinks.tables import refresh_partitions, with_year, write_clustered, write_fact_daily, write_fact_yearly  # noqa: E402
 from meteora.sources.csv import read_observations_csv, year_files  # noqa: E402
 from meteora.sources.fixed_width import read_countries, read_stations  # noqa: E402
@@ -48,8 +51,9 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--stations", required=True, help="fixed-width text, or Parquet with --dims-format parquet")
     p.add_argument("--countries", required=True)
     p.add_argument("--dims-format", choices=("text", "parquet"), default="text")
-    p.add_argument("--daily-out", required=True)
-    p.add_argument("--yearly-out", required=True)
+    p.add_argument("--daily-out")
+    p.add_argument("--yearly-out")
+    p.add_argument("--store", default=None, help="versioned store for both facts, in place of the two folders")
     p.add_argument("--variant", choices=sorted(VARIANTS), default="canonical")
     p.add_argument("--order-by", nargs="*", default=None, help="columns ordering rows when flags are picked")
     p.add_argument("--refresh", action="store_true", help="replace only the years written")
@@ -58,6 +62,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--yearly-layout", choices=("year", "clustered"), default="year",
                    help="yearly fact: year= folders, or unpartitioned and clustered by date and country")
     a = p.parse_args(argv)
+    if not a.store and not (a.daily_out and a.yearly_out):
+        p.error("give --daily-out and --yearly-out, or --store")
+    if a.store and (a.sample_rows is not None or a.yearly_layout == "clustered"):
+        p.error("--store holds whole facts in year folders: leave out --sample-rows and --yearly-layout clustered")
     if a.refresh and a.sample_rows is not None:
         p.error("a trial run (--sample-rows) replaces nothing: leave out --refresh")
     if a.refresh and a.yearly_layout == "clustered":
@@ -105,6 +113,13 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.sample_rows is not None:
         daily = sample_rows(daily, a.sample_rows, ["id", "date"])
         yearly = sample_rows(yearly, a.sample_rows, ["id", "date"])
+    if a.store:
+        change = Store(spark, a.store).begin()
+        for name, fact in (("fact_daily", daily), ("fact_yearly", yearly)):
+            keys = [f"year={y}" for y in range(a.start_year, a.end_year + 1)] if a.refresh and name in change.tables else None
+            change.write(name, with_year(fact), ["year"], ["country_code", "id"], keys=keys)
+        change.commit()
+        return
     if a.refresh:
         years = range(a.start_year, a.end_year + 1)
         refresh_partitions(with_year(daily), a.daily_out, ["year"], ["country_code", "id"], years)

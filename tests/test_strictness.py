@@ -111,6 +111,35 @@ def test_clustered_yearly_layout_and_a_catalog_table(spark, scratch):
     assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0 and "year" not in got.columns
 
 
+def test_both_facts_in_one_store(spark, scratch):
+    from meteora.sinks.store import Store
+
+    base, run = _job(spark, scratch)
+    run()
+    daily, yearly = (spark.read.parquet(f"{base}/{x}") for x in ("daily", "yearly"))
+    run("--store", f"{base}/store")
+    run("--store", f"{base}/store", "--refresh")
+    store = Store(spark, f"{base}/store")
+    assert store.versions() == [1, 2]
+    for name, want in (("fact_daily", daily), ("fact_yearly", yearly)):
+        got = store.read(name).select(*want.columns)
+        assert got.count() == want.count() > 0 and got.select("id", "date", "year", "m_flag").exceptAll(want.select("id", "date", "year", "m_flag")).count() == 0
+    with pytest.raises(SystemExit):
+        run("--store", f"{base}/store", "--sample-rows", "5")
+
+
+def test_ledger_from_the_command_line(spark, tmp_path, scratch, capsys):
+    from meteora.plans import ingest
+    from meteora.sinks import ledger
+
+    _file(tmp_path, "2020.csv", GOOD)
+    args = ingest.parse_args(["ledger", "--source", f"file:{tmp_path}", "--out", scratch("loaded")])
+    ingest.run(spark, args)
+    ingest.run(spark, args)
+    assert capsys.readouterr().out.splitlines() == ["1 added, 0 replaced, 0 touched", "0 added, 0 replaced, 0 touched"]
+    assert ledger.loaded(spark, args.out).count() == 1
+
+
 def test_year_files_of_parquet(spark, scratch):
     path = scratch("files")
     for y in (1996, 1997):
