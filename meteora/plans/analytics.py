@@ -23,6 +23,9 @@ from meteora.operators.join import checked_broadcast
 from meteora.operators.limit import top_k
 from meteora.sinks.tables import with_year
 
+#: Most stations of a place that a scan is given as equalities.
+MOST_STATIONS = 64
+
 
 def in_country(name: str) -> Column:
     """Place predicate: every station of a country (by country name)."""
@@ -53,6 +56,22 @@ def at_place(fact: DataFrame, stations: DataFrame, place: Column) -> DataFrame:
     return fact.join(checked_broadcast(stations.where(place).select("id")), "id", "left_semi")
 
 
+def at_few_stations(fact: DataFrame, stations: DataFrame, place: Column, most: int = MOST_STATIONS) -> DataFrame:
+    """``at_place`` for a place of at most ``most`` stations, as equalities that reach the scan.
+
+    Their ids (no more than ``most`` + 1 come to the driver) become a balanced
+    disjunction of ``id = ...``, which Parquet answers from row-group statistics and, on a
+    table of ``sinks.membership``, from Bloom filters.  A larger place takes the semi join; the rows are the same.
+    """
+    ids = [r[0] for r in stations.where(place & F.col("id").isNotNull()).select("id").distinct().limit(most + 1).collect()]
+    if len(ids) > most:
+        return at_place(fact, stations, place)
+    tests = [F.col("id") == F.lit(i) for i in sorted(ids)]
+    while len(tests) > 1:
+        tests = [reduce(operator.or_, tests[i:i + 2]) for i in range(0, len(tests), 2)]
+    return fact.where(tests[0] if tests else F.lit(False))
+
+
 def max_by_country_year(fact: DataFrame, country: str | None = None, year: int | None = None,
                         measure: str = "tmax") -> DataFrame:
     """Maximum of ``measure`` per country and year (optionally one of each).

@@ -23,7 +23,7 @@ from meteora.plans.incremental import IncrementalFacts, touched_days
 from meteora.plans.testmap import DriverTables
 from meteora.schemas import COUNTRY_LAYOUT, MEASURES, OBS_SCHEMA, STATION_LAYOUT
 from meteora.session import scratch_path, unique_name
-from meteora.sinks import bucketed, ledger
+from meteora.sinks import bucketed, ledger, membership
 from meteora.sinks import files as file_sinks
 from meteora.sinks import tables as table_sinks
 from meteora.sinks.store import Store
@@ -700,6 +700,18 @@ def q_top_hottest_stored(spark, sf_dir):
     return analytics.top_hottest(rows, None, 10).drop("year")
 
 
+def q_top_hottest_membership(spark, sf_dir):
+    """Hottest days at a place named by station name, asked of a daily fact kept in order of
+    date: its row groups are excluded by Bloom filters on the station id."""
+    t = _t(spark, sf_dir)
+    path = scratch_path(spark, "fact_daily_membership")
+    fact = table_sinks.with_year(_fact_daily_li(spark, sf_dir))
+    membership.write_with_membership(fact, path, ["id"], 10_000, ["year"], ["date"])
+    stations = dimensions.station_country(t.supplier_stations(), t.countries())
+    rows = analytics.at_few_stations(table_sources.read_parquet(spark, path), stations, analytics.station_named("Supplier#00000001_"))
+    return analytics.top_hottest(rows, None, 10).drop("year")
+
+
 def q_compare_yearly_stored(spark, sf_dir):
     """Yearly comparison of two places named by station, asked of the stored
     daily fact: only the two places' stations are read."""

@@ -293,5 +293,6 @@ def oracles() -> dict[str, str]:
         "WHERE upper(station_name) LIKE upper('Supplier#00000001_') AND tmax IS NOT NULL "
         "ORDER BY tmax DESC, date, id LIMIT 10"
     )
+    q["q_top_hottest_membership"] = q["q_top_hottest_stored"]
     q["q_record_counts"] = f"SELECT {_year_int()} AS year, count(*) AS n_records FROM ({FACT_DAILY_LI}) AS f GROUP BY year(date)"
     return q

@@ -43,7 +43,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], cluster
 
 
 def write_sorted(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] = (),
-                 mode: str = "overwrite", dynamic: bool = False) -> None:
+                 mode: str = "overwrite", dynamic: bool = False, options: dict[str, str] | None = None) -> None:
     """Partitioned Parquet write without a shuffle: every task sorts its own
     rows by (partition keys, ``sort_by``) and writes them.
 
@@ -56,7 +56,7 @@ def write_sorted(df: DataFrame, path: str, partition_by: list[str], sort_by: lis
     output) belongs in ``write_partitioned``, which bounds the files per task.
     """
     keys = [*partition_by, *sort_by]
-    writer = (df.sortWithinPartitions(*keys) if keys else df).write.mode(mode)
+    writer = (df.sortWithinPartitions(*keys) if keys else df).write.mode(mode).options(**(options or {}))
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
