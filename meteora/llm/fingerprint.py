@@ -10,8 +10,8 @@ Sketches of two versions subtract cell by cell, which leaves what they do not sh
 Peeling takes the cells with one digest left, notes whose it is, and takes the digest
 out of its two other cells, until all cells are empty.  Two versions are compared by as
 many sketches as their numbers of digests ask for, each for one part of the hash
-space: one wide grouped aggregate makes the differences, and a failed peeling is tried
-again on a sketch twice as large.  If that fails too (few parts in a
+space.  One wide grouped aggregate makes the differences, of sketches of two sizes for each part;
+where the smaller one does not peel, the one twice as large is peeled.  If that fails too (few parts in a
 thousand), the row's digest sets are compared outright.  Likeness is the Jaccard index, from the
 recovered differences and the sizes of the sets.
 
