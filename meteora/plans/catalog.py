@@ -262,42 +262,44 @@ def src_csv_strict(spark, sf_dir):
     return csv_sources.read_observations_csv(spark, csv_sources.year_files(spark, path, min(years), max(years)))
 
 
-BUCKETS = 8
-
-
-def _bucketed_obs(spark, sf_dir, by=("id",)):
-    """Observations (with their order column) as a table in year folders, bucketed by station."""
+def _bucketed_obs(spark, sf_dir):
+    """The name of a table of the observations (with their order column) in year folders, bucketed by station into
+    as many buckets as its rows need."""
     obs = _t(spark, sf_dir).lineitem_obs().withColumn("year", F.year("date"))
-    return bucketed.create_bucketed_table(obs, unique_name("obs_bucketed"), scratch_path(spark, "obs_bucketed"),
-                                          bucketed.bucket_keys(obs, list(by), ["id", "date"], BUCKETS), BUCKETS,
-                                          ["date"], ["year"])
+    by, buckets = bucketed.plan_buckets(obs, ["id"], ["id", "date"])
+    name = unique_name("obs_bucketed")
+    bucketed.create_bucketed_table(obs, name, scratch_path(spark, "obs_bucketed"), by, buckets, ["date"], ["year"])
+    return name
 
 
 def sink_bucketed(spark, sf_dir):
     """A table in year folders, bucketed by station, of which the last year is refreshed."""
-    table = _bucketed_obs(spark, sf_dir)
-    name = unique_name("obs_bucketed")
+    source = _bucketed_obs(spark, sf_dir)
+    table, name = spark.table(source), unique_name("obs_bucketed")
     half = table.where("year < 2001 OR year IS NULL OR month(date) < 7")
-    bucketed.create_bucketed_table(half, name, scratch_path(spark, "obs_bucketed"), ["id"], BUCKETS, ["date"], ["year"])
+    by, buckets = bucketed.bucketing(spark, source)
+    bucketed.create_bucketed_table(half, name, scratch_path(spark, "obs_bucketed"), by, buckets, ["date"], ["year"])
     bucketed.refresh_bucketed(table.where("year = 2001"), name, [2001])
     return spark.table(name).select(*OBS_COLS, "year")
 
 
 def agg_daily_bucketed(spark, sf_dir):
     """The daily average of a bucketed table: no exchange."""
-    return rounded(aggregate.to_daily(_bucketed_obs(spark, sf_dir), EV_OPTS))
+    return rounded(aggregate.to_daily(spark.table(_bucketed_obs(spark, sf_dir)), EV_OPTS))
 
 
 def agg_yearly_bucketed(spark, sf_dir):
     """The yearly average of a bucketed table: no exchange."""
-    return rounded(aggregate.to_yearly(_bucketed_obs(spark, sf_dir), EV_OPTS))
+    return rounded(aggregate.to_yearly(spark.table(_bucketed_obs(spark, sf_dir)), EV_OPTS))
 
 
 def join_bucketed(spark, sf_dir):
     """Daily averages and stations, both bucketed by station: neither the aggregate nor the join has an exchange."""
+    obs = _bucketed_obs(spark, sf_dir)
     st = dimensions.stations_dim(_t(spark, sf_dir).supplier_stations())
-    st = bucketed.create_bucketed_table(st, unique_name("stations_bucketed"), scratch_path(spark, "stations_bucketed"), ["id"], BUCKETS)
-    return rounded(aggregate.to_daily(_bucketed_obs(spark, sf_dir), EV_OPTS)).join(st, "id", "inner")
+    st = bucketed.create_bucketed_table(st, unique_name("stations_bucketed"), scratch_path(spark, "stations_bucketed"),
+                                        ["id"], bucketed.bucketing(spark, obs)[1])
+    return rounded(aggregate.to_daily(spark.table(obs), EV_OPTS)).join(st, "id", "inner")
 
 
 def sink_store_refresh(spark, sf_dir):

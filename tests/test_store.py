@@ -255,3 +255,29 @@ def test_a_hot_station_is_dealt_by_day(spark, scratch):
     table = _bucketed(spark, scratch, ("id", "date"), hot)
     assert _exchanges(to_daily(table, OPTS)) == 0
     assert bucketed.buckets_for(100 << 40) == 102_400 and bucketed.buckets_for(0) == 8
+
+
+def test_the_number_of_buckets_grows_with_the_rows(spark, scratch, monkeypatch):
+    obs = spark.range(12_000).select(F.format_string("%05d", F.col("id") % 3000).alias("id"), F.lit(1).alias("date"))
+    assert bucketed.plan_buckets(obs, ["id"], ["id", "date"]) == (["id"], 8)
+    assert bucketed.plan_buckets(obs, ["id"], ["id", "date"], bucket_rows=500) == (["id"], 24)
+    assert bucketed.plan_buckets(obs.where("false"), ["id"], ["id", "date"], bucket_rows=500) == (["id"], 8)
+    hot = obs.withColumn("id", F.when(F.col("id") > "01000", F.col("id")))
+    assert bucketed.plan_buckets(hot, ["id"], ["id", "date"], bucket_rows=500) == (["id", "date"], 24)
+
+
+@pytest.mark.parametrize("query", ["sink_bucketed", "agg_daily_bucketed", "agg_yearly_bucketed", "join_bucketed"])
+def test_a_bucketed_query_reads_no_large_bucket(spark, scratch, monkeypatch, query):
+    from meteora.plans import catalog
+
+    root = scratch("tables")
+    spark.range(4000).selectExpr(
+        "id AS l_orderkey", "id % 400 AS l_suppkey", "1L AS l_linenumber", "date_add(DATE'1999-01-01', int(id % 1000)) AS l_shipdate",
+        "'N' AS l_returnflag", "'O' AS l_linestatus", "30.0D AS l_quantity", "0.0D AS l_discount", "0.0D AS l_tax",
+    ).write.parquet(f"{root}/lineitem.parquet")
+    spark.range(400).selectExpr("id AS s_suppkey", "1 AS s_nationkey", "0.0D AS s_acctbal", "'x' AS s_name").write.parquet(f"{root}/supplier.parquet")
+    made, create = [], bucketed.create_bucketed_table
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(bucketed, "create_bucketed_table", lambda df, name, path, by, n, *a: made.append((by, n)) or create(df, name, path, by, n, *a))
+    assert getattr(catalog, query)(spark, root).count() == {"sink_bucketed": 4000, "agg_yearly_bucketed": 1200}.get(query, 2000)
+    assert made and all(x == (["id"], 40) for x in made)
