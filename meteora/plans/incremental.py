@@ -70,8 +70,7 @@ class IncrementalFacts:
         """All three tables from all observations; one scan of them."""
         change = self.store.begin()
         dated = obs.where("id IS NOT NULL AND date IS NOT NULL")
-        parts = self._stored(daily_parts(dated, self.opts), "parts")
-        return self._commit(change, parts, stations, countries, None)
+        return self._commit(change, daily_parts(dated, self.opts), stations, countries, None)
 
     def apply(self, obs: DataFrame, touched: DataFrame, stations: DataFrame, countries: DataFrame) -> int | None:
         """Take over a change.  ``obs`` are the observations after it, ``touched`` its station-days (``touched_days``).
@@ -85,9 +84,8 @@ class IncrementalFacts:
         change = self.store.begin()
         side = checked_broadcast(days)
         now = in_years(obs, [y for y, _ in folders]).join(side, ["id", "date"], "left_semi")
-        fresh = placed(daily_parts(now, self.opts), self.slots)
-        carried = change.read(PARTS, keys_of(folders)).join(side, ["id", "date"], "left_anti")
-        parts = self._stored(carried.unionByName(fresh).drop(*FOLDERS), "parts")
+        carried = change.read(PARTS, keys_of(folders)).drop(*FOLDERS).join(side, ["id", "date"], "left_anti")
+        parts = carried.unionByName(daily_parts(now, self.opts))
         return self._commit(change, parts, stations, countries, keys_of(folders))
 
     def refresh_dimensions(self, stations: DataFrame, countries: DataFrame) -> int:
@@ -104,13 +102,14 @@ class IncrementalFacts:
 
     def _commit(self, change: Transaction, parts: DataFrame, stations: DataFrame, countries: DataFrame,
                 keys: list[str] | None, write_parts: bool = True) -> int:
+        if write_parts:  # written once, by one shuffle; both facts read what was written
+            change.write(PARTS, placed(parts, self.slots), FOLDERS, ["id", "date"], keys=keys, layout="folders")
+            parts = change.written(PARTS).drop(*FOLDERS)
         columns = fact_columns(self.opts)
         daily = enrich(finish_parts(parts, self.opts), stations, countries, columns)
         yearly = enrich(finish_parts(roll_up_parts(parts, year_start(self.opts)), self.opts), stations, countries, columns)
-        if write_parts:
-            change.write(PARTS, placed(parts, self.slots), FOLDERS, ["id", "date"], keys=keys)
-        change.write(DAILY, placed(daily, self.slots), FOLDERS, ["country_code", "id"], keys=keys)
-        change.write(YEARLY, placed(yearly, self.slots), FOLDERS, ["country_code", "id"], keys=keys)
+        change.write(DAILY, placed(daily, self.slots), FOLDERS, ["country_code", "id"], keys=keys, layout="folders")
+        change.write(YEARLY, placed(yearly, self.slots), FOLDERS, ["country_code", "id"], keys=keys, layout="folders")
         return change.commit()
 
     def daily(self) -> DataFrame:

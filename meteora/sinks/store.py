@@ -166,6 +166,13 @@ class Transaction:
         """A table as of the version this transaction began from."""
         return self.store._read(self.base, table, keys)
 
+    def written(self, table: str) -> DataFrame:
+        """The rows this transaction wrote to a table, which no reader of the store sees yet."""
+        if table not in self.touched:
+            raise ValueError(f"{table} is not written in this transaction")
+        own = [k for k, e in self.tables[table]["entries"].items() if (e["folder"] or "").split("/", 1)[0] == f"commit={self.id}"]
+        return self.store._read({"version": self.base["version"], "tables": self.tables}, table, own)
+
     def keys(self, table: str) -> dict[str, dict]:
         return {k: e["note"] for k, e in self.tables.get(table, {"entries": {}})["entries"].items()}
 
@@ -175,18 +182,19 @@ class Transaction:
         return self.tables[table]["partition_by"]
 
     def write(self, table: str, df: DataFrame, partition_by: list[str] = (), cluster_by: list[str] = (),
-              keys: Iterable[str] | None = None, notes: dict[str, dict] | None = None, layout: bool = True) -> None:
+              keys: Iterable[str] | None = None, notes: dict[str, dict] | None = None, layout: bool | str = True) -> None:
         """New rows of a table: all of it, or only those of ``keys`` (which they replace).
 
         A key is the folder of its partition values (``year=1996``), or empty for a table without.
         A row outside of ``keys`` fails the write.  ``notes`` are kept with their keys.
         With ``layout`` rows are spread by range and sorted before the write (``sinks.tables``);
-        without, every task writes what it has.  A table is written once in a transaction.
+        with "folders" they are rebalanced by their folder and sorted, so that ``df`` is computed once and not
+        sampled first; without, every task writes what it has.  A table is written once in a transaction.
         """
         if table in self.touched:
             raise ValueError(f"{table} is already written in this transaction")
         self.touched.add(table)
-        from meteora.sinks.tables import _layout
+        from meteora.sinks.tables import _by_folder, _layout
 
         partition_by, spark = list(partition_by), self.store.spark
         base = f"{self.store.path}/data/{table}"
@@ -201,7 +209,10 @@ class Transaction:
             what = F.concat(F.lit(f"a row of {table} outside of the keys to be replaced: "), asked)
             c = names[0]
             df = df.withColumn(c, F.when(stray, F.raise_error(what).cast(df.schema[c].dataType)).otherwise(F.col(c)))
-        laid = _layout(df, partition_by, list(cluster_by), None) if layout else df
+        if layout == "folders":
+            laid = _by_folder(df, partition_by, list(cluster_by))
+        else:
+            laid = _layout(df, partition_by, list(cluster_by), None) if layout else df
         writer = laid.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -31,6 +31,12 @@ def _layout(df: DataFrame, partition_by: list[str], cluster_by: list[str], num_f
     return ranged.sortWithinPartitions(*keys).drop("_tie")
 
 
+def _by_folder(df: DataFrame, partition_by: list[str], cluster_by: list[str] = ()) -> DataFrame:
+    """A rebalance by the partition keys: one read and one shuffle, hot partitions are
+    split and small ones joined, files sorted; a range layout would sample the input first."""
+    return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str] = (),
                       mode: str = "overwrite", num_files: int | None = None, dynamic: bool = False) -> None:
     """Write ``df`` as Parquet partitioned by ``partition_by`` and sorted by
@@ -128,9 +134,7 @@ def create_or_replace_table(df: DataFrame, name: str, path: str | None = None, p
                             cluster_by: list[str] = (), fmt: str = "parquet") -> DataFrame:
     """CREATE OR REPLACE TABLE name AS SELECT ...; returns the new table."""
     if partition_by:
-        # a rebalance by the partition keys: one read and one shuffle, hot partitions are
-        # split and small ones joined, files sorted; a range layout would sample the input first
-        laid = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+        laid = _by_folder(df, partition_by, cluster_by)
     else:
         laid = _layout(df, [], list(cluster_by), None)
     writer = laid.write.mode("overwrite").format(fmt)

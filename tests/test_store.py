@@ -281,3 +281,29 @@ def test_a_bucketed_query_reads_no_large_bucket(spark, scratch, monkeypatch, que
     monkeypatch.setattr(bucketed, "create_bucketed_table", lambda df, name, path, by, n, *a: made.append((by, n)) or create(df, name, path, by, n, *a))
     assert getattr(catalog, query)(spark, root).count() == {"sink_bucketed": 4000, "agg_yearly_bucketed": 1200}.get(query, 2000)
     assert made and all(x == (["id"], 40) for x in made)
+
+
+def test_rows_by_folder_are_computed_once(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(2000).selectExpr("id", "int(id % 5) AS year", "int(id % 3) AS slot").mapInArrow(counted, "id long, year int, slot int")
+    store = Store(spark, scratch("store"))
+    change = store.begin()
+    with pytest.raises(ValueError, match="not written"):
+        change.written("t")
+    change.write("t", df, ["year", "slot"], ["id"], layout="folders")
+    assert seen.value == 2000
+    assert not store.has("t") and _rows(change.written("t")) == _rows(df)
+    change.commit()
+    assert _rows(store.read("t")) == _rows(df)
+    # of a change of some keys only what it wrote
+    change = store.begin()
+    change.write("t", df.where("year = 1 AND slot = 2 AND id > 500"), ["year", "slot"], ["id"], keys=["year=1/slot=2", "year=2/slot=2"], layout="folders")
+    assert _rows(change.written("t")) == _rows(df.where("year = 1 AND slot = 2 AND id > 500"))
+    change.commit()
+    assert _rows(store.read("t")) == _rows(df.where("slot != 2 OR year NOT IN (1, 2) OR (year = 1 AND id > 500)"))
