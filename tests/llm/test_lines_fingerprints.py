@@ -168,7 +168,7 @@ def test_short_lines_at_the_threshold_share_a_band(spark):
     word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
     rows = []
     for pair in range(4000):
-        rest = [word() for _ in range(8)]
+        rest = [word() for _ in range(9)]
         rows += [(pair * 2 + i, " ".join([word(), *rest])) for i in range(2)]
     assert jaccard(rows[0][1], rows[1][1]) == 0.8
     lines = spark.createDataFrame(rows, "node long, line string").withColumns({"k1": F.col("node"), "k2": F.col("node")})
