@@ -307,3 +307,16 @@ def test_rows_by_folder_are_computed_once(spark, scratch):
     assert _rows(change.written("t")) == _rows(df.where("year = 1 AND slot = 2 AND id > 500"))
     change.commit()
     assert _rows(store.read("t")) == _rows(df.where("slot != 2 OR year NOT IN (1, 2) OR (year = 1 AND id > 500)"))
+
+
+def test_a_copy_of_a_bucketed_table_is_written_bucket_by_bucket(spark, scratch):
+    import re
+
+    obs = spark.range(9000).selectExpr("string(id % 700) AS id", "date_add(DATE'1999-01-01', int(id % 1000)) AS date")
+    table, name = _bucketed(spark, scratch, obs=obs), unique_name("copy")
+    bucketed.create_bucketed_table(table.where("year < 2001"), name, scratch("copy"), ["id"], 4, ["date"], ["year"])
+    bucketed.refresh_bucketed(table.where("year = 2001"), name, [2001])
+    assert _rows(spark.table(name)) == _rows(table)
+    files = [re.search(r"part-(\d+)-.*_(\d+)\.c\d+", f).groups() for f in spark.table(name).inputFiles()]
+    assert len(files) == 12 and all(int(task) == int(bucket) for task, bucket in files)
+    assert spark.conf.get(bucketed._AUTO_SCAN) == "true"
