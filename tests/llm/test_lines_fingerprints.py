@@ -162,6 +162,20 @@ def test_copies_around_one_original(spark, copies):
     assert found_groups(spark, list(enumerate(lines)), bands=24, rows=1) == want
 
 
+def test_small_buckets_are_compared_outright(spark, monkeypatch):
+    # copies similar to their original only, which is seldom the smallest line: no counting of shingles for buckets of five
+    monkeypatch.setattr(linededup, "_prefixes", None)
+    rng, lines = random.Random(5), []
+    for g in range(12):
+        words = [f"g{g:02}w{i:03}abcdefgh" for i in range(90)]
+        lines += [" ".join(words)] + [edited(words, 0.1, rng, f"g{g:02}c{c}") for c in range(4)]
+    rng.shuffle(lines)
+    near = [(a, b) for i, a in enumerate(lines) for b in lines[:i] if a[:3] == b[:3] and jaccard(a, b) >= 0.8]
+    want = components_of(lines, near)
+    assert len(want) == 12 and len(near) < 4 * len(lines)
+    assert found_groups(spark, list(enumerate(lines)), bands=24, rows=1) == want
+
+
 def test_short_lines_at_the_threshold_share_a_band(spark):
     # 9 shingles each, 8 in common: 0.8; independent permutations share a band with probability 0.997
     rng = random.Random(2)
